@@ -1,0 +1,5 @@
+"""Nothing here on purpose: the feature set has only bounded inputs.
+
+Row-local operators (features, predictions, scalar functions) are plain column expressions and apply to a
+streaming DataFrame as they are.
+"""
