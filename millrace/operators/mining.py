@@ -10,7 +10,7 @@ from pyspark.ml.fpm import FPGrowth, PrefixSpan
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.series import STRETCH_BITS, home_stretch, match_on, with_position
+from millrace.operators.series import home_stretch, match_on, stretch_bits, with_position
 from millrace.session import stage
 
 
@@ -64,9 +64,10 @@ def edge_sequences(df: DataFrame, by: Sequence[str], order: Sequence[str], item:
     """One row per group with its events in order, for patterns of at most two events.
 
     Such a pattern occurs exactly if the first occurrence of one item comes before the last of the other (or the
-    same), so only these two occurrences per item are kept and a group of any size gives a short array.
+    same), so only these two occurrences per item are kept and a group of any size gives a short array. A single
+    order column lets Spark aggregate in a hash table; several make it sort first.
     """
-    at = F.struct(*order)
+    at = F.struct(*order) if len(order) > 1 else F.col(order[0])
     edges = df.groupBy(*by, item).agg(F.min(at).alias("_first"), F.max(at).alias("_last"))
     kept = edges.select(*by, item, F.explode(F.array_distinct(F.array("_first", "_last"))).alias("_at"))
     steps = F.array_sort(F.collect_list(F.struct("_at", item)))
@@ -80,7 +81,7 @@ def grow_sequences(
     item: str,
     min_support: float,
     max_length: int = 5,
-    bits: int = STRETCH_BITS,
+    bits: int | None = None,
 ) -> DataFrame:
     """Frequent sequences of single events of any length, without putting a group into one row.
 
@@ -88,6 +89,7 @@ def grow_sequences(
     next occurrence of its last item, which is looked up in the same stretch row by row, and in later stretches
     among one row per stretch and item.
     """
+    bits = stretch_bits(0, 0) if bits is None else bits
     steps = stage(with_position(df.select(*by, *order, item), order, by, "_idx")).select(
         *by, "_idx", home_stretch("_idx", bits).alias("_stretch"), F.col(item).alias("_item")
     )

@@ -9,6 +9,9 @@ No step here holds a whole series in one task, however long it is:
   bounded window needs from the adjacent stretches.
 * ``with_neighbour`` finds the previous or next row of a thinned series, at any distance, from one
   summary row per stretch.
+
+When ``with_position`` found all series short, the position column says so in its metadata. The other two then
+use plain windows per series, which all share the one shuffle that numbered the rows.
 """
 
 from __future__ import annotations
@@ -21,8 +24,9 @@ from pyspark.sql import functions as F
 
 from millrace.session import stage
 
-ROWS_PER_TASK = 4_000_000
+ROWS_PER_TASK = 1_000_000
 STRETCH_BITS = 16
+LONGEST = "longest_series"  # metadata of a position column: rows of the longest series
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number of a partition in its low 33 bits
 
 
@@ -49,16 +53,18 @@ def with_position(
     order: Sequence[str],
     by: Sequence[str] = (),
     name: str = "idx",
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = None,
 ) -> DataFrame:
     """Append the 0-based position of each row in its series.
 
     ``order`` must be unique within a series, otherwise positions of equal rows are arbitrary.
     """
+    rows_per_task = rows_per_task or ROWS_PER_TASK
     rows, largest = group_sizes(df, by)
     if largest <= rows_per_task:
         window = Window.partitionBy(*by).orderBy(*order)
-        return df.withColumn(name, (F.row_number().over(window) - 1).cast("bigint"))
+        position = (F.row_number().over(window) - 1).cast("bigint")
+        return df.withColumn(name, position.alias(name, metadata={LONGEST: largest}))
     return _position_by_ranges(df, order, by, name, math.ceil(rows / rows_per_task))
 
 
@@ -90,9 +96,15 @@ def _position_by_ranges(df: DataFrame, order: Sequence[str], by: Sequence[str],
     return placed.select(*df.columns, name)
 
 
-def stretch_bits(before: int, after: int, smallest: int = STRETCH_BITS) -> int:
+def is_short(df: DataFrame, idx: str) -> bool:
+    """Is every series known to fit into one task?"""
+    longest = df.schema[idx].metadata.get(LONGEST)
+    return longest is not None and longest <= ROWS_PER_TASK
+
+
+def stretch_bits(before: int, after: int) -> int:
     """Stretches of ``2**bits`` rows, at least ten times as long as what they copy from their neighbours."""
-    return max(smallest, math.ceil(math.log2(10 * (before + after) + 1)))
+    return max(STRETCH_BITS, math.ceil(math.log2(10 * (before + after) + 1)))
 
 
 def home_stretch(idx: str, bits: int) -> Column:
@@ -117,11 +129,13 @@ def over_series(
     after: int = 0,
     bits: int | None = None,
 ) -> DataFrame:
-    """Apply bounded window expressions along each series.
+    """Apply bounded window expressions along each series, whose positions must have no gaps.
 
     ``build(frame, window)`` may look ``before`` rows back and ``after`` rows ahead in total. One shuffle
-    on (series, stretch) serves everything built in one call.
+    on (series, stretch) serves everything built in one call. ``bits`` forces the cut into stretches.
     """
+    if bits is None and is_short(df, idx):
+        return build(df, Window.partitionBy(*by).orderBy(idx))
     bits = stretch_bits(before, after) if bits is None else bits
     window = Window.partitionBy(*by, "_stretch").orderBy(idx)
     built = build(spread(df, idx, before, after, bits), window)
@@ -134,26 +148,29 @@ def with_neighbour(
     by: Sequence[str] = (),
     idx: str = "idx",
     ahead: bool = True,
-    bits: int = STRETCH_BITS,
+    bits: int | None = None,
 ) -> DataFrame:
     """Append values of the next (or previous) present row of the series; positions may have gaps.
 
     ``columns`` maps source column to new column. Inside a stretch this is an ordinary lead or lag. The row at
     its edge takes the first (last) row of the nearest non-empty stretch, found among one row per stretch.
     """
-    placed = df.withColumn("_stretch", home_stretch(idx, bits))
-    payload = F.struct(*[F.col(c) for c in columns])
+    move, back = (F.lead, F.lag) if ahead else (F.lag, F.lead)
+    if bits is None and is_short(df, idx):
+        series = Window.partitionBy(*by).orderBy(idx)
+        return df.withColumns({target: move(source).over(series) for source, target in columns.items()})
+    bits = STRETCH_BITS if bits is None else bits
     rows = Window.partitionBy(*by, "_stretch").orderBy(idx)
-    near = (F.lead(payload) if ahead else F.lag(payload)).over(rows)
-    edge = F.min_by(payload, F.col(idx)) if ahead else F.max_by(payload, F.col(idx))
-    stretches = Window.partitionBy(*by).orderBy("_stretch")
-    summary = placed.groupBy(*by, "_stretch").agg(edge.alias("_edge"))
-    summary = summary.select(
-        *by, "_stretch", (F.lead("_edge") if ahead else F.lag("_edge")).over(stretches).alias("_far")
+    placed = df.withColumn("_stretch", home_stretch(idx, bits)).withColumns(
+        {"_near": move(F.struct(*columns)).over(rows), "_edge": back(idx).over(rows).isNull()}
     )
-    joined = match_on(placed.withColumn("_near", near), summary, [*by, "_stretch"], "left")
-    found = F.coalesce(F.col("_near"), F.col("_far"))
-    return joined.select(*df.columns, *[found[source].alias(target) for source, target in columns.items()])
+    # The summary carries whole rows: with the same columns on both sides Spark runs the shuffle above only once.
+    stretches = Window.partitionBy(*by).orderBy("_stretch")
+    edges = placed.where("_edge").select(*by, "_stretch", F.struct(*df.columns).alias("_row"))
+    summary = edges.select(*by, "_stretch", move("_row").over(stretches).alias("_far"))
+    joined = match_on(placed, summary, [*by, "_stretch"], "left")
+    found = {target: F.coalesce(F.col("_near")[source], F.col("_far")[source]) for source, target in columns.items()}
+    return joined.select(*df.columns, *[value.alias(target) for target, value in found.items()])
 
 
 def every_nth(df: DataFrame, n: int, order: Sequence[str], by: Sequence[str] = (), name: str = "idx") -> DataFrame:

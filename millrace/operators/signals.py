@@ -202,7 +202,7 @@ def strategy_sweep(
                 )
             )
         last = F.lead(idx).over(window).isNull()
-        return frame.select(*by, idx, value, "_stretch", last.alias("_last"), F.array(*entries).alias("_shapes"))
+        return frame.withColumns({"_last": last, "_shapes": F.array(*entries)})
 
     rows = over_series(smoothed, build, by, idx, before=4, after=1)
     rows = rows.select(*by, idx, value, "_last", F.inline("_shapes"))

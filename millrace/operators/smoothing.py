@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from millrace.functions.kernels import Kernel, inverse_distance
 from millrace.functions.scalars import total
-from millrace.operators.series import home_stretch, over_series, spread, stretch_bits
+from millrace.operators.series import over_series
 
 # Up to this many window offsets in all passes together the JVM is faster, above it numpy is.
 COLUMN_OFFSETS = 32
@@ -58,43 +58,66 @@ class Smoother:
         kernels = [self.kernel, *[later] * (self.power - 1)][: self.power]
         return [[float(k(d)) for d in range(self.radius + 1)] for k in kernels]
 
-    def columns(self, frame: DataFrame, value: str, window: WindowSpec, output: str) -> DataFrame:
-        """The passes as stacked window expressions: lagged values times fixed weights."""
-        frame = frame.withColumn(output, F.col(value).cast("double"))
-        if self.power == 0 or self.radius == 0:
-            return frame
+    @property
+    def chain(self) -> tuple:
+        """Smoothers that differ in power only share their passes."""
+        return self.radius, self.kernel, self.causal, self.kernel_each_pass
+
+    def columns(self, frame: DataFrame, value: str, window: WindowSpec, names: Mapping[int, str]) -> DataFrame:
+        """The passes as stacked window expressions over lagged values; ``names`` gives the output of a power."""
+        frame = frame.withColumn("_pass", F.col(value).cast("double"))
         row = F.row_number().over(window) - 1
         whole = window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         frame = frame.withColumn("_left", F.least(row, F.lit(self.radius)))
         if not self.causal:
             frame = frame.withColumn("_right", F.least(F.count(F.lit(1)).over(whole) - 1 - row, F.lit(self.radius)))
-        for weights in self.weights():
-            sums = np.cumsum(weights)
-            parts = [F.col(output) * F.lit(weights[0])]
-            weight = _pick(sums, "_left")
-            for distance in range(1, self.radius + 1):
-                parts.append(F.lag(output, distance, 0.0).over(window) * F.lit(weights[distance]))
-                if not self.causal:
-                    parts.append(F.lead(output, distance, 0.0).over(window) * F.lit(weights[distance]))
+        for done, weights in enumerate([None, *self.weights()]):
+            if weights is not None:
+                frame = frame.withColumn("_pass", self._mean(weights, window))
+            if done in names:
+                frame = frame.withColumn(names[done], F.col("_pass"))
+        return frame.drop("_pass", "_left", "_right")
+
+    def _mean(self, weights: Sequence[float], window: WindowSpec) -> Column:
+        sums = np.cumsum(weights)
+        parts = [F.col("_pass") * F.lit(weights[0])]
+        weight = _pick(sums, "_left")
+        for distance in range(1, self.radius + 1):
+            parts.append(F.lag("_pass", distance, 0.0).over(window) * F.lit(weights[distance]))
             if not self.causal:
-                weight = weight + _pick(sums - sums[0], "_right")
-            frame = frame.withColumn(output, total(parts) / weight)
-        return frame.drop("_left", "_right")
-
-    def array(self, values: np.ndarray, run: np.ndarray) -> np.ndarray:
-        """The passes over an array in which equal ``run`` numbers mark one series."""
-        for weights in self.weights():
-            numerator = values * weights[0]
-            denominator = np.full(len(values), weights[0])
-            for distance in range(1, min(self.radius, len(values) - 1) + 1):
-                together = np.where(run[distance:] == run[:-distance], weights[distance], 0.0)
-                numerator[distance:] += together * values[:-distance]
-                denominator[distance:] += together
-                if not self.causal:
-                    numerator[:-distance] += together * values[distance:]
-                    denominator[:-distance] += together
-            values = numerator / denominator
-        return values
+                parts.append(F.lead("_pass", distance, 0.0).over(window) * F.lit(weights[distance]))
+        if not self.causal:
+            weight = weight + _pick(sums - sums[0], "_right")
+        return total(parts) / weight
+
+    def arrays(self, values: np.ndarray, run: np.ndarray, powers: Sequence[int]) -> dict[int, np.ndarray]:
+        """The passes over an array in which equal ``run`` numbers mark one series, after each of ``powers``.
+
+        ``radius`` zeros between the series keep them apart, so a pass is one convolution.
+        """
+        at = np.arange(len(values)) + self.radius * (run - run[0])
+        padded, present = np.zeros((2, at[-1] + 1 + self.radius))
+        padded[at], present[at] = values, 1.0
+        results = {0: values}
+        for done, weights in enumerate(self.weights(), start=1):
+            ahead = 0 if self.causal else self.radius
+            taps = np.array(weights if self.causal else [*reversed(weights[1:]), *weights])
+            weighted = np.convolve(padded, taps)[ahead:][at]
+            padded[at] = weighted / np.convolve(present, taps)[ahead:][at]
+            results[done] = padded[at]
+        return {power: results[power] for power in powers}
+
+
+def _chains(smoothers: Mapping[str, Smoother]) -> list[tuple[Smoother, dict[int, list[str]]]]:
+    """The strongest smoother of every chain, with the output columns of each power wanted from it."""
+    strongest: dict[tuple, Smoother] = {}
+    names: dict[tuple, dict[int, list[str]]] = {}
+    for name, smoother in smoothers.items():
+        key = smoother.chain
+        if key not in strongest or strongest[key].power < smoother.power:
+            strongest[key] = smoother
+        names.setdefault(key, {}).setdefault(smoother.power, []).append(name)
+    return [(strongest[key], names[key]) for key in strongest]
 
 
 def _pick(sums: Sequence[float], position: str) -> Column:
@@ -117,28 +140,27 @@ def smooth_many(
     """
     before = max(s.before for s in smoothers.values())
     after = max(s.after for s in smoothers.values())
-    bits = stretch_bits(before, after) if bits is None else bits
+    chains = _chains(smoothers)
     if arrays is None:
-        arrays = sum(s.offsets for s in smoothers.values()) > COLUMN_OFFSETS
-    if not arrays:
-
-        def build(frame: DataFrame, window: WindowSpec) -> DataFrame:
-            for output, smoother in smoothers.items():
-                frame = smoother.columns(frame, value, window, output)
-            return frame
+        arrays = sum(s.offsets for s, _ in chains) > COLUMN_OFFSETS
 
-        return over_series(df, build, by, idx, before, after, bits)
+    def in_columns(frame: DataFrame, window: WindowSpec) -> DataFrame:
+        for smoother, names in chains:
+            frame = smoother.columns(frame, value, window, {p: n[0] for p, n in names.items()})
+            frame = frame.withColumns({n: F.col(ns[0]) for ns in names.values() for n in ns[1:]})
+        return frame
 
-    keys = [*by, "_stretch"]
-    laid_out = spread(df, idx, before, after, bits).repartition(*keys).sortWithinPartitions(*keys, idx)
-    schema = T.StructType([*laid_out.schema.fields, *[T.StructField(o, T.DoubleType()) for o in smoothers]])
+    def in_arrays(frame: DataFrame, window: WindowSpec) -> DataFrame:
+        # The window lays each series out in order within one partition, and marks where it starts.
+        marked = frame.withColumn("_start", F.row_number().over(window) == 1)
+        added = [T.StructField(output, T.DoubleType()) for output in smoothers]
+        passes = _batch_passes(chains, list(smoothers), value, before, after)
+        return marked.mapInPandas(passes, T.StructType([*frame.schema.fields, *added]))
 
-    passes = _batch_passes(dict(smoothers), value, idx, bits, before, after)
-    built = laid_out.mapInPandas(passes, schema)
-    return built.where(F.col("_stretch") == home_stretch(idx, bits)).drop("_stretch")
+    return over_series(df, in_arrays if arrays else in_columns, by, idx, before, after, bits)
 
 
-def _batch_passes(smoothers: dict[str, Smoother], value: str, idx: str, bits: int, before: int, after: int):
+def _batch_passes(chains, outputs: list[str], value: str, before: int, after: int):
     """A mapInPandas function over rows sorted by series.
 
     It holds back the newest ``after`` rows and keeps the last ``before`` finished ones, so its memory does not
@@ -147,12 +169,14 @@ def _batch_passes(smoothers: dict[str, Smoother], value: str, idx: str, bits: in
     enough = 4 * (before + after) + 1
 
     def finish(held: pd.DataFrame, start: int, stop: int) -> pd.DataFrame:
-        positions, stretches = held[idx].to_numpy(), held["_stretch"].to_numpy()
-        # Positions have no gaps, so the first copied row of a stretch has a known position.
-        run = np.cumsum(positions == np.maximum((stretches << bits) - before, 0))
+        run = np.cumsum(held["_start"].to_numpy(dtype=bool))
         values = held[value].to_numpy(dtype="float64")
-        computed = {name: smoother.array(values, run)[start:stop] for name, smoother in smoothers.items()}
-        return held.iloc[start:stop].assign(**computed)
+        computed = {}
+        for smoother, names in chains:
+            for power, result in smoother.arrays(values, run, list(names)).items():
+                computed |= {name: result[start:stop] for name in names[power]}
+        rows = held.iloc[start:stop].drop(columns="_start")
+        return rows.assign(**{name: computed[name] for name in outputs})
 
     def run_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         waiting: list[pd.DataFrame] = []

@@ -72,7 +72,7 @@ def _day_events(spark, folder):
 
 @query(f"WITH {STEPS} SELECT * FROM ones UNION ALL SELECT * FROM twos")
 def freq_sequences(spark, folder):
-    rows = mining.edge_sequences(_day_events(spark, folder), ["user_id", "day"], ["ts", "event_id"], "event_type")
+    rows = mining.edge_sequences(_day_events(spark, folder), ["user_id", "day"], ["ts"], "event_type")
     found = mining.frequent_sequences(rows, "sequence", SUPPORT, max_length=2)
     # Every element holds one event, so a pattern of two reads "a>b".
     return found.select(F.array_join(F.flatten("sequence"), ">").alias("sequence"), "freq")
