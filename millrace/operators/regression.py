@@ -30,13 +30,16 @@ TARGET = "target"
 
 
 def _product_sums(terms: Sequence[str], target: str) -> list[Column]:
-    """Upper triangle of the products of terms, terms times target, target squared, rows."""
+    """Upper triangle of the products of terms, terms times target, target squared, rows.
+
+    The names are private ones, so that they cannot meet those of grouping columns.
+    """
     pairs = [F.sum(F.col(a) * F.col(b)) for i, a in enumerate(terms) for b in terms[i:]]
     return [
-        F.array(*pairs).alias("xtx"),
-        F.array(*[F.sum(F.col(a) * F.col(target)) for a in terms]).alias("xty"),
-        F.sum(F.col(target) * F.col(target)).alias("yty"),
-        F.count(F.lit(1)).alias("n"),
+        F.array(*pairs).alias("_xtx"),
+        F.array(*[F.sum(F.col(a) * F.col(target)) for a in terms]).alias("_xty"),
+        F.sum(F.col(target) * F.col(target)).alias("_yty"),
+        F.count(F.lit(1)).alias("_n"),
     ]
 
 
@@ -65,9 +68,10 @@ class Moments:
 
     @classmethod
     def from_row(cls, terms: Sequence[str], row, scan_rss=None) -> Moments:
-        if row["n"] == 0:
+        if row["_n"] == 0:
             raise ValueError("no rows to fit")
-        return cls(tuple(terms), _full(np.array(row["xtx"]), len(terms)), np.array(row["xty"]), row["yty"], row["n"], scan_rss)
+        xtx = _full(np.array(row["_xtx"]), len(terms))
+        return cls(tuple(terms), xtx, np.array(row["_xty"]), row["_yty"], row["_n"], scan_rss)
 
     def subset(self, terms: Sequence[str]) -> Moments:
         at = [self.terms.index(t) for t in terms]
@@ -130,8 +134,6 @@ def fit_groups(df: DataFrame, terms: Sequence[str], target: str, by: Sequence[st
     """
     terms = list(terms)
     sums = df.groupBy(*by).agg(*_product_sums(terms, target))
-    # A group column may share its name with a sum, so the sums travel under private names.
-    sums = sums.select(*by, *[F.col(c).alias(f"_{c}") for c in ("xtx", "xty", "yty", "n")])
     fields = [f"{f.name} {f.dataType.simpleString()}" for f in df.select(*by).schema.fields]
     schema = ", ".join([*fields, "rows bigint", "rss double", *[f"{t} double" for t in terms]])
 
