@@ -11,7 +11,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.series import home_stretch, match_on, stretch_bits, with_position
-from millrace.session import stage
+from millrace.session import stage, stage_table
+
+
+BROADCAST_ROWS = 1_000_000
 
 
 def least_count(rows: int, min_support: float) -> int:
@@ -21,10 +24,9 @@ def least_count(rows: int, min_support: float) -> int:
 def mine_baskets(baskets: DataFrame, items: str, min_support: float, min_confidence: float = 0.8, partitions: int | None = None):
     """A fitted FP-growth model over rows of item arrays; repeated items of a basket count once."""
     rows = baskets.select(F.array_distinct(items).alias("items"))
+    partitions = partitions or int(baskets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     learner = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence)
-    if partitions:
-        learner.setNumPartitions(partitions)
-    return learner.fit(rows)
+    return learner.setNumPartitions(partitions).fit(rows)
 
 
 def itemsets_of(model) -> DataFrame:
@@ -41,17 +43,24 @@ def mine_pairs(
 ):
     """FP-growth over (basket, item) rows.
 
-    Items too rare for any frequent set are dropped before baskets are put together: each remaining item is in at
-    least ``min_support`` of all baskets, which bounds how long a basket can get. Counts and confidences are not
-    affected, and all baskets count for the support.
+    Items too rare for any frequent set stay out of the baskets: each remaining item is in at least ``min_support``
+    of all baskets, which bounds how long a basket can get. All baskets count for the support, empty ones too.
     """
-    pairs = stage(pairs.select(*basket, item).distinct())
-    least = least_count(pairs.select(*basket).distinct().count(), min_support)
-    frequent = pairs.groupBy(item).count().where(F.col("count") >= least).select(item)
-    baskets = pairs.join(frequent, item, "left_semi").groupBy(*basket).agg(F.collect_list(item).alias("items"))
-    baskets = stage(baskets.select("items"))
-    share = (least - 0.5) / max(baskets.count(), 1)
-    return mine_baskets(baskets, "items", min(share, 1.0), min_confidence, partitions)
+    pairs = stage_table(pairs.select(*basket, item).distinct())
+    rows, baskets = pairs.groupBy(*basket).count().agg(F.sum("count"), F.count(F.lit(1))).first()
+    least = least_count(baskets, min_support)
+    frequent = pairs.groupBy(item).count().where(F.col("count") >= least).select(item, F.lit(True).alias("_frequent"))
+    # At most rows / least items reach the least count, so the size of this side is known before it is broadcast.
+    if (rows or 0) <= least * BROADCAST_ROWS:
+        frequent = F.broadcast(frequent)
+    marked = spread_rows(pairs.join(frequent, item, "left"), *basket)
+    kept = F.collect_list(F.when(F.col("_frequent"), F.col(item)))
+    return mine_baskets(marked.groupBy(*basket).agg(kept.alias("items")), "items", min_support, min_confidence, partitions)
+
+
+def spread_rows(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition for work that is heavy per row, into a fixed number that is not merged for being small."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
 def frequent_sequences(df: DataFrame, sequence: str, min_support: float, max_length: int = 5) -> DataFrame:
@@ -71,7 +80,7 @@ def edge_sequences(df: DataFrame, by: Sequence[str], order: Sequence[str], item:
     edges = df.groupBy(*by, item).agg(F.min(at).alias("_first"), F.max(at).alias("_last"))
     kept = edges.select(*by, item, F.explode(F.array_distinct(F.array("_first", "_last"))).alias("_at"))
     steps = F.array_sort(F.collect_list(F.struct("_at", item)))
-    return kept.groupBy(*by).agg(F.transform(steps, lambda s: F.array(s[item])).alias(output))
+    return spread_rows(kept, *by).groupBy(*by).agg(F.transform(steps, lambda s: F.array(s[item])).alias(output))
 
 
 def grow_sequences(
@@ -90,30 +99,29 @@ def grow_sequences(
     among one row per stretch and item.
     """
     bits = stretch_bits(0, 0) if bits is None else bits
-    steps = stage(with_position(df.select(*by, *order, item), order, by, "_idx")).select(
-        *by, "_idx", home_stretch("_idx", bits).alias("_stretch"), F.col(item).alias("_item")
-    )
-    least = least_count(steps.select(*by).distinct().count(), min_support)
-    frequent = steps.select(*by, "_item").distinct().groupBy("_item").count().where(F.col("count") >= least)
-    steps = stage(steps.join(frequent.select("_item"), "_item", "left_semi"))
+    steps = stage_table(with_position(df.select(*by, *order, item), order, by, "_idx"))
+    steps = steps.select(*by, "_idx", home_stretch("_idx", bits).alias("_stretch"), F.col(item).alias("_item"))
+    groups = steps.where("_idx = 0").count()
+    least = least_count(groups, min_support)
     firsts = stage(steps.groupBy(*by, "_stretch", "_item").agg(F.min("_idx").alias("_idx")))
 
-    ends = firsts.groupBy(*by, "_item").agg(F.min("_idx").alias("_end")).select(
-        *by, F.array("_item").alias("_pattern"), "_end"
-    )
-    levels = []
+    ends = firsts.groupBy(*by, "_item").agg(F.min("_idx").alias("_end"))
+    ends = ends.select(*by, F.array("_item").alias("_pattern"), "_end")
+    levels: list[DataFrame] = []
     for length in range(1, max_length + 1):
-        counts = ends.groupBy("_pattern").count().where(F.col("count") >= least)
-        levels.append(stage(counts))
+        levels.append(stage(ends.groupBy("_pattern").count().where(F.col("count") >= least)))
         if length == max_length or levels[-1].isEmpty():
             break
-        ends = stage(ends.join(levels[-1].select("_pattern"), "_pattern", "left_semi"))
-        ends = ends.withColumn("_stretch", home_stretch("_end", bits))
-        near = match_on(ends, steps, [*by, "_stretch"]).where(F.col("_idx") > F.col("_end"))
-        far_firsts = firsts.withColumnRenamed("_stretch", "_later")
-        far = match_on(ends, far_firsts, by).where(F.col("_later") > F.col("_stretch"))
+        if length == 1:
+            items = levels[0].select(F.col("_pattern")[0].alias("_item"))
+            steps, firsts = (rows.join(items, "_item", "left_semi") for rows in (steps, firsts))
+        grown = ends.join(levels[-1].select("_pattern"), "_pattern", "left_semi")
+        grown = grown.withColumn("_stretch", home_stretch("_end", bits))
+        near = match_on(grown, steps, [*by, "_stretch"]).where(F.col("_idx") > F.col("_end"))
+        later = firsts.withColumnRenamed("_stretch", "_later")
+        far = match_on(grown, later, by).where(F.col("_later") > F.col("_stretch"))
         columns = [*by, "_pattern", "_item", "_idx"]
         found = near.select(*columns).unionByName(far.select(*columns))
         ends = found.groupBy(*by, "_pattern", "_item").agg(F.min("_idx").alias("_end"))
-        ends = stage(ends.select(*by, F.concat("_pattern", F.array("_item")).alias("_pattern"), "_end"))
+        ends = stage_table(ends.select(*by, F.concat("_pattern", F.array("_item")).alias("_pattern"), "_end"))
     return reduce(DataFrame.unionByName, levels).select(F.col("_pattern").alias("sequence"), F.col("count").alias("freq"))

@@ -127,26 +127,44 @@ def moments_of_parts(df: DataFrame, terms: Sequence[str], target: str, part: str
     return {row[part]: Moments.from_row(terms, row) for row in rows}
 
 
-def fit_groups(df: DataFrame, terms: Sequence[str], target: str, by: Sequence[str]) -> DataFrame:
+def fit_groups(
+    df: DataFrame,
+    terms: Sequence[str],
+    target: str,
+    by: Sequence[str],
+    models: Mapping[int | str, Sequence[str]] | None = None,
+    model_column: str = "model",
+) -> DataFrame:
     """One least-squares fit per group, any number of groups: ``by..., rows, rss, term...``.
 
-    Rows are reduced to sums before the shuffle, so a group of any size costs its tasks one row each.
+    Rows are reduced to sums before the shuffle, so a group of any size costs its tasks one row each. ``models``
+    fits several subsets of the terms from the same sums, a row each, with NULL for the terms a model lacks.
     """
     terms = list(terms)
+    chosen = {None: terms} if models is None else dict(models)
     sums = df.groupBy(*by).agg(*_product_sums(terms, target))
     fields = [f"{f.name} {f.dataType.simpleString()}" for f in df.select(*by).schema.fields]
+    if models is not None:
+        fields.append(f"{model_column} {'int' if isinstance(next(iter(chosen)), int) else 'string'}")
     schema = ", ".join([*fields, "rows bigint", "rss double", *[f"{t} double" for t in terms]])
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if batch.empty:
                 continue
-            xtx = _full(np.stack(batch["_xtx"].to_numpy()), len(terms))
-            xty = np.stack(batch["_xty"].to_numpy())
-            w = _solve(xtx, xty)
-            rss = batch["_yty"].to_numpy() - 2 * (w * xty).sum(axis=1) + np.einsum("gi,gij,gj->g", w, xtx, w)
-            out = batch[list(by)].assign(rows=batch["_n"], rss=np.maximum(rss, 0.0))
-            yield out.assign(**{t: w[:, i] for i, t in enumerate(terms)})
+            all_xtx = _full(np.stack(batch["_xtx"].to_numpy()), len(terms))
+            all_xty = np.stack(batch["_xty"].to_numpy())
+            for name, wanted in chosen.items():
+                at = [terms.index(t) for t in wanted]
+                xtx, xty = all_xtx[:, at][:, :, at], all_xty[:, at]
+                w = _solve(xtx, xty)
+                rss = batch["_yty"].to_numpy() - 2 * (w * xty).sum(axis=1) + np.einsum("gi,gij,gj->g", w, xtx, w)
+                out = batch[list(by)]
+                if name is not None:
+                    out = out.assign(**{model_column: name})
+                out = out.assign(rows=batch["_n"], rss=np.maximum(rss, 0.0))
+                found = dict(zip(wanted, w.T))
+                yield out.assign(**{t: found.get(t, np.nan) for t in terms})
 
     return sums.mapInPandas(solve, schema)
 
@@ -440,7 +458,8 @@ def degree_frame(spark: SparkSession, fits: Sequence[PolynomialFit]) -> DataFram
     return spark.createDataFrame(rows, "degree int, part string, rss double")
 
 
-def fit_polynomial_groups(df: DataFrame, x: str, y: str, degree: int, by: Sequence[str]) -> DataFrame:
-    """One polynomial fit per group."""
-    terms = [f"power_{p}" for p in range(degree + 1)]
-    return fit_groups(with_powers(df, x, degree), terms, y, by)
+def fit_polynomial_groups(df: DataFrame, x: str, y: str, degrees: Sequence[int], by: Sequence[str]) -> DataFrame:
+    """Polynomial fits of several degrees per group, all from the sums of the highest."""
+    terms = [f"power_{p}" for p in range(max(degrees) + 1)]
+    models = {degree: terms[: degree + 1] for degree in degrees}
+    return fit_groups(with_powers(df, x, max(degrees)), terms, y, by, models, "degree")

@@ -22,7 +22,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from millrace.session import stage
+from millrace.session import stage_table
 
 ROWS_PER_TASK = 1_000_000
 STRETCH_BITS = 16
@@ -71,8 +71,8 @@ def with_position(
 def _position_by_ranges(df: DataFrame, order: Sequence[str], by: Sequence[str], name: str, parts: int) -> DataFrame:
     parts = max(parts, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     keys = [*by, *order]
-    # Staged, because a second evaluation would sample other range bounds and move rows between partitions.
-    ranged = stage(
+    # Written once, because a second evaluation would sample other range bounds and move rows between partitions.
+    ranged = stage_table(
         df.repartitionByRange(parts, *keys)
         .sortWithinPartitions(*keys)
         .withColumn("_id", F.monotonically_increasing_id())

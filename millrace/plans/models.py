@@ -282,10 +282,7 @@ def fit_by_day(spark, folder):
     """Two polynomial fits per day, over the minutes since its first tick."""
     text = load(spark, folder, "events", F.date_format("ts", CLOCK).alias("text"), "value")
     ticks = minutes_since_open(text, "text", CLOCK).select("day", (F.col("minutes") / 1440.0).alias("x"), "value")
-    fits = [regression.fit_polynomial_groups(ticks, "x", "value", degree, ["day"]) for degree in (1, 2)]
-    first = fits[0].withColumns({"degree": F.lit(1), "power_2": F.lit(None).cast("double")})
-    both = first.unionByName(fits[1].withColumn("degree", F.lit(2)))
-    both = both.select("day", "degree", "rows", "rss", "power_0", "power_1", "power_2")
+    both = regression.fit_polynomial_groups(ticks, "x", "value", (1, 2), ["day"])
     return rounded(rounded(both, 4, "power_0", "power_1", "power_2"), 3, "rss")
 
 

@@ -48,6 +48,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def stage(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and cut its lineage with a reliable checkpoint."""
+    """Compute a small frame once and cut its lineage with a reliable checkpoint."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stage_table(df: DataFrame) -> DataFrame:
+    """The same for a large frame, as a table in the shared folder: later scans read only the columns they need."""
+    path = scratch_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
