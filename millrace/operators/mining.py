@@ -10,7 +10,7 @@ from pyspark.ml.fpm import FPGrowth, PrefixSpan
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.series import home_stretch, match_on, stretch_bits, with_position
+from millrace.operators.series import home_stretch, match_on, with_position
 from millrace.session import stage, stage_table
 
 
@@ -96,13 +96,13 @@ def grow_sequences(
 
     For each pattern a group keeps the position where its earliest occurrence ends. A longer pattern ends at the
     next occurrence of its last item, which is looked up in the same stretch row by row, and in later stretches
-    among one row per stretch and item.
+    among one row per stretch and item. Stretches of about the square root of the longest group keep both short.
     """
-    bits = stretch_bits(0, 0) if bits is None else bits
     steps = stage_table(with_position(df.select(*by, *order, item), order, by, "_idx"))
-    steps = steps.select(*by, "_idx", home_stretch("_idx", bits).alias("_stretch"), F.col(item).alias("_item"))
-    groups = steps.where("_idx = 0").count()
+    groups, last = steps.agg(F.count_if(F.col("_idx") == 0), F.max("_idx")).first()
     least = least_count(groups, min_support)
+    bits = math.ceil(math.log2((last or 0) + 2) / 2) + 1 if bits is None else bits
+    steps = steps.select(*by, "_idx", home_stretch("_idx", bits).alias("_stretch"), F.col(item).alias("_item"))
     firsts = stage(steps.groupBy(*by, "_stretch", "_item").agg(F.min("_idx").alias("_idx")))
 
     ends = firsts.groupBy(*by, "_item").agg(F.min("_idx").alias("_end"))
@@ -118,7 +118,8 @@ def grow_sequences(
         grown = ends.join(levels[-1].select("_pattern"), "_pattern", "left_semi")
         grown = grown.withColumn("_stretch", home_stretch("_end", bits))
         near = match_on(grown, steps, [*by, "_stretch"]).where(F.col("_idx") > F.col("_end"))
-        later = firsts.withColumnRenamed("_stretch", "_later")
+        # A later stretch is never the first one, which spares most groups this join.
+        later = firsts.where("_stretch > 0").withColumnRenamed("_stretch", "_later")
         far = match_on(grown, later, by).where(F.col("_later") > F.col("_stretch"))
         columns = [*by, "_pattern", "_item", "_idx"]
         found = near.select(*columns).unionByName(far.select(*columns))
