@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from millrace.session import stage_table
 
 ROWS_PER_TASK = 1_000_000
+ROWS_PER_RANGE = 8  # times ROWS_PER_TASK; a range is only sorted, which can spill
 STRETCH_BITS = 16
 LONGEST = "longest_series"  # metadata of a position column: rows of the longest series
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number of a partition in its low 33 bits
@@ -65,7 +66,7 @@ def with_position(
         window = Window.partitionBy(*by).orderBy(*order)
         position = (F.row_number().over(window) - 1).cast("bigint")
         return df.withColumn(name, position.alias(name, metadata={LONGEST: largest}))
-    return _position_by_ranges(df, order, by, name, math.ceil(rows / rows_per_task))
+    return _position_by_ranges(df, order, by, name, math.ceil(rows / (ROWS_PER_RANGE * rows_per_task)))
 
 
 def _position_by_ranges(df: DataFrame, order: Sequence[str], by: Sequence[str], name: str, parts: int) -> DataFrame:

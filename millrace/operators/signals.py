@@ -128,19 +128,16 @@ def with_price_signals(
 ) -> DataFrame:
     """Signals from the derivatives of the smoothed series; the raw value stays for the trade prices."""
     smoothed = smooth_many(df, value, {"smoothed": smoother}, by, idx)
-    return _signals_from(smoothed, "smoothed", slope_level, curvature_level, by, idx)
 
-
-def _signals_from(df, smoothed, slope_level, curvature_level, by, idx):
     def build(frame: DataFrame, window: WindowSpec) -> DataFrame:
-        frame = frame.withColumn("slope", slope(smoothed, window, idx))
+        frame = frame.withColumn("slope", slope("smoothed", window, idx))
         frame = frame.withColumn("curvature", slope("slope", window, idx))
         later = (F.lead("slope").over(window), F.lead("curvature").over(window))
         here = (F.col("slope"), F.col("curvature"))
         rule = crossing_rule(here, later, F.lit(slope_level), F.lit(curvature_level))
         return frame.withColumn("signal", F.when(F.lead(idx).over(window).isNull(), "sell").otherwise(rule))
 
-    return over_series(df, build, by, idx, before=4, after=1)
+    return over_series(smoothed, build, by, idx, before=4, after=1)
 
 
 def with_trades(
@@ -178,8 +175,8 @@ def strategy_sweep(
 ) -> DataFrame:
     """Trades and log return of every parameter combination.
 
-    Each (radius, power) is smoothed once. The levels multiply rows only after both derivatives and their next
-    values stand in the row, so no window is repeated per combination.
+    Each (radius, power) is smoothed once, and both derivatives and their next values are put into the row, so no
+    window is repeated per combination. A row then multiplies only into the combinations in which it signals.
     """
     shapes = {f"_s{i}": shape for i, shape in enumerate(itertools.product(radii, powers))}
     smoothed = smooth_many(
@@ -187,39 +184,60 @@ def strategy_sweep(
     )
 
     def build(frame: DataFrame, window: WindowSpec) -> DataFrame:
-        entries = []
-        for name, (radius, power) in shapes.items():
-            frame = frame.withColumn(f"{name}d", slope(name, window, idx))
-            frame = frame.withColumn(f"{name}c", slope(f"{name}d", window, idx))
-            entries.append(
-                F.struct(
-                    F.lit(radius).alias("radius"),
-                    F.lit(power).alias("power"),
-                    F.col(f"{name}d").alias("d"),
-                    F.col(f"{name}c").alias("c"),
-                    F.lead(f"{name}d").over(window).alias("d_later"),
-                    F.lead(f"{name}c").over(window).alias("c_later"),
-                )
+        # All shapes at once per step, so that their windows share one operator.
+        frame = frame.withColumns({f"{name}d": slope(name, window, idx) for name in shapes})
+        frame = frame.withColumns({f"{name}c": slope(f"{name}d", window, idx) for name in shapes})
+        entries = [
+            F.struct(
+                F.lit(radius).alias("radius"),
+                F.lit(power).alias("power"),
+                F.col(f"{name}d").alias("d"),
+                F.col(f"{name}c").alias("c"),
+                F.lead(f"{name}d").over(window).alias("d_later"),
+                F.lead(f"{name}c").over(window).alias("c_later"),
             )
+            for name, (radius, power) in shapes.items()
+        ]
         last = F.lead(idx).over(window).isNull()
         return frame.withColumns({"_last": last, "_shapes": F.array(*entries)})
 
     rows = over_series(smoothed, build, by, idx, before=4, after=1)
     rows = rows.select(*by, idx, value, "_last", F.inline("_shapes"))
-    grid = with_grid(rows, {"slope_level": slope_levels, "curvature_level": curvature_levels})
-    rule = crossing_rule(
-        (F.col("d"), F.col("c")),
-        (F.col("d_later"), F.col("c_later")),
-        F.col("slope_level"),
-        F.col("curvature_level"),
-    )
-    signal = F.when(F.col("_last"), "sell").otherwise(rule)
     params = ["radius", "power", "slope_level", "curvature_level"]
-    signalled = grid.select(*by, *params, idx, value, signal.alias("signal"))
+    signalled = _signals_on_grid(rows, slope_levels, curvature_levels).select(*by, *params, idx, value, "signal")
     keys = [*by, *params]
     return strategy_returns(with_trades(signalled, keys, idx), value, fee, keys)
 
 
+def _signals_on_grid(df: DataFrame, slope_levels: Sequence[float], curvature_levels: Sequence[float]) -> DataFrame:
+    """One row per combination of levels that gives a signal, as ``crossing_rule`` would.
+
+    A level is crossed if it lies between the two values, so crossed levels are picked per axis before the axes
+    are combined.
+    """
+
+    def between(level: Column, name: str) -> Column:
+        a, b = F.col(name), F.col(f"{name}_later")
+        return ((a < level) & (level < b)) | ((b < level) & (level < a))
+
+    slopes = F.array(*[F.lit(float(level)) for level in slope_levels])
+    curves = F.array(*[F.lit(float(level)) for level in curvature_levels])
+    crossed = F.filter(curves, lambda level: between(level, "c"))
+    by_slope = F.when(F.col("d") < F.col("d_later"), "sell").otherwise("buy")
+    by_curvature = F.when(F.col("c") > F.col("c_later"), "sell").otherwise("buy")
+
+    def option(level: Column) -> Column:
+        decided = F.col("_last") | between(level, "d")
+        return F.struct(
+            level.alias("slope_level"),
+            F.when(decided, curves).otherwise(crossed).alias("_levels"),
+            F.when(F.col("_last"), "sell").when(decided, by_slope).otherwise(by_curvature).alias("signal"),
+        )
+
+    options = df.select("*", F.inline(F.transform(slopes, option)))
+    return options.select("*", F.explode("_levels").alias("curvature_level"))
+
+
 def with_grid(df: DataFrame, axes: Mapping[str, Sequence]) -> DataFrame:
     """Repeat each row for every combination of the given parameter values."""
     points = [

@@ -152,13 +152,30 @@ def sgd_fit(spark, folder):
     return rounded(fit.frame(spark).select(steps, "term", "coefficient"), 9, "coefficient")
 
 
-@query()
+def search_sql(first: float, attempts: int) -> str:
+    """Every candidate step in full, then the first one that the next does not improve."""
+    tries, k = [], len(TERMS)
+    for attempt in range(attempts):
+        step = first / 10**attempt
+        name = f"try_{attempt}"
+        error = f"sqrt({rss_sql(k, [f'w{i}' for i in range(k)])} / n)"
+        tries.append(sgd_cte(TERMS, 100, step, 0.001, name=name))
+        tries.append(f"e{attempt} AS (SELECT {name}.*, {error} AS e, {step}::DOUBLE AS step FROM {name}, s ORDER BY i DESC LIMIT 1)")
+    choice = " ".join(f"WHEN NOT e{a + 1}.e < e{a}.e THEN e{a}.step" for a in range(attempts - 1))
+    every = " UNION ALL ".join(f"SELECT * FROM e{a}" for a in range(attempts))
+    sources = ", ".join(f"e{a}" for a in range(attempts))
+    return f"""SELECT * FROM (WITH RECURSIVE {DESIGN}, {sums_sql(TERMS)}, {", ".join(tries)}, every AS ({every}),
+        choice AS (SELECT CASE {choice} END AS step FROM {sources}) SELECT every.* FROM every JOIN choice USING (step))"""
+
+
+@query(terms_out(TERMS, f"({search_sql(5.0, 5)})", digits=6, extra="step, round(e, 6) AS rmse, "))
 def step_search(spark, folder):
-    """Steps from one that diverges down to the best one."""
+    """Steps from one that is far too long down to the best one."""
     m = regression.moments(design(spark, folder), TERMS, "price")
-    fit, step = regression.search_step(m, first_step=1000.0)
+    fit, step = regression.search_step(m, first_step=5.0)
     error = m.rmse(np.array(list(fit.weights.values())))
-    return fit.frame(spark).select("term", "coefficient", F.lit(step).alias("step"), F.lit(error).alias("rmse"))
+    found = fit.frame(spark).select(F.lit(step).alias("step"), F.lit(error).alias("rmse"), "term", "coefficient")
+    return rounded(found, 6, "rmse", "coefficient")
 
 
 MODELS = {"one": TERMS[:2], "two": TERMS, "three": [*TERMS, "xz"]}
