@@ -10,13 +10,10 @@ from pyspark.ml.fpm import FPGrowth, PrefixSpan
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.series import home_stretch, match_on, with_position
+from millrace.operators.series import BROADCAST_ROWS, home_stretch, match_on, with_position
 from millrace.session import stage, stage_table
 
 
-BROADCAST_ROWS = 1_000_000
-
-
 def least_count(rows: int, min_support: float) -> int:
     return max(1, math.ceil(rows * min_support))
 

@@ -344,15 +344,20 @@ def fit_linear(
     intercept: bool = True,
     standardize: bool = True,
     max_iter: int = 100,
+    solver: str | None = None,
 ):
-    """A fitted ML pipeline model, and its coefficients as a dict."""
+    """A fitted ML model, and its coefficients as a dict.
+
+    Without a penalty the normal equations are solved in one pass; ``solver`` forces another way.
+    """
     ready = VectorAssembler(inputCols=list(features), outputCol="features").transform(df)
-    solver = "normal" if elastic_net == 0.0 or reg == 0.0 else "auto"
+    if solver is None:
+        solver = "normal" if elastic_net == 0.0 or reg == 0.0 else "auto"
     model = LinearRegression(
         featuresCol="features",
         labelCol=label,
         regParam=reg,
-        elasticNetParam=elastic_net if solver == "auto" else 0.0,
+        elasticNetParam=0.0 if solver == "normal" else elastic_net,
         fitIntercept=intercept,
         standardization=standardize,
         maxIter=max_iter,

@@ -27,17 +27,18 @@ from millrace.session import stage_table
 ROWS_PER_TASK = 1_000_000
 ROWS_PER_RANGE = 8  # times ROWS_PER_TASK; a range is only sorted, which can spill
 STRETCH_BITS = 16
+BROADCAST_ROWS = 500_000
 LONGEST = "longest_series"  # metadata of a position column: rows of the longest series
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number of a partition in its low 33 bits
 
 
-def group_sizes(df: DataFrame, by: Sequence[str]) -> tuple[int, int]:
-    """(all rows, rows of the largest group); only the two numbers reach the driver."""
+def group_sizes(df: DataFrame, by: Sequence[str]) -> tuple[int, int, int]:
+    """(rows, groups, rows of the largest group); only these numbers reach the driver."""
     if not by:
         n = df.count()
-        return n, n
-    row = df.groupBy(*by).count().agg(F.sum("count"), F.max("count")).first()
-    return row[0] or 0, row[1] or 0
+        return n, 1, n
+    row = df.groupBy(*by).count().agg(F.sum("count"), F.count("count"), F.max("count")).first()
+    return row[0] or 0, row[1], row[2] or 0
 
 
 def match_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -61,16 +62,19 @@ def with_position(
     ``order`` must be unique within a series, otherwise positions of equal rows are arbitrary.
     """
     rows_per_task = rows_per_task or ROWS_PER_TASK
-    rows, largest = group_sizes(df, by)
+    rows, groups, largest = group_sizes(df, by)
     if largest <= rows_per_task:
         window = Window.partitionBy(*by).orderBy(*order)
         position = (F.row_number().over(window) - 1).cast("bigint")
         return df.withColumn(name, position.alias(name, metadata={LONGEST: largest}))
-    return _position_by_ranges(df, order, by, name, math.ceil(rows / (ROWS_PER_RANGE * rows_per_task)))
+    parts = math.ceil(rows / (ROWS_PER_RANGE * rows_per_task))
+    parts = max(parts, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return _position_by_ranges(df, order, by, name, parts, groups)
 
 
-def _position_by_ranges(df: DataFrame, order: Sequence[str], by: Sequence[str], name: str, parts: int) -> DataFrame:
-    parts = max(parts, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+def _position_by_ranges(
+    df: DataFrame, order: Sequence[str], by: Sequence[str], name: str, parts: int, groups: int
+) -> DataFrame:
     keys = [*by, *order]
     # Written once, because a second evaluation would sample other range bounds and move rows between partitions.
     ranged = stage_table(
@@ -93,6 +97,8 @@ def _position_by_ranges(df: DataFrame, order: Sequence[str], by: Sequence[str],
         # A group is matched partition by partition, so that a huge group stays spread over many tasks.
         heads = placed.groupBy("_part", *by).agg(F.min(name).alias("_head"))
         heads = heads.withColumn("_head", F.min("_head").over(Window.partitionBy(*by)))
+        if groups + parts <= BROADCAST_ROWS:  # a group begins once and goes on in at most all partitions together
+            heads = F.broadcast(heads)
         placed = match_on(placed, heads, ["_part", *by]).withColumn(name, F.col(name) - F.col("_head"))
     return placed.select(*df.columns, name)
 

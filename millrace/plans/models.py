@@ -318,9 +318,31 @@ def degree_rss(spark, folder):
     return rounded(regression.degree_frame(spark, _degrees(spark, folder, 2)), 4, "rss")
 
 
-@query()
+def degrees_sql(max_degree: int) -> str:
+    """Residuals after every degree, by polynomials that are orthogonal over the fitted rows (three-term recurrence)."""
+    steps = ["r_0 AS MATERIALIZED (SELECT part, x * 2 - 1 AS x, price AS e, 1.0::DOUBLE AS p, 0.0::DOUBLE AS q FROM parts)"]
+    results = []
+    for k in range(max_degree + 1):
+        previous = "sum(q * q)" if k else "1.0"
+        beta = f"sum(p * p) / {previous}" if k else "0.0::DOUBLE"
+        steps.append(
+            f"""s_{k} AS MATERIALIZED (SELECT sum(e * p) / sum(p * p) AS c, sum(x * p * p) / sum(p * p) AS alpha, {beta} AS beta
+                FROM r_{k} WHERE part = 'train')"""
+        )
+        steps.append(
+            f"""r_{k + 1} AS MATERIALIZED (SELECT part, x, e - c * p AS e, (x - alpha) * p - beta * q AS p, p AS q FROM r_{k}, s_{k})"""
+        )
+        if k:
+            results.append(f"SELECT {k} AS degree, part, sum(e * e) AS rss FROM r_{k + 1} GROUP BY part")
+    return f"""WITH {DESIGN}, {PARTS}, {", ".join(steps)}, every AS MATERIALIZED ({" UNION ALL ".join(results)}),
+        best AS (SELECT arg_min(degree, rss) AS chosen FROM every WHERE part = 'validation')
+        SELECT degree, part, round(rss, 4) AS rss, degree = chosen AS best FROM every, best"""
+
+
+@query(degrees_sql(15))
 def degree_select(spark, folder):
     """Degrees 1 to 15; the one with the least validation error is marked."""
     fits = _degrees(spark, folder, 15)
     best = regression.best_degree(fits).degree
-    return regression.degree_frame(spark, fits).withColumn("best", F.col("degree") == best)
+    frame = regression.degree_frame(spark, fits).withColumn("best", F.col("degree") == best)
+    return rounded(frame, 4, "rss")

@@ -36,6 +36,12 @@ def test_positions(ticks, by, rows_per_task):
     assert placed.schema["idx"].dataType.simpleString() == "bigint"
 
 
+def test_positions_without_a_broadcast(ticks, monkeypatch):
+    monkeypatch.setattr(series, "BROADCAST_ROWS", 0)
+    placed = with_position(ticks, ["t"], ["k"], rows_per_task=10)
+    assert {r.t: r.idx for r in placed.collect()} == expected_positions(ticks, ["k"])
+
+
 def test_only_short_series_are_known_as_short(ticks):
     short = with_position(ticks, ["t"], ["k"])
     assert short.schema["idx"].metadata == {series.LONGEST: 300}
@@ -44,9 +50,9 @@ def test_only_short_series_are_known_as_short(ticks):
 
 
 def test_group_sizes(spark, ticks):
-    assert group_sizes(ticks, ["k"]) == (474, 300)
-    assert group_sizes(ticks, []) == (474, 474)
-    assert group_sizes(ticks.limit(0), ["k"]) == (0, 0)
+    assert group_sizes(ticks, ["k"]) == (474, 5, 300)
+    assert group_sizes(ticks, []) == (474, 1, 474)
+    assert group_sizes(ticks.limit(0), ["k"]) == (0, 0, 0)
 
 
 def test_positions_of_an_empty_frame(ticks):
