@@ -252,7 +252,10 @@ def predict_append(spark, folder):
     return rounded(predicted.select("o_orderkey", "predicted"), 6, "predicted")
 
 
-@query(f"WITH {TWO_FEATURES} SELECT 0.25::DOUBLE AS x, 0.75::DOUBLE AS z, round(my + bx * (0.25 - mx) + bz * (0.75 - mz), 6) AS predicted FROM w")
+@query(
+    f"""WITH {TWO_FEATURES} SELECT 0.25::DOUBLE AS x, 0.75::DOUBLE AS z,
+        round(my + bx * (0.25 - mx) + bz * (0.75 - mz), 6) AS predicted FROM w"""
+)
 def predict_point(spark, folder):
     """The fit to all orders, evaluated at one point."""
     m = regression.moments(design(spark, folder), TERMS, "price")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from millrace.functions.kernels import gaussian
 from millrace.operators import signals, smoothing, stats
 from millrace.operators.series import pair_by_position, with_position
-from millrace.operators.smoothing import Smoother, smooth, smooth_many
+from millrace.operators.smoothing import Smoother, smooth
 from millrace.plans.registry import cents, load, query, rounded
 from millrace.session import stage
 
@@ -15,9 +15,9 @@ USER = ["user_id"]
 
 
 def user_series(spark, folder):
-    """Event values of each user by time: user_id, ts, value, idx."""
+    """Event values of each user by time: user_id, value, idx."""
     ticks = load(spark, folder, "events", "user_id", "ts", "event_id", "value")
-    return with_position(ticks, ["ts", "event_id"], USER).drop("event_id")
+    return with_position(ticks, ["ts", "event_id"], USER).drop("ts", "event_id")
 
 
 def hour_series(spark, folder):

@@ -141,14 +141,14 @@ def test_error_of_an_exact_fit_is_recomputed_from_rows(spark):
 def test_sgd_is_the_library_algorithm(spark, points, sums):
     from pyspark.mllib.regression import LabeledPoint, LinearRegressionWithSGD
 
-    labelled = points.select("y", "x", "z").rdd.map(lambda r: LabeledPoint(r.y, [r.x, r.z]))
+    labelled = points.select("y", "x", "z").coalesce(1).rdd.map(lambda r: LabeledPoint(r.y, [r.x, r.z])).cache()
     with warnings.catch_warnings():
         warnings.simplefilter("ignore")
         for tol in (0.0, 0.001):
             model = LinearRegressionWithSGD.train(
-                labelled, iterations=150, step=0.4, intercept=True, convergenceTol=tol, miniBatchFraction=1.0
+                labelled, iterations=40, step=0.4, intercept=True, convergenceTol=tol, miniBatchFraction=1.0
             )
-            fit = regression.fit_sgd(sums, 150, 0.4, convergence_tol=tol)
+            fit = regression.fit_sgd(sums, 40, 0.4, convergence_tol=tol)
             assert weights_of(fit) == pytest.approx([model.intercept, *model.weights], rel=1e-9)
 
 

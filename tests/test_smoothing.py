@@ -1,4 +1,6 @@
 import math
+import subprocess
+import sys
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -7,6 +9,8 @@ from hypothesis import strategies as st
 from millrace.functions.kernels import gaussian, inverse_distance
 from millrace.operators.smoothing import (
     Smoother,
+    _batch_passes,
+    _chains,
     rolling_geometric_mean,
     smooth,
     smooth_many,
@@ -150,3 +154,11 @@ def test_geometric_means(spark):
     out = rolling_geometric_mean(frame_of(spark, [1, 8, 27, 64]), "v", 3, ["k"])
     assert column(out, "geometric_mean") == pytest.approx([6.0, 24.0])
     assert rolling_geometric_mean(frame_of(spark, [1, 8]), "v", 3, ["k"]).count() == 0
+
+
+def test_task_functions_do_not_need_the_package():
+    from pyspark import cloudpickle
+
+    passes = _batch_passes(_chains({"s": Smoother(3, 2)}), ["s"], "v", 6, 6)
+    load = "import pickle, sys; pickle.loads(sys.stdin.buffer.read()); assert not any(m.startswith('millrace') for m in sys.modules)"
+    subprocess.run([sys.executable, "-c", load], input=cloudpickle.dumps(passes), cwd="/", env={}, check=True)
