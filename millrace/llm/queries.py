@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import simhash_vp
+from millrace.llm import kd_shards, mixing, simhash_vp, suffix_dedup
 from millrace.plans.registry import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,3 +29,56 @@ def op10_simhash_vptree(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash_vp.near_copies(load(spark, folder, "documents"), words=3, bits=3)
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
     return found.select(F.col("id").alias("doc_id"), digits.alias("fingerprint"), "component_id")
+
+
+@query()
+def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeats(load(spark, folder, "documents"), length=200, with_text=False)
+    return cut.select("doc.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query(
+    r"""
+WITH RECURSIVE sized AS (
+  SELECT doc_id, source, md5('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS k,
+         CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
+  FROM documents
+), sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         CAST([5, 2, 1][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS BIGINT) + 1] AS DOUBLE) AS weight
+  FROM sized GROUP BY source
+), whole AS (SELECT 1.5 * sum(source_size) AS budget FROM sources
+), level(n, clamped, lvl) AS (
+  SELECT 0, CAST(-1 AS BIGINT), CAST(NULL AS DOUBLE)
+  UNION ALL
+  SELECT n + 1, (SELECT count_if(2.0 * source_size <= coalesce(weight * lvl, 0)) FROM sources),
+         (SELECT (any_value(budget) - coalesce(sum(2.0 * source_size) FILTER (2.0 * source_size <= coalesce(weight * lvl, 0)), 0))
+                 / sum(weight) FILTER (2.0 * source_size > coalesce(weight * lvl, 0)) FROM sources, whole)
+  FROM level WHERE n < 40
+), filled AS (SELECT lvl FROM level WHERE lvl IS NOT NULL ORDER BY n DESC LIMIT 1
+), goals AS (
+  SELECT source, source_size, CAST(least(2.0 * source_size, weight * (SELECT lvl FROM filled)) AS DOUBLE) AS target FROM sources
+), parts AS (
+  SELECT *, CAST(floor(target / source_size) AS BIGINT) AS times, CAST(round(target - floor(target / source_size) * source_size) AS BIGINT) AS part
+  FROM goals
+), placed AS (
+  SELECT sized.*, source_size, target, times, part,
+         sum(size) OVER (PARTITION BY sized.source ORDER BY k, doc_id ROWS UNBOUNDED PRECEDING) - size AS before
+  FROM sized JOIN parts ON sized.source IS NOT DISTINCT FROM parts.source
+)
+SELECT doc_id, size, source_size, target,
+       CAST(coalesce(size * times + greatest(0, least(size, part - before)), 0) AS BIGINT) AS taken
+FROM placed
+"""
+)
+def op7_waterfill_mix(spark: SparkSession, folder: str) -> DataFrame:
+    taken = mixing.mix(load(spark, folder, "documents"), weights=[5, 2, 1], share=1.5, epochs=2.0, seed=7)
+    return taken.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+@query()
+def op3_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
+    placed = kd_shards.shard(load(spark, folder, "documents"), shards=24)
+    return placed.select(
+        F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
