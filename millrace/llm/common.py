@@ -25,10 +25,10 @@ def rows_of(df: DataFrame, text: str) -> DataFrame:
     return df.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc"), F.col(text).cast("string").alias("text"))
 
 
-def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut a batch so that the texts of each part stay near SLICE_BYTES; one text is never cut."""
+def slices(batch: pa.RecordBatch, column: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut a batch so that the texts of each part stay near ``size`` bytes; one text is never cut."""
     lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-    part = np.cumsum(lengths, dtype=np.int64) // SLICE_BYTES
+    part = np.cumsum(lengths, dtype=np.int64) // size
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
     for a, b in zip(cuts, cuts[1:]):
         if b > a:
@@ -45,6 +45,13 @@ def crc_bucket(column: str, buckets: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")), F.lit(buckets))
 
 
+def told_labels(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
+    """(id, label) of ids that have one label, to learn from: every third id, by the checksum of its text, is kept for checking."""
+    learn = labels.where(F.col(id_col).isNotNull()).where(crc_bucket(id_col, 3) != 1)
+    each = learn.groupBy(F.col(id_col).alias("id")).agg(F.min(label_col).alias("label"), F.max(label_col).alias("most"))
+    return each.where("label = most").select("id", "label")
+
+
 def partitions_for(df: DataFrame, rows: int, per_task: int) -> int:
     """Enough partitions for ``rows`` rows, at least as many as the session uses."""
     return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_task))
@@ -90,4 +97,4 @@ def components(edges: DataFrame) -> DataFrame:
     return near.select(F.col("a").alias("node"), F.col("b").alias("root")).union(near.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
-__all__ = ["SLICE_BYTES", "WORD", "components", "crc_bucket", "forest", "partitions_for", "rows_of", "slices", "stage", "stage_table", "utf8"]
+__all__ = ["SLICE_BYTES", "WORD", "components", "crc_bucket", "forest", "partitions_for", "rows_of", "slices", "stage", "stage_table", "told_labels", "utf8"]

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import kd_shards, mixing, simhash_vp, suffix_dedup
+from millrace.llm import additive_quality, kd_shards, mixing, rule_forest, simhash_vp, suffix_dedup, warc
+from millrace.llm.common import stage_table
 from millrace.plans.registry import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +83,45 @@ def op3_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
     return placed.select(
         F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
+
+
+@query(
+    """
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+firsts AS (SELECT payload, min(page_id) AS response FROM p GROUP BY payload),
+hexed AS (SELECT page_id, CAST(strlen(p.payload) AS BIGINT) AS payload_bytes, upper(sha1(p.payload)) AS h, response FROM p JOIN firsts USING (payload)),
+bits AS (
+  SELECT *, list_transform(range(0, 8), lambda k: list_reduce(list_transform(range(1, 6), lambda j: CAST(instr('0123456789ABCDEF', h[k * 5 + j]) - 1 AS BIGINT)), lambda a, x: a * 16 + x)) AS fives
+  FROM hexed
+)
+SELECT page_id, payload_bytes,
+       list_aggregate(list_transform(fives, lambda v: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[v // 32768 + 1] || 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[v // 1024 % 32 + 1]
+         || 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[v // 32 % 32 + 1] || 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[v % 32 + 1]), 'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = response THEN NULL ELSE response END AS refers_to
+FROM bits
+"""
+)
+def op8_warc_transactions(spark: SparkSession, folder: str) -> DataFrame:
+    captures = warc.round_trip(load(spark, folder, "pages"), least=0)
+    page = F.col("metadata.page").cast("bigint")
+    rows = captures.select(
+        page.alias("page_id"), F.col("capture.payload_bytes").alias("payload_bytes"), F.col("capture.digest").alias("payload_digest"),
+        F.col("capture.kind").alias("record_type"), F.col("capture.refers_to").alias("refers"), F.col("capture.record_id").alias("record_id"),
+    )
+    rows = stage_table(rows)
+    responses = rows.where("record_type = 'response'").select(F.col("record_id").alias("refers"), F.col("page_id").alias("refers_to"))
+    return rows.drop("record_id").join(responses, "refers", "left").drop("refers")
+
+
+@query()
+def op1_isolation_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = rule_forest.judge(load(spark, folder, "documents", "doc_id", "text"), load(spark, folder, "labels"))
+    return judged.select(
+        F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score", "threshold"
+    )
+
+
+@query()
+def op6_gam_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return additive_quality.quality(load(spark, folder, "documents", "doc_id", "text"), load(spark, folder, "labels")).withColumnRenamed("id", "doc_id")
