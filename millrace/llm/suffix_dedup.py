@@ -30,15 +30,16 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import partitions_for, rows_of, slices, stage_table, utf8
+from millrace.llm.common import partitions_for, slices, stage_table, utf8
 
 #: Bytes of an anchor; bytes hashed at once; anchors of one kind that still form one group; anchors sorted in one task.
 GRAM, PIECE, HOT, PER_TASK = 48, 1 << 20, 50_000, 150_000
-#: Records settled at once, in whole groups.
-SETTLE = 50_000
+#: Records settled at once, in whole groups; anchors that a task sorts into runs at once.
+SETTLE, RUN = 50_000, 200_000
 _MASK = np.uint64((1 << 24) - 1)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -254,60 +255,99 @@ def repeats(runs: list[bytes], length: int) -> Iterator[tuple[np.ndarray, ...]]:
         yield spans
 
 
-def repeated_spans(rows: DataFrame, length: int = 200, hot: int | None = None) -> DataFrame:
-    """(row, spans: array of first and behind-last byte) for rows (row, text) that hold a string of ``length`` bytes twice."""
-    if not GRAM <= length <= GRAM + 200:
-        raise ValueError(f"length must be from {GRAM} to {GRAM + 200}")
-    hot = HOT if hot is None else hot
+def _packed(docs: DataFrame, text_col: str) -> DataFrame:
+    """(row, doc, packed): row number, the row without its text, the compressed text, as it moves between tasks twice."""
+    others = [c for c in docs.columns if c != text_col]
+    doc = F.struct(*others) if others else F.struct(F.lit(None).cast("int").alias("none"))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), doc.alias("doc"), F.col(text_col).cast("string").alias("text"))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            for part in slices(batch):
+                packed = pa.array([squeeze(t) for t in utf8(part)], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column("row"), part.column("doc"), packed], ["row", "doc", "packed"])
+
+    return rows.mapInArrow(pack, f"row bigint, doc {rows.schema['doc'].dataType.simpleString()}, packed binary")
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Batches of at most 1,000 rows with their texts."""
+    unsqueeze = zstandard.ZstdDecompressor().decompress
+    for batch in batches:
+        for at in range(0, batch.num_rows, 1000):
+            part = batch.slice(at, 1000)
+            yield part, [unsqueeze(t) for t in part.column("packed").to_pylist()]
+
+
+def _live_anchors(docs: DataFrame, text_col: str, length: int, hot: int) -> tuple[DataFrame, int]:
+    """(row, spots) of anchors that occur more than once, and the number of tasks to sort them in.
+
+    A spot is the anchor's place, a bit for hot anchors, and its distances to the first and last start of a string.
+    """
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(text_col).cast("string").alias("text"))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 text, place, first, last, h = anchors(utf8(part), length)
                 row = part.column("row").to_numpy()[text]
-                spot = place << 17 | place - first << 8 | place - last  # 2 x 8 bits and one for hot anchors
+                spot = place << 17 | place - first << 8 | place - last
                 yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(spot), pa.array(h.view(np.int64))], ["row", "spot", "hash"])
 
-    found = stage_table(rows.select("row", "text").mapInArrow(find, "row bigint, spot bigint, hash bigint"))
+    found = stage_table(rows.mapInArrow(find, "row bigint, spot bigint, hash bigint"))
     live = stage_table(found.groupBy("hash").count().where("count > 1"))
     total = live.agg(F.sum("count")).first()[0] or 0
-    tasks = partitions_for(rows, total, PER_TASK)
-    parts = 2 * tasks  # a few to a task evens out their sizes
     marked = found.join(live, "hash").select("row", (F.col("spot") + F.when(F.col("count") > hot, 1 << 16).otherwise(0)).alias("spot"))
-    spots = marked.groupBy("row").agg(F.collect_list("spot").alias("spots"))
+    return marked.groupBy("row").agg(F.collect_list("spot").alias("spots")), partitions_for(docs, total, PER_TASK)
+
+
+def _repeated_spans(packed: DataFrame, spots: DataFrame, tasks: int, length: int) -> DataFrame:
+    """(row, spans: array of first and behind-last byte) for rows that hold a repeat."""
+    parts = 2 * tasks  # a few to a task evens out their sizes
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch):
-                dealt: dict[int, dict[tuple[bytes, bytes], list[int]]] = {}
-                for row, text, spots in zip(part.column("row").to_pylist(), utf8(part), part.column("spots").to_pylist()):
-                    for spot in spots:
-                        place = spot >> 17
-                        first, last = place - (spot >> 8 & 255), place - (spot & 255)
-                        if spot >> 16 & 1:
-                            for at in range(first, last + 1):
-                                suffix = text[at : at + length]
-                                own = dealt.setdefault(crc32(suffix) % parts, {})
-                                own.setdefault((suffix, b""), []).extend((row, at << 17))
-                            continue
+        squeeze = zstandard.ZstdCompressor(level=1).compress
+        dealt: dict[int, dict[tuple[bytes, bytes], list[int]]] = {}
+        held = 0
+
+        def flush() -> pa.RecordBatch:
+            task = list(dealt)
+            blobs = [squeeze(front_code([(s, p, w) for (s, p), w in sorted(dealt[t].items())])) for t in task]
+            dealt.clear()
+            return pa.RecordBatch.from_arrays([pa.array(task, pa.int32()), pa.array(blobs, pa.binary())], ["part", "run"])
+
+        for part, texts in _unpacked(batches):
+            for row, text, spots in zip(part.column("row").to_pylist(), texts, part.column("spots").to_pylist()):
+                for spot in spots:
+                    place = spot >> 17
+                    first, last = place - (spot >> 8 & 255), place - (spot & 255)
+                    if spot >> 16 & 1:
+                        for at in range(first, last + 1):
+                            suffix = text[at : at + length]
+                            dealt.setdefault(crc32(suffix) % parts, {}).setdefault((suffix, b""), []).extend((row, at << 17))
+                        held += last - first
+                    else:
                         suffix = text[place : last + length]
                         own = dealt.setdefault(crc32(suffix[:GRAM]) % parts, {})
                         own.setdefault((suffix, text[first:place]), []).extend((row, spot))
-                task = list(dealt)
-                blobs = [front_code([(s, p, w) for (s, p), w in sorted(dealt[t].items())]) for t in task]
-                yield pa.RecordBatch.from_arrays([pa.array(task, pa.int32()), pa.array(blobs, pa.binary())], ["part", "run"])
+                held += len(spots)
+                if held > RUN:
+                    yield flush()
+                    held = 0
+        yield flush()
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unsqueeze = zstandard.ZstdDecompressor().decompress
         mine: dict[int, list[bytes]] = {}
         for batch in batches:
             for part, run in zip(batch.column("part").to_pylist(), batch.column("run").to_pylist()):
                 mine.setdefault(part, []).append(run)
         for part in list(mine):
-            for row, first, behind in repeats(mine.pop(part), length):
+            for row, first, behind in repeats([unsqueeze(r) for r in mine.pop(part)], length):
                 yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(first), pa.array(behind)], ["row", "a", "b"])
 
-    texts = rows.select("row", "text").join(spots.hint("shuffle_hash"), "row")
-    sent = texts.mapInArrow(runs, "part int, run binary").repartition(tasks, "part")
+    sent = packed.join(spots.hint("shuffle_hash"), "row").mapInArrow(runs, "part int, run binary").repartition(tasks, "part")
     spans = sent.mapInArrow(sort, "row bigint, a bigint, b bigint")
     return spans.groupBy("row").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
 
@@ -316,7 +356,7 @@ def _cut(text: bytes, spans: list[dict] | None) -> tuple[bytes, int, int]:
     """What is left of a text, bytes removed, maximal runs removed."""
     if not spans:
         return text, 0, 0
-    kept, end, start, runs = [], 0, 0, 0
+    kept, end, runs = [], 0, 0
     for a, b in sorted((s["a"], s["b"]) for s in spans):
         if a > end or not runs:
             kept.append(text[end:a])
@@ -328,32 +368,32 @@ def _cut(text: bytes, spans: list[dict] | None) -> tuple[bytes, int, int]:
     return left, len(text) - len(left), runs
 
 
-def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = 200, hot: int | None = None, with_text: bool = True) -> DataFrame:
-    """Every row of ``docs`` as the struct ``doc``, with n_bytes, n_removed, n_spans, kept_sha256, and kept (binary).
+def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = 200, hot: int = HOT, with_text: bool = True) -> DataFrame:
+    """For every row of ``docs``: n_bytes, n_removed, n_spans, kept_sha256 and kept (binary), and the other columns as ``doc``.
 
     Cuts may fall inside a character; ``kept`` is therefore binary. ``with_text=False`` leaves it out.
     """
-    rows = rows_of(docs, text_col)
-    spans = repeated_spans(rows, length, hot)
-    joined = rows.join(spans.hint("shuffle_hash"), "row", "left").select("doc", "text", "spans")
+    if not GRAM <= length <= GRAM + 200:
+        raise ValueError(f"length must be from {GRAM} to {GRAM + 200}")
+    packed = _packed(docs, text_col)
+    spots, tasks = _live_anchors(docs, text_col, length, hot)
+    spans = _repeated_spans(packed, spots, tasks, length)
+    joined = packed.join(spans.hint("shuffle_hash"), "row", "left")
     names = ["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept"] * with_text]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch):
-                texts = utf8(part)
-                done = [_cut(t, s) for t, s in zip(texts, part.column("spans").to_pylist())]
-                columns = [
-                    part.column("doc"),
-                    pa.array(map(len, texts), pa.int64()),
-                    pa.array([d[1] for d in done], pa.int64()),
-                    pa.array([d[2] for d in done], pa.int64()),
-                    pa.array([hashlib.sha256(d[0]).hexdigest() for d in done], pa.string()),
-                ]
-                if with_text:
-                    columns.append(pa.array([d[0] for d in done], pa.binary()))
-                yield pa.RecordBatch.from_arrays(columns, names)
-
-    doc = joined.schema["doc"].dataType.simpleString()
-    kinds = f"doc {doc}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept binary" * with_text
-    return joined.mapInArrow(cut, kinds)
+        for part, texts in _unpacked(batches):
+            done = [_cut(t, s) for t, s in zip(texts, part.column("spans").to_pylist())]
+            columns = [
+                part.column("doc"),
+                pa.array(map(len, texts), pa.int64()),
+                pa.array([d[1] for d in done], pa.int64()),
+                pa.array([d[2] for d in done], pa.int64()),
+                pa.array([hashlib.sha256(d[0]).hexdigest() for d in done], pa.string()),
+            ]
+            if with_text:
+                columns.append(pa.array([d[0] for d in done], pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    doc = packed.schema["doc"].dataType.simpleString()
+    return joined.mapInArrow(cut, f"doc {doc}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept binary" * with_text)

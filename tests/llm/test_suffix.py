@@ -34,7 +34,7 @@ def wanted(frame, length):
     return sorted(((r.doc_id, *b) for r, b in zip(have, brute([(r.text or "").encode() for r in have], length))), key=str)
 
 
-@pytest.mark.parametrize("length,hot", [(200, None), (200, 1), (64, None), (64, 3), (48, None), (248, None)])
+@pytest.mark.parametrize("length,hot", [(200, 50_000), (200, 1), (64, 50_000), (64, 3), (48, 50_000), (248, 50_000)])
 def test_equals_brute_force(spark, corpus, length, hot):
     got = rows(suffix_dedup.remove_repeats(corpus, length=length, hot=hot))
     assert got == wanted(corpus, length)
