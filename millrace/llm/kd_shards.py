@@ -33,22 +33,12 @@ HALF = 31
 
 
 @dataclass
-class Node:
-    """A part of the tree: its leaves' first number and count; once split, dimension, cut and the two parts."""
+class Part:
+    """A node of the tree on the current level: leaves below it, and once it is cut the dimension and the cut."""
 
-    first: int
     leaves: int
-    dimension: int = -1
+    dimension: int = 0
     cut: int = 0
-    low: Node | None = None
-    high: Node | None = None
-
-
-def _leaf(node: Node, dims: list[str]) -> Column:
-    """The first leaf of the part a row is in."""
-    if node.low is None:
-        return F.lit(node.first)
-    return F.when(F.col(dims[node.dimension]) < F.lit(node.cut), _leaf(node.low, dims)).otherwise(_leaf(node.high, dims))
 
 
 def _coordinate(value: Column, row_hash: Column) -> Column:
@@ -56,65 +46,67 @@ def _coordinate(value: Column, row_hash: Column) -> Column:
     return F.shiftleft(F.coalesce(value, F.lit(0)).cast("bigint"), HALF).bitwiseOR(row_hash)
 
 
-def _split(rows: DataFrame, nodes: list[Node], root: Node, dims: list[str]) -> None:
-    """Give all of ``nodes`` a dimension and a cut."""
-    tagged = rows.withColumn("node", _leaf(root, dims)).where(F.col("node").isin([n.first for n in nodes]))
-    spans = tagged.groupBy("node").agg(F.sum("size").alias("bytes"), *[f(d).alias(f"{k}_{d}") for d in dims for k, f in (("min", F.min), ("max", F.max))])
-    facts = {r["node"]: r for r in spans.collect()}  # a row for each node of the level
-    bounds, goal = {}, {}
-    for node in nodes:
-        r = facts.get(node.first)
-        wide = [(r[f"max_{d}"] - r[f"min_{d}"], -k) for k, d in enumerate(dims)] if r else [(0, 0)]
-        node.dimension = -max(wide)[1]
-        d = dims[node.dimension]
-        bounds[node.first] = (r[f"min_{d}"], r[f"max_{d}"] + 1, 0) if r else (0, 1, 0)
-        goal[node.first] = (r["bytes"] if r else 0) * (node.leaves // 2) / node.leaves
-    slack = {n.first: OFF * (facts[n.first]["bytes"] if n.first in facts else 0) / n.leaves for n in nodes}
-    open_ = {n.first: n for n in nodes}
-    while open_:
-        at = F.lit(None).cast("bigint")
-        low, step = F.lit(None).cast("bigint"), F.lit(None).cast("bigint")
-        for k, n in open_.items():
-            a, b, _ = bounds[k]
-            here = F.col("node") == k
-            at = F.when(here, F.col(dims[n.dimension])).otherwise(at)
-            low = F.when(here, F.lit(a)).otherwise(low)
-            step = F.when(here, F.lit(max(1, -(-(b - a) // BINS)))).otherwise(step)
-        binned = tagged.where(F.col("node").isin(list(open_))).select("node", F.floor((at - low) / step).alias("bin"), "size")
+def _of(values: list[int]) -> Column:
+    """The entry of a literal array that belongs to a row's part."""
+    return F.get(F.array(*[F.lit(v).cast("bigint") for v in values]), F.col("part"))
+
+
+def _find_cuts(rows: DataFrame, parts: list[Part], dims: int) -> None:
+    """Give every part of more than one leaf its dimension and cut."""
+    spans = rows.groupBy("part").agg(F.sum("size").alias("bytes"), *[f(F.get("at", F.lit(d))).alias(f"{k}{d}") for d in range(dims) for k, f in (("a", F.min), ("b", F.max))])
+    facts = {r["part"]: r for r in spans.collect()}  # a row for each part of the level
+    bounds: dict[int, tuple[int, int, int]] = {}
+    goal, slack = {}, {}
+    for k, part in enumerate(parts):
+        if part.leaves < 2 or k not in facts:
+            continue
+        r = facts[k]
+        part.dimension = max(range(dims), key=lambda d: (r[f"b{d}"] - r[f"a{d}"], -d))
+        bounds[k] = (r[f"a{part.dimension}"], r[f"b{part.dimension}"] + 1, 0)
+        goal[k] = r["bytes"] * (part.leaves // 2) / part.leaves
+        slack[k] = OFF * r["bytes"] / part.leaves
+    while bounds:
+        widths = {k: max(1, -(-(b - a) // BINS)) for k, (a, b, _) in bounds.items()}
+        at = F.get("at", _of([p.dimension for p in parts]).cast("int"))
+        low, step = _of([bounds.get(k, (0,))[0] for k in range(len(parts))]), _of([widths.get(k, 1) for k in range(len(parts))])
+        binned = rows.where(F.col("part").isin(list(bounds))).select("part", F.floor((at - low) / step).alias("bin"), "size")
         counts: dict[int, list] = {}
-        for r in binned.where(F.col("bin").between(0, BINS - 1)).groupBy("node", "bin").agg(F.sum("size").alias("bytes")).collect():
-            counts.setdefault(r["node"], []).append((r["bin"], r["bytes"]))
-        for k in list(open_):
-            a, b, below = bounds[k]
-            width = max(1, -(-(b - a) // BINS))
+        for r in binned.where(F.col("bin").between(0, BINS - 1)).groupBy("part", "bin").agg(F.sum("size").alias("bytes")).collect():
+            counts.setdefault(r["part"], []).append((r["bin"], r["bytes"]))
+        for k in list(bounds):
+            a, b, below = bounds.pop(k)
             cut, fit = a, abs(below - goal[k])  # the best cut so far is the lower bound
-            inside = (a, min(b, a + width), below)
+            inside = (a, min(b, a + widths[k]), below)
             for bin_, size in sorted(counts.get(k, [])):
-                start, end = a + bin_ * width, a + (bin_ + 1) * width
                 if below <= goal[k]:
-                    inside = (start, min(b, end), below)
+                    inside = (a + bin_ * widths[k], min(b, a + (bin_ + 1) * widths[k]), below)
                 below += size
                 if abs(below - goal[k]) < fit:
-                    cut, fit = end, abs(below - goal[k])
+                    cut, fit = a + (bin_ + 1) * widths[k], abs(below - goal[k])
                 if below > goal[k]:
                     break
-            open_[k].cut = cut
-            if fit <= slack[k] or width == 1:
-                del open_[k]
-            else:
+            parts[k].cut = cut
+            if fit > slack[k] and widths[k] > 1:
                 bounds[k] = inside
-    for n in nodes:
-        n.low, n.high = Node(n.first, n.leaves // 2), Node(n.first + n.leaves // 2, n.leaves - n.leaves // 2)
 
 
-def grow(rows: DataFrame, dims: list[str], leaves: int) -> Node:
-    """The tree over rows with a ``size`` and the coordinates ``dims``."""
-    root = Node(0, leaves)
-    level = [root]
-    while level := [n for n in level if n.leaves > 1]:
-        _split(rows, level, root, dims)
-        level = [part for n in level for part in (n.low, n.high)]
-    return root
+def grow(rows: DataFrame, dims: int, leaves: int) -> DataFrame:
+    """Rows (at: array of coordinates, size, ...) with ``part``, the number of the leaf that they fall into.
+
+    Rows are written to the shared folder once for every level, so that each pass has a short plan.
+    """
+    parts = [Part(leaves)]
+    rows = stage_table(rows.withColumn("part", F.lit(0)))
+    while any(p.leaves > 1 for p in parts):
+        _find_cuts(rows, parts, dims)
+        base, after = [], []
+        for p in parts:
+            base.append(len(after))
+            after += [p] if p.leaves < 2 else [Part(p.leaves // 2), Part(p.leaves - p.leaves // 2)]
+        above = F.get("at", _of([p.dimension for p in parts]).cast("int")) >= _of([p.cut if p.leaves > 1 else (1 << 63) - 1 for p in parts])
+        rows = stage_table(rows.withColumn("part", (_of(base) + above.cast("int")).cast("int")))
+        parts = after
+    return rows
 
 
 def shard(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "text", numbers: tuple[str, ...] = ("doc_id", "n_chars"), names: tuple[str, ...] = ("lang", "source"), fixed: int = 8) -> DataFrame:
@@ -140,10 +132,8 @@ def shard(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str =
         a, b = ranges[f"a{k}"] or 0.0, ranges[f"b{k}"] or 0.0
         scaled.append(F.floor((F.col(f"n{k}") - a) * (((1 << HALF) - 1) / (b - a) if b > a else 0.0)))
     values = scaled + [F.col(f"s{k}") for k in range(len(names))]
-    dims = [f"d{k}" for k in range(len(values))]
-    keyed = narrow.select("row", "id", "size", "text_crc32", *[_coordinate(v, mixed).alias(d) for v, d in zip(values, dims)])
-    tree = grow(keyed, dims, shards)
-    placed = keyed.select("row", "id", "size", "text_crc32", _leaf(tree, dims).alias("shard"))
+    keyed = narrow.select("row", "id", "size", "text_crc32", F.array(*[_coordinate(v, mixed) for v in values]).alias("at"))
+    placed = grow(keyed, len(values), shards).select("row", "id", "size", "text_crc32", F.col("part").alias("shard"))
     buckets = partitions_for(docs, ranges["rows"], SLOT_ROWS)
     bucketed = placed.withColumn("bucket", F.pmod(F.xxhash64("id", "row"), F.lit(buckets)).cast("int"))
     counts = bucketed.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
