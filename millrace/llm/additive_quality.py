@@ -82,6 +82,20 @@ def _shallow(grad: np.ndarray, hess: np.ndarray, leaves: int = 4) -> np.ndarray:
     return step
 
 
+def _quadrants(grad: np.ndarray, hess: np.ndarray) -> np.ndarray:
+    """Step per cell of a tree of two levels: the best cut of the rows, and on each side the best cut of the columns."""
+    best, step = -1.0, np.zeros(grad.shape)
+    for cut in range(1, len(grad)):
+        sides = [(slice(0, cut), grad[:cut].sum(0), hess[:cut].sum(0)), (slice(cut, None), grad[cut:].sum(0), hess[cut:].sum(0))]
+        steps = [_shallow(g, h, 2) for _, g, h in sides]
+        gain = sum(float(s @ g - 0.5 * (s * s) @ h) for s, (_, g, h) in zip(steps, sides))
+        if gain > best:
+            best = gain
+            for s, (rows, _, _) in zip(steps, sides):
+                step[rows] = s
+    return step
+
+
 def fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = ROUNDS, pairs: int = PAIRS) -> Model:
     """Boost tables for labels y in {0, 1}; weights make up for how each label was sampled."""
     model = Model(_edges(x, BINS), _edges(x, PAIR_BINS))
@@ -120,11 +134,7 @@ def fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = ROUNDS,
             grad, hess = slopes()
             cell = coarse[a] * table.shape[1] + coarse[b]
             g, h = (np.bincount(cell, v, table.size).reshape(table.shape) for v in (grad, hess))
-            rows = _shallow(g.sum(1), h.sum(1), 2)
-            step = np.empty(table.shape)
-            for level in np.unique(rows):  # a tree of two levels: rows first, then columns within each part
-                part = rows == level
-                step[part] = _shallow(g[part].sum(0), h[part].sum(0), 2)
+            step = _quadrants(g, h)
             table += RATE * step
             margin += RATE * step.ravel()[cell]
     model.pairs = chosen

@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import additive_quality, kd_shards, mixing, rule_forest, simhash_vp, suffix_dedup, warc
+from millrace.llm import additive_quality, kd_shards, mixing, mtree, rule_forest, sentencepiece_codec, simhash_vp, suffix_dedup, toxic_grammar, warc
 from millrace.llm.common import stage_table
 from millrace.plans.registry import load
 
+#: A public model; another file may be given to the operator.
+SENTENCEPIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -125,3 +127,34 @@ def op1_isolation_rules(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op6_gam_quality(spark: SparkSession, folder: str) -> DataFrame:
     return additive_quality.quality(load(spark, folder, "documents", "doc_id", "text"), load(spark, folder, "labels")).withColumnRenamed("id", "doc_id")
+
+
+@query(
+    """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+  SELECT a.vec_id AS query_id, b.vec_id,
+         CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM pairs QUALIFY rank <= 5
+"""
+)
+def op4_mtree_topk(spark: SparkSession, folder: str) -> DataFrame:
+    found = mtree.top_k(load(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+@query()
+def op5_toxicity_grammar(spark: SparkSession, folder: str) -> DataFrame:
+    scored = toxic_grammar.toxicity(load(spark, folder, "documents", "doc_id", "text"), load(spark, folder, "labels"), cut=0.7)
+    return scored.select("doc.doc_id", "held_out", "score", "predicted")
+
+
+@query()
+def op9_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    tokens = sentencepiece_codec.encode(load(spark, folder, "documents", "doc_id", "text"), SENTENCEPIECE_MODEL)
+    return tokens.select("doc.doc_id", "n_tokens", "ids", "parity", "round_trip")

@@ -50,16 +50,16 @@ def fingerprint(text: bytes, words: int) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
-    """(id, fp) for every row; fp is the fingerprint as a signed long."""
+    """(row, id, fp) for every row; fp is the fingerprint as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 fp = np.array([fingerprint(t, words) for t in utf8(part)], np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(fp)], ["id", "fp"])
+                yield pa.RecordBatch.from_arrays([part.column("row"), part.column("id"), pa.array(fp)], ["row", "id", "fp"])
 
-    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "id bigint, fp bigint")
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
+    return rows.mapInArrow(run, "row bigint, id bigint, fp bigint")
 
 
 def _distance(points: np.ndarray, to: np.uint64) -> np.ndarray:
@@ -177,12 +177,20 @@ def link(points: DataFrame, bits: int = 3, column: str = "fp", shard: int = SHAR
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, bits: int = 3) -> DataFrame:
-    """(id, fp, component_id) for every row: component_id is the smallest id reachable over links of at most ``bits`` bits."""
+    """(row, id, fp, root, component_id) for every row: root names its component among fingerprints, component_id is the smallest id reachable over links of at most ``bits`` bits."""
     prints = stage_table(fingerprints(docs, id_col, text_col, words))
     roots = link(prints, bits)
     first = prints.groupBy("fp").agg(F.min("id").alias("first"))
     named = first.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     named = stage_table(named)
     lowest = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    names = stage_table(named.join(lowest, "root").select("fp", "component_id"))
-    return prints.join(names, "fp").select("id", "fp", "component_id")
+    names = stage_table(named.join(lowest, "root").select("fp", "root", "component_id"))
+    return prints.join(names, "fp").select("row", "id", "fp", "root", "component_id")
+
+
+def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, bits: int = 3) -> DataFrame:
+    """The rows of ``docs`` without near copies: of each component the first row of the smallest id stays."""
+    found = near_copies(docs, id_col, text_col, words, bits)
+    least = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("who"))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc"))
+    return rows.join(least.select(F.col("who.row").alias("row")), "row", "left_semi").select("doc.*")

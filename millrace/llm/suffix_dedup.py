@@ -29,9 +29,10 @@ from collections.abc import Iterator
 from zlib import crc32
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import partitions_for, slices, stage_table, utf8
@@ -397,3 +398,13 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = 200, h
 
     doc = packed.schema["doc"].dataType.simpleString()
     return joined.mapInArrow(cut, f"doc {doc}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept binary" * with_text)
+
+
+def as_text(kept: str) -> Column:
+    """Kept bytes as text; what is left of a character that was cut through goes."""
+
+    @F.pandas_udf("string")
+    def decode(column: pd.Series) -> pd.Series:
+        return column.map(lambda b: None if b is None else bytes(b).decode("utf-8", "ignore"))
+
+    return decode(kept)

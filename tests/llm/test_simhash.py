@@ -33,7 +33,7 @@ def brute(rows):
 
 
 def shown(df):
-    return sorted((str(r[0]), f"{r[1] & (1 << 64) - 1:016x}", r[2]) for r in df.collect())
+    return sorted((str(r.id), f"{r.fp & (1 << 64) - 1:016x}", r.component_id) for r in df.collect())
 
 
 def test_equals_brute_force(spark, corpus, monkeypatch):
@@ -72,3 +72,12 @@ def test_odd_rows(spark, odd, empty):
     assert shown(simhash_vp.near_copies(odd)) == brute(rows)
     assert len(rows) == len(ODD) + 2
     assert simhash_vp.near_copies(empty).count() == 0
+
+
+def test_survivors_are_one_row_of_each_component(spark, corpus, odd, empty):
+    for frame in (corpus, odd):
+        groups = {(r.root, r.component_id) for r in simhash_vp.near_copies(frame).collect()}
+        kept = simhash_vp.survivors(frame)
+        assert kept.columns == frame.columns
+        assert sorted(map(str, (r.doc_id for r in kept.collect()))) == sorted(str(c) for _, c in groups)
+    assert simhash_vp.survivors(empty).count() == 0
