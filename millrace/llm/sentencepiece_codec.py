@@ -33,8 +33,8 @@ from millrace.llm.common import slices
 MARKER = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-#: Bytes of text whose distinct units are encoded together.
-AT_ONCE = 24_000_000
+#: Bytes of text whose units are told apart together; units encoded in one call, bytes of them unless one is longer.
+AT_ONCE, UNITS, UNIT_BYTES = 20_000_000, 8_192, 1_000_000
 
 
 @dataclass
@@ -170,19 +170,32 @@ def _units(texts: pa.Array, by_words: bool) -> tuple[pa.Array, np.ndarray]:
     return texts.drop_null(), many
 
 
+def _chunks(units: pa.Array) -> Iterator[list[str]]:
+    """The units in lists of bounded number and size: what the library returns for a unit is far larger than the unit."""
+    size = np.cumsum(pc.binary_length(units).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = 0
+    while start < len(units):
+        stop = int(np.searchsorted(size, (size[start - 1] if start else 0) + UNIT_BYTES))
+        stop = min(max(start + 1, stop), start + UNITS)
+        yield units.slice(start, stop - start).to_pylist()
+        start = stop
+
+
 def encode_texts(texts: pa.Array, tokenizer, reference, table: list[bytes], by_words: bool, dummy_prefix: bool, threads: int) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """(list of ids, parity, round trip) for each text."""
     units, many = _units(texts, by_words)
     coded = units.dictionary_encode()
-    distinct = coded.dictionary.to_pylist()
-    found = [e.ids for e in tokenizer.encode_batch_fast(distinct, add_special_tokens=False)]
-    other = reference.encode(distinct, num_threads=threads) if distinct else []
-    same = np.array([a == b for a, b in zip(found, other)], bool)
-    for k in np.flatnonzero(~same):
-        found[k] = other[k]
-    back = np.array([decode_ids(i, table, dummy_prefix) == u.encode() for i, u in zip(found, distinct)], bool)
-    sizes = np.fromiter(map(len, found), np.int64, len(found))
-    flat = np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum()))
+    ids_of, sizes_of, same_of, back_of = [], [], [], []
+    for some in _chunks(coded.dictionary):
+        found = [e.ids for e in tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+        other = reference.encode(some, num_threads=threads)
+        same = [a == b for a, b in zip(found, other)]
+        found = [a if ok else b for ok, a, b in zip(same, found, other)]
+        ids_of.append(np.fromiter(chain.from_iterable(found), np.int32))
+        sizes_of.append(np.fromiter(map(len, found), np.int64, len(found)))
+        same_of.append(np.array(same, bool))
+        back_of.append(np.array([decode_ids(i, table, dummy_prefix) == u.encode() for i, u in zip(found, some)], bool))
+    flat, sizes, same, back = (np.concatenate(x) if x else np.zeros(0, t) for x, t in ((ids_of, np.int32), (sizes_of, np.int64), (same_of, bool), (back_of, bool)))
     code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     size = sizes[code]
     starts = (np.cumsum(sizes) - sizes)[code]
