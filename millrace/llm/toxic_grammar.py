@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import crc_bucket, slices, stage_table, told_labels
+from millrace.llm.common import crc_bucket, slices, stage, stage_table, told_labels
 
 #: Most labelled rows of label 1 and of label 0 to learn from; terms that a text is searched for; words that a scope reaches.
 TOXIC_SAMPLE, CLEAN_SAMPLE, MOST_TERMS, SCOPE = 4_000, 8_000, 20_000, 3
@@ -277,14 +277,15 @@ class Model:
 
 
 def _sample(docs: DataFrame, told: DataFrame, label: int, most: int) -> DataFrame:
-    """Texts of one label, those with the least hashes; equal texts count once."""
-    texts = docs.join(told.where(F.col("label") == label), "id").select("text").where("text is not null").groupBy(F.xxhash64("text").alias("h")).agg(F.first("text").alias("text"))
-    return texts.orderBy(F.xxhash64("h", F.lit(3)), "h").limit(most)
+    """Texts of the ids of one label that have the least hashes, ``most`` at most; equal texts count once."""
+    ids = stage(told.where(F.col("label") == label).orderBy(F.xxhash64("id", F.lit(3)), "id").limit(most).select("id"))
+    texts = docs.join(F.broadcast(ids), "id").where("text is not null").groupBy(F.xxhash64("text").alias("h")).agg(F.first("text").alias("text"))
+    return texts.orderBy("h").limit(most).select("text")
 
 
 def learn(docs: DataFrame, told: DataFrame) -> Model:
     """docs: (id, text); told: (id, label)."""
-    toxic, clean = (stage_table(_sample(docs, told, k, n).select("text")) for k, n in ((1, TOXIC_SAMPLE), (0, CLEAN_SAMPLE)))
+    toxic, clean = (stage_table(_sample(docs, told, k, n)) for k, n in ((1, TOXIC_SAMPLE), (0, CLEAN_SAMPLE)))
     many = {1: toxic.count(), 0: clean.count()}
     if not many[1] or not many[0]:
         return Model([], -4.0, dict(zip(PATTERNS, [6.0, 6.5, 3.0, 3.0] * 2)))
