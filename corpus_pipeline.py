@@ -33,8 +33,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = suffix_dedup.remove_repeats(docs.select(*COLUMNS), length=200)
-    rows = cut.select("doc", "n_removed", suffix_dedup.as_text("kept").alias("text"))
+    cut = suffix_dedup.remove_repeats(docs.select(*COLUMNS), length=200, kept="string")
+    rows = cut.select("doc", "n_removed", F.col("kept").alias("text"))
     length = F.when(F.col("n_removed") > 0, F.length("text").cast("bigint")).otherwise(F.col("doc.n_chars"))
     return _columns(rows.select(F.col("doc").withField("n_chars", length).alias("doc"), "text"))
 

@@ -36,7 +36,7 @@ def op10_simhash_vptree(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    cut = suffix_dedup.remove_repeats(load(spark, folder, "documents", "doc_id", "text"), length=200, with_text=False)
+    cut = suffix_dedup.remove_repeats(load(spark, folder, "documents", "doc_id", "text"), length=200, kept=None)
     return cut.select("doc.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 

@@ -34,7 +34,7 @@ MARKER = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 #: Bytes of text whose units are told apart together; units encoded in one call, bytes of them unless one is longer.
-AT_ONCE, UNITS, UNIT_BYTES = 20_000_000, 8_192, 1_000_000
+AT_ONCE, UNITS, UNIT_BYTES = 14_000_000, 8_192, 1_000_000
 
 
 @dataclass

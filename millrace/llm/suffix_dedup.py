@@ -29,10 +29,9 @@ from collections.abc import Iterator
 from zlib import crc32
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import partitions_for, slices, stage_table, utf8
@@ -40,7 +39,7 @@ from millrace.llm.common import partitions_for, slices, stage_table, utf8
 #: Bytes of an anchor; bytes hashed at once; anchors of one kind that still form one group; anchors sorted in one task.
 GRAM, PIECE, HOT, PER_TASK = 48, 1 << 20, 50_000, 150_000
 #: Records settled at once, in whole groups; anchors that a task sorts into runs at once.
-SETTLE, RUN = 50_000, 200_000
+SETTLE, RUN = 50_000, 100_000
 _MASK = np.uint64((1 << 24) - 1)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -369,18 +368,21 @@ def _cut(text: bytes, spans: list[dict] | None) -> tuple[bytes, int, int]:
     return left, len(text) - len(left), runs
 
 
-def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = 200, hot: int = HOT, with_text: bool = True) -> DataFrame:
-    """For every row of ``docs``: n_bytes, n_removed, n_spans, kept_sha256 and kept (binary), and the other columns as ``doc``.
+def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = 200, hot: int = HOT, kept: str | None = "binary") -> DataFrame:
+    """For every row of ``docs``: n_bytes, n_removed, n_spans, kept_sha256 and kept, and the other columns as ``doc``.
 
-    Cuts may fall inside a character; ``kept`` is therefore binary. ``with_text=False`` leaves it out.
+    Cuts may fall inside a character: ``kept`` is "binary", or "string" without what is left of such characters, or None
+    for results without it.
     """
+    if kept not in ("binary", "string", None):
+        raise ValueError(f"kept can't be {kept}")
     if not GRAM <= length <= GRAM + 200:
         raise ValueError(f"length must be from {GRAM} to {GRAM + 200}")
     packed = _packed(docs, text_col)
     spots, tasks = _live_anchors(docs, text_col, length, hot)
     spans = _repeated_spans(packed, spots, tasks, length)
     joined = packed.join(spans.hint("shuffle_hash"), "row", "left")
-    names = ["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept"] * with_text]
+    names = ["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept"] * (kept is not None)]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in _unpacked(batches):
@@ -392,19 +394,12 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = 200, h
                 pa.array([d[2] for d in done], pa.int64()),
                 pa.array([hashlib.sha256(d[0]).hexdigest() for d in done], pa.string()),
             ]
-            if with_text:
+            if kept == "binary":
                 columns.append(pa.array([d[0] for d in done], pa.binary()))
+            elif kept == "string":
+                columns.append(pa.array([d[0].decode("utf-8", "ignore") for d in done], pa.string()))
             yield pa.RecordBatch.from_arrays(columns, names)
 
     doc = packed.schema["doc"].dataType.simpleString()
-    return joined.mapInArrow(cut, f"doc {doc}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept binary" * with_text)
+    return joined.mapInArrow(cut, f"doc {doc}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + (f", kept {kept}" if kept else ""))
 
-
-def as_text(kept: str) -> Column:
-    """Kept bytes as text; what is left of a character that was cut through goes."""
-
-    @F.pandas_udf("string")
-    def decode(column: pd.Series) -> pd.Series:
-        return column.map(lambda b: None if b is None else bytes(b).decode("utf-8", "ignore"))
-
-    return decode(kept)
