@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from millrace.llm.common import stage_table
 
 #: Pivots, vectors of a page, entries of a leaf, children of an inner node, vectors in a group of pages, queries in a block.
-PIVOTS, PAGE, LEAF, FAN, GROUP, BLOCK = 256, 4_096, 48, 12, 32_768, 8_192
+PIVOTS, PAGE, LEAF, FAN, GROUP, BLOCK = 512, 4_096, 256, 16, 32_768, 8_192
 NO_ID = np.iinfo(np.int64).max
 
 
@@ -44,18 +44,45 @@ def whole_vectors(table: DataFrame, id_col: str, vector_col: str, scale: int) ->
 
 
 class Page:
-    """An M-tree in arrays. Node n: routing vector, radius, distance to the parent's routing vector, children or entries."""
+    """An M-tree in arrays. Node n: routing vector, radius, and children (numbers, distances to n's routing vector, radii) or entries.
+
+    Vectors lie in the order of the leaves, and in a leaf in the order of their distances to its routing vector, so that
+    the entries which the triangle inequality leaves are one slice. They are whole numbers in doubles, which hold the sums
+    of their products exactly.
+    """
 
     def __init__(self, vectors: np.ndarray, lift: np.ndarray, rows: np.ndarray, ids: np.ndarray):
-        self.vectors, self.lift, self.rows, self.ids = vectors, lift, rows, ids
+        self.vectors, self.lift = vectors.astype(float), lift
         self.routing: list[int] = []
         self.radius: list[float] = []
-        self.parent: list[float] = []
-        self.children: list[list[int]] = []
-        self.entries: list[np.ndarray] = []
-        self.to_routing: list[np.ndarray] = []
-        self._grow(np.arange(len(vectors)), self._middle(np.arange(len(vectors))), 0.0)
-        self.routes = vectors[self.routing]
+        self.children: list[tuple[np.ndarray, np.ndarray, np.ndarray] | None] = []
+        self.entries: list[tuple[int, int]] = []
+        self.order: list[np.ndarray] = []
+        self.far: list[np.ndarray] = []
+        self._placed = 0
+        every = np.arange(len(vectors))
+        self._grow(every, self._middle(every))
+        order = np.concatenate(self.order)
+        self.routes = self.vectors[self.routing]
+        self.vectors, self.rows, self.ids, self.to_routing = self.vectors[order], rows[order], ids[order], np.concatenate(self.far)
+        del self.order, self.far, self.lift, self.routing, self._placed
+        self._link()
+
+    def _link(self) -> None:
+        """Routing vectors of each node's children side by side."""
+        self.child_routes = [None if c is None else self.routes[c[0]] for c in self.children]
+
+    def pack(self) -> bytes:
+        small = {k: v.astype(np.int32) for k, v in (("vectors", self.vectors), ("routes", self.routes))}
+        return pickle.dumps({k: v for k, v in self.__dict__.items() if k != "child_routes"} | small)
+
+    @classmethod
+    def unpack(cls, blob: bytes) -> Page:
+        page = cls.__new__(cls)
+        page.__dict__.update(pickle.loads(blob))
+        page.vectors, page.routes = page.vectors.astype(float), page.routes.astype(float)
+        page._link()
+        return page
 
     def _distances(self, at: np.ndarray, to: int) -> np.ndarray:
         d = self.vectors[at] - self.vectors[to]
@@ -65,19 +92,21 @@ class Page:
         few = at[:: max(1, len(at) // 16)][:16]
         return int(min(few, key=lambda c: self._distances(at, c).max()))
 
-    def _grow(self, at: np.ndarray, routing: int, parent: float) -> int:
+    def _grow(self, at: np.ndarray, routing: int) -> int:
         n = len(self.routing)
         far = self._distances(at, routing)
         self.routing.append(routing)
         self.radius.append(float(far.max()))
-        self.parent.append(parent)
-        self.children.append([])
-        self.entries.append(np.zeros(0, np.int64))
-        self.to_routing.append(np.zeros(0))
+        self.children.append(None)
+        self.entries.append((0, 0))
         if len(at) <= LEAF or far.max() == 0:
-            self.entries[n], self.to_routing[n] = at, far
+            order = np.argsort(far, kind="stable")
+            self.order.append(at[order])
+            self.far.append(far[order])
+            self.entries[n] = self._placed, self._placed + len(at)
+            self._placed += len(at)
             return n
-        centres, near = [int(at[far.argmax()])], None  # centres far from each other
+        centres = [int(at[far.argmax()])]  # centres far from each other
         owner = np.zeros(len(at), np.int64)
         near = self._distances(at, centres[0])
         while len(centres) < FAN and near.max() > 0:
@@ -85,37 +114,39 @@ class Page:
             d = self._distances(at, centres[-1])
             owner[d < near] = len(centres) - 1
             near = np.minimum(near, d)
+        kids = []
         for c in range(len(centres)):
             mine = at[owner == c]
             if len(mine):
                 middle = self._middle(mine)
-                self.children[n].append(self._grow(mine, middle, float(self._distances(np.array([middle]), routing)[0])))
+                kids.append((self._grow(mine, middle), float(self._distances(np.array([middle]), routing)[0])))
+        numbers = np.array([k for k, _ in kids])
+        self.children[n] = numbers, np.array([d for _, d in kids]), np.array([self.radius[k] for k in numbers])
         return n
 
 
-def search(pages: list[Page], query: np.ndarray, norm: float, top: int, k: int, own: int, floor: int | None) -> tuple[list[tuple[int, int, int]], int]:
-    """The k best (score, id, row) of the pages, and how many distances were computed.
+def search(pages: list[Page], roots: np.ndarray, query: np.ndarray, norm: float, top: int, own: int, floor: int | None) -> tuple[list[tuple[int, int, int]], int]:
+    """The ``top`` best (score, id, row) of the pages, and how many distances were computed.
 
-    ``norm``: |query|^2 + M^2; ``floor``: a score that k candidates reach.
+    ``roots``: products of the query with the roots' routing vectors; ``norm``: |query|^2 + M^2; ``floor``: a score that
+    ``top`` candidates reach.
     """
     best: list[tuple[int, int, int]] = []  # a heap of (score, -id, -row), worst first
-    done = 0
+    done = len(pages)
 
     def reach() -> float:
-        """Distance of the k-th best score with a margin."""
-        score = best[0][0] if len(best) == k else floor
-        if len(best) == k and floor is not None:
+        """Distance of the k-th best score with a margin above rounding."""
+        score = best[0][0] if len(best) == top else floor
+        if len(best) == top and floor is not None:
             score = max(score, floor)
         if score is None:
             return float("inf")
-        d = np.sqrt(max(0.0, norm - 2.0 * score))
+        d = max(0.0, norm - 2.0 * score) ** 0.5
         return d + 1e-6 * (1 + d) + 1e-3
 
     heap = []
-    roots = np.stack([p.routes[0] for p in pages]) @ query
-    done += len(pages)
-    for p, (page, ip) in enumerate(zip(pages, roots)):
-        d = float(np.sqrt(max(0.0, norm - 2.0 * ip)))
+    for p, (page, ip) in enumerate(zip(pages, roots.tolist())):
+        d = max(0.0, norm - 2.0 * ip) ** 0.5
         heap.append((max(0.0, d - page.radius[0]), p, 0, d))
     heapq.heapify(heap)
     limit = reach()
@@ -124,25 +155,34 @@ def search(pages: list[Page], query: np.ndarray, norm: float, top: int, k: int,
         if least > limit:
             break
         page = pages[p]
-        if page.children[n]:
-            kids = [c for c in page.children[n] if abs(d - page.parent[c]) - page.radius[c] <= limit]
-            if kids:
-                done += len(kids)
-                for c, ip in zip(kids, page.routes[kids] @ query):
-                    far = float(np.sqrt(max(0.0, norm - 2.0 * ip)))
-                    bound = max(0.0, far - page.radius[c])
-                    if bound <= limit:
-                        heapq.heappush(heap, (bound, p, c, far))
+        if page.children[n] is not None:
+            numbers, parent, radius = page.children[n]
+            near = np.abs(d - parent) - radius <= limit
+            if near.all():
+                routes = page.child_routes[n]
+            else:
+                numbers, radius, routes = numbers[near], radius[near], page.child_routes[n][near]
+            done += len(numbers)
+            far = np.sqrt(np.maximum(0.0, norm - 2.0 * (routes @ query)))
+            bound = np.maximum(0.0, far - radius)
+            for c, x, y in zip(numbers.tolist(), bound.tolist(), far.tolist()):
+                if x <= limit:
+                    heapq.heappush(heap, (x, p, c, y))
             continue
-        at = page.entries[n][np.abs(d - page.to_routing[n]) <= limit]
-        if not len(at):
+        start, stop = page.entries[n]
+        known = page.to_routing[start:stop]
+        a, b = start + int(known.searchsorted(d - limit, "left")), start + int(known.searchsorted(d + limit, "right"))
+        if a >= b:
             continue
-        done += len(at)
-        for score, i, row in zip((page.vectors[at] @ query).tolist(), page.ids[at].tolist(), page.rows[at].tolist()):
+        done += b - a
+        scores = page.vectors[a:b] @ query
+        worst = best[0][0] if len(best) == top else -np.inf
+        for k in np.flatnonzero(scores >= worst).tolist():
+            row = int(page.rows[a + k])
             if row == own:
                 continue
-            item = (score, -i, -row)
-            if len(best) < k:
+            item = (int(scores[k]), -int(page.ids[a + k]), -row)
+            if len(best) < top:
                 heapq.heappush(best, item)
             elif item > best[0]:
                 heapq.heapreplace(best, item)
@@ -204,7 +244,7 @@ def top_k(table: DataFrame, is_query: Column, k: int = 5, scale: int = 256, id_c
         lift = np.sqrt(np.maximum(0.0, longest - (v * v).sum(1)))
         ids = pc_fill(table.column("id"))
         tree = Page(v, lift, table.column("row").to_numpy(), ids)
-        return pa.table({"page": table.column("page")[:1], "tree": pa.array([pickle.dumps(tree.__dict__)], pa.binary())})
+        return pa.table({"page": table.column("page")[:1], "tree": pa.array([tree.pack()], pa.binary())})
 
     def pc_fill(column) -> np.ndarray:
         return np.array([NO_ID if i is None else i for i in column.to_pylist()], np.int64)
@@ -217,21 +257,18 @@ def top_k(table: DataFrame, is_query: Column, k: int = 5, scale: int = 256, id_c
 
     def answer(trees: pa.Table, questions: pa.Table) -> pa.Table:
         found = {c: [] for c in ("query_row", "query_id", "id", "row", "score", "computed")}
-        opened = []
-        for blob in trees.column("tree").to_pylist():
-            one = Page.__new__(Page)
-            one.__dict__.update(pickle.loads(blob))
-            opened.append(one)
+        opened = [Page.unpack(blob) for blob in trees.column("tree").to_pylist()]
         if opened and questions.num_rows:
             pivot_rows, pivots = sent.value
-            vectors = matrix(questions)
-            known = vectors @ pivots.T
-            for row, i, q, scores in zip(questions.column("row").to_pylist(), questions.column("id").to_pylist(), vectors, known):
+            vectors = matrix(questions).astype(float)
+            known = vectors @ pivots.T.astype(float)
+            roots = vectors @ np.stack([p.routes[0] for p in opened]).T
+            for row, i, q, scores, own in zip(questions.column("row").to_pylist(), questions.column("id").to_pylist(), vectors, known, roots):
                 others = np.sort(scores[pivot_rows != row])[::-1]
                 floor = int(others[k - 1]) if len(others) >= k else None
-                got, computed = search(opened, q, float(q @ q) + longest, size, k, row, floor)
-                for score, j, r in got:
-                    for c, x in zip(found, (row, i, None if j == NO_ID else j, r, score, computed)):
+                got, computed = search(opened, own, q, float(q @ q) + longest, k, row, floor)
+                for at, (score, j, r) in enumerate(got):
+                    for c, x in zip(found, (row, i, None if j == NO_ID else j, r, score, 0 if at else computed)):
                         found[c].append(x)
         return pa.table({c: pa.array(v, pa.int64()) for c, v in found.items()})
 
