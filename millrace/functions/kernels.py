@@ -1,4 +1,4 @@
-"""Distance kernels for smoothing: plain functions of the distance between two positions."""
+"""Kernels for smoothing: plain functions of the offset of a neighbour, negative for earlier rows, positive for later ones."""
 
 from __future__ import annotations
 
@@ -8,14 +8,14 @@ from collections.abc import Callable
 Kernel = Callable[[int], float]
 
 
-def inverse_distance(distance: int) -> float:
-    return 1.0 / (abs(distance) + 1)
+def inverse_distance(offset: int) -> float:
+    return 1.0 / (abs(offset) + 1)
 
 
 def gaussian(width: float) -> Kernel:
     """``exp(-d**2 / width)``."""
 
-    def kernel(distance: int) -> float:
-        return math.exp(-(distance * distance) / width)
+    def kernel(offset: int) -> float:
+        return math.exp(-(offset * offset) / width)
 
     return kernel

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from datetime import date, datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import Column
@@ -35,8 +36,22 @@ def starts_with_day(text: Column | str, day: str) -> Column:
     return column(text).startswith(day)
 
 
+def on_days(ts: str, days: Sequence[str]) -> Column:
+    """Is the time on one of the days, given as ``yyyyMMdd``? Neighbouring days become one range."""
+    ranges: list[tuple[date, date]] = []
+    for day in sorted({datetime.strptime(d, "%Y%m%d").date() for d in days}):
+        if ranges and ranges[-1][1] == day:
+            ranges[-1] = (ranges[-1][0], day + timedelta(days=1))
+        else:
+            ranges.append((day, day + timedelta(days=1)))
+    tests = [(F.col(ts) >= F.lit(datetime(*a.timetuple()[:3]))) & (F.col(ts) < F.lit(datetime(*b.timetuple()[:3]))) for a, b in ranges]
+    return reduce(lambda a, b: a | b, tests)
+
+
 def tokens(line: Column | str, separator: str = " ") -> Column:
-    return F.split(F.trim(column(line)), separator)
+    """The parts between literal separators, without blanks and control characters around the line."""
+    bare = F.regexp_replace(column(line), r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+    return F.split(bare, "\\Q" + separator.replace("\\E", "\\E\\\\E\\Q") + "\\E")
 
 
 def bracketed(items: Column | str, separator: str = ",") -> Column:

@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.ml.fpm import FPGrowth, PrefixSpan
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.series import BROADCAST_ROWS, home_stretch, match_on, with_position
+from millrace.operators.series import BROADCAST_ROWS, home_stretch, if_small, match_on, with_position
 from millrace.session import stage, stage_table
 
 
@@ -18,9 +18,15 @@ def least_count(rows: int, min_support: float) -> int:
     return max(1, math.ceil(rows * min_support))
 
 
-def mine_baskets(baskets: DataFrame, items: str, min_support: float, min_confidence: float = 0.8, partitions: int | None = None):
-    """A fitted FP-growth model over rows of item arrays; repeated items of a basket count once."""
-    rows = baskets.select(F.array_distinct(items).alias("items"))
+#: Copies of a table of items that a join deals its rows to, if the table is too large to be broadcast.
+SALTS = 16
+
+
+def mine_baskets(
+    baskets: DataFrame, items: str, min_support: float, min_confidence: float = 0.8, partitions: int | None = None, distinct: bool = False
+):
+    """A fitted FP-growth model over rows of item arrays; repeated items of a basket count once (``distinct``: there are none)."""
+    rows = baskets.select((F.col(items) if distinct else F.array_distinct(items)).alias("items"))
     partitions = partitions or int(baskets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     learner = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence)
     return learner.setNumPartitions(partitions).fit(rows)
@@ -49,10 +55,15 @@ def mine_pairs(
     frequent = pairs.groupBy(item).count().where(F.col("count") >= least).select(item, F.lit(True).alias("_frequent"))
     # At most rows / least items reach the least count, so the size of this side is known before it is broadcast.
     if (rows or 0) <= least * BROADCAST_ROWS:
-        frequent = F.broadcast(frequent)
-    marked = spread_rows(pairs.join(frequent, item, "left"), *basket)
+        marked = pairs.join(F.broadcast(frequent), item, "left")
+    else:
+        # An item may be in a large part of all baskets: its rows are dealt to several copies of the table.
+        salt = F.pmod(F.xxhash64(*basket), F.lit(SALTS)).cast("int").alias("_salt")
+        copies = frequent.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        marked = pairs.select("*", salt).join(copies, [item, "_salt"], "left")
     kept = F.collect_list(F.when(F.col("_frequent"), F.col(item)))
-    return mine_baskets(marked.groupBy(*basket).agg(kept.alias("items")), "items", min_support, min_confidence, partitions)
+    rows = spread_rows(marked, *basket).groupBy(*basket).agg(kept.alias("items"))
+    return mine_baskets(rows, "items", min_support, min_confidence, partitions, distinct=True)
 
 
 def spread_rows(df: DataFrame, *keys: str) -> DataFrame:
@@ -66,18 +77,32 @@ def frequent_sequences(df: DataFrame, sequence: str, min_support: float, max_len
     return span.findFrequentSequentialPatterns(df.select(sequence))
 
 
-def edge_sequences(df: DataFrame, by: Sequence[str], order: Sequence[str], item: str, output: str = "sequence") -> DataFrame:
-    """One row per group with its events in order, for patterns of at most two events.
+def frequent_pairs(df: DataFrame, by: Sequence[str], order: Sequence[str], item: str, min_support: float) -> DataFrame:
+    """Frequent sequences of one or two events: sequence (array of items), freq.
 
-    Such a pattern occurs exactly if the first occurrence of one item comes before the last of the other (or the
-    same), so only these two occurrences per item are kept and a group of any size gives a short array. A single
-    order column lets Spark aggregate in a hash table; several make it sort first.
+    A pattern of two occurs in a group exactly if the first occurrence of one item comes before the last of the other
+    (or the same), so a group of any size is reduced to the first and last place of each of its items.
     """
     at = F.struct(*order) if len(order) > 1 else F.col(order[0])
-    edges = df.groupBy(*by, item).agg(F.min(at).alias("_first"), F.max(at).alias("_last"))
-    kept = edges.select(*by, item, F.explode(F.array_distinct(F.array("_first", "_last"))).alias("_at"))
-    steps = F.array_sort(F.collect_list(F.struct("_at", item)))
-    return spread_rows(kept, *by).groupBy(*by).agg(F.transform(steps, lambda s: F.array(s[item])).alias(output))
+    edges = df.groupBy(*by, item).agg(F.min(at).alias("first"), F.max(at).alias("last"))
+    groups = stage_table(edges.groupBy(*by).agg(F.collect_list(F.struct(F.col(item).alias("item"), "first", "last")).alias("items")).select("items"))
+    least = least_count(groups.count(), min_support)
+    items = F.col("items")
+
+    def followers(one: Column) -> Column:
+        later = F.filter(items, lambda other: one["first"] < other["last"])
+        return F.transform(later, lambda other: F.array(one["item"], other["item"]))
+
+    patterns = F.concat(F.transform(items, lambda one: F.array(one["item"])), F.flatten(F.transform(items, followers)))
+    counted = groups.select(F.explode(patterns).alias("sequence")).groupBy("sequence").agg(F.count(F.lit(1)).alias("freq"))
+    return counted.where(F.col("freq") >= least)
+
+
+def sequences_of_sets(df: DataFrame, by: Sequence[str], at: str, item: str, output: str = "sequence") -> DataFrame:
+    """One row per group: its item sets in the order of ``at``, each the distinct sorted items of one value of ``at``."""
+    sets = df.select(*by, at, item).distinct().groupBy(*by, at).agg(F.array_sort(F.collect_list(item)).alias("_set"))
+    steps = F.array_sort(F.collect_list(F.struct(at, "_set")))
+    return spread_rows(sets, *by).groupBy(*by).agg(F.transform(steps, lambda s: s["_set"]).alias(output))
 
 
 def grow_sequences(
@@ -91,35 +116,50 @@ def grow_sequences(
 ) -> DataFrame:
     """Frequent sequences of single events of any length, without putting a group into one row.
 
-    For each pattern a group keeps the position where its earliest occurrence ends. A longer pattern ends at the
-    next occurrence of its last item, which is looked up in the same stretch row by row, and in later stretches
-    among one row per stretch and item. Stretches of about the square root of the longest group keep both short.
+    For each pattern a group keeps the position where its earliest occurrence ends. A longer pattern ends at the next
+    occurrence of its last item. Groups are cut into stretches of about the square root of the longest one; an index row
+    per stretch holds, for each frequent item of the group, its positions in the stretch and the first one behind it.
+    A pattern thus meets one row and grows by each item at most once.
     """
     steps = stage_table(with_position(df.select(*by, *order, item), order, by, "_idx"))
     groups, last = steps.agg(F.count_if(F.col("_idx") == 0), F.max("_idx")).first()
     least = least_count(groups, min_support)
     bits = math.ceil(math.log2((last or 0) + 2) / 2) + 1 if bits is None else bits
     steps = steps.select(*by, "_idx", home_stretch("_idx", bits).alias("_stretch"), F.col(item).alias("_item"))
-    firsts = stage(steps.groupBy(*by, "_stretch", "_item").agg(F.min("_idx").alias("_idx")))
 
-    ends = firsts.groupBy(*by, "_item").agg(F.min("_idx").alias("_end"))
-    ends = ends.select(*by, F.array("_item").alias("_pattern"), "_end")
-    levels: list[DataFrame] = []
-    for length in range(1, max_length + 1):
-        levels.append(stage(ends.groupBy("_pattern").count().where(F.col("count") >= least)))
-        if length == max_length or levels[-1].isEmpty():
+    firsts = steps.groupBy(*by, "_item").agg(F.min("_idx").alias("_end"))
+    ends = firsts.select(*by, F.array("_item").alias("_pattern"), "_end")
+    levels = [stage(ends.groupBy("_pattern").count().where(F.col("count") >= least))]
+    if max_length > 1 and not levels[0].isEmpty():
+        items = if_small(levels[0].select(F.col("_pattern")[0].alias("_item")))
+        index = stage_table(_next_items(steps.join(items, "_item", "left_semi"), by))
+    for length in range(2, max_length + 1):
+        if levels[-1].isEmpty():
             break
-        if length == 1:
-            items = levels[0].select(F.col("_pattern")[0].alias("_item"))
-            steps, firsts = (rows.join(items, "_item", "left_semi") for rows in (steps, firsts))
-        grown = ends.join(levels[-1].select("_pattern"), "_pattern", "left_semi")
+        grown = ends.join(if_small(levels[-1].select("_pattern")), "_pattern", "left_semi")
         grown = grown.withColumn("_stretch", home_stretch("_end", bits))
-        near = match_on(grown, steps, [*by, "_stretch"]).where(F.col("_idx") > F.col("_end"))
-        # A later stretch is never the first one, which spares most groups this join.
-        later = firsts.where("_stretch > 0").withColumnRenamed("_stretch", "_later")
-        far = match_on(grown, later, by).where(F.col("_later") > F.col("_stretch"))
-        columns = [*by, "_pattern", "_item", "_idx"]
-        found = near.select(*columns).unionByName(far.select(*columns))
-        ends = found.groupBy(*by, "_pattern", "_item").agg(F.min("_idx").alias("_end"))
-        ends = stage_table(ends.select(*by, F.concat("_pattern", F.array("_item")).alias("_pattern"), "_end"))
+        met = match_on(grown, index, [*by, "_stretch"])
+        behind = F.transform(
+            "_items",
+            lambda i: F.struct(
+                i["item"].alias("_item"),
+                F.coalesce(F.array_min(F.filter(i["at"], lambda x: x > F.col("_end"))), i["later"]).alias("_idx"),
+            ),
+        )
+        found = met.select(*by, "_pattern", F.inline(F.filter(behind, lambda i: i["_idx"].isNotNull())))
+        ends = stage_table(found.select(*by, F.concat("_pattern", F.array("_item")).alias("_pattern"), F.col("_idx").alias("_end")))
+        levels.append(stage(ends.groupBy("_pattern").count().where(F.col("count") >= least)))
     return reduce(DataFrame.unionByName, levels).select(F.col("_pattern").alias("sequence"), F.col("count").alias("freq"))
+
+
+def _next_items(steps: DataFrame, by: Sequence[str]) -> DataFrame:
+    """by, _stretch, _items: for every item of the group its positions in the stretch and the first one in a later stretch."""
+    own = steps.groupBy(*by, "_stretch", "_item").agg(F.array_sort(F.collect_list("_idx")).alias("_at"))
+    own = stage_table(own)
+    stretches = own.select(*by, "_stretch").distinct()
+    grid = match_on(stretches, own.select(*by, "_item").distinct(), by)
+    filled = match_on(grid, own, [*by, "_stretch", "_item"], "left")
+    after = Window.partitionBy(*by, "_item").orderBy("_stretch").rowsBetween(1, Window.unboundedFollowing)
+    later = F.min(F.col("_at")[0]).over(after)
+    entry = F.struct(F.col("_item").alias("item"), F.coalesce("_at", F.array().cast("array<bigint>")).alias("at"), F.col("_later").alias("later"))
+    return filled.withColumn("_later", later).groupBy(*by, "_stretch").agg(F.collect_list(entry).alias("_items"))

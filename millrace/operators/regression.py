@@ -3,13 +3,15 @@
 Squared-error fits need only the sums of products of the columns. ``moments`` gets them with a single
 aggregation; every later step (closed form, gradient descent of any length, step searches, error of any
 weights) works on a small matrix whose size depends on the number of columns and not on the number of rows.
+Rows that lack a term or the target are left out of every sum, and counted.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator, Mapping, Sequence
-from dataclasses import dataclass, field, replace
+from collections.abc import Iterator, Mapping, Sequence
+from dataclasses import dataclass, replace
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -18,9 +20,9 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.scalars import polynomial, weighted_sum
-from millrace.operators.stats import fit_errors
-from millrace.operators.tables import with_powers
+from millrace.functions.scalars import column, polynomial, weighted_sum
+from millrace.operators.series import if_small, match_on
+from millrace.session import stage
 
 CONSTANT = "constant"
 TARGET = "target"
@@ -29,23 +31,32 @@ TARGET = "target"
 # --- sums ------------------------------------------------------------------------------------------------------
 
 
-def _product_sums(terms: Sequence[str], target: str) -> list[Column]:
-    """Upper triangle of the products of terms, terms times target, target squared, rows.
+def _complete(columns: Sequence[str]) -> Column:
+    """Does the row have a value in every column? Rows that do not are left out of all sums alike."""
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
 
-    The names are private ones, so that they cannot meet those of grouping columns.
+
+def _co_moments(terms: Sequence[str], target: str) -> list[Column]:
+    """Means, and upper triangle of the covariances, of terms and target over complete rows; rows in and left out.
+
+    Covariances are added up around the running means, so a large common offset costs no digits. The names are
+    private ones, so that they cannot meet those of grouping columns.
     """
-    pairs = [F.sum(F.col(a) * F.col(b)) for i, a in enumerate(terms) for b in terms[i:]]
+    columns = [*terms, target]
+    whole = _complete(columns)
+    kept = [F.when(whole, F.col(c).cast("double")) for c in columns]
     return [
-        F.array(*pairs).alias("_xtx"),
-        F.array(*[F.sum(F.col(a) * F.col(target)) for a in terms]).alias("_xty"),
-        F.sum(F.col(target) * F.col(target)).alias("_yty"),
-        F.count(F.lit(1)).alias("_n"),
+        F.array(*[F.avg(c) for c in kept]).alias("_mean"),
+        F.array(*[F.covar_pop(a, b) for i, a in enumerate(kept) for b in kept[i:]]).alias("_cov"),
+        F.count_if(whole).alias("_n"),
+        F.count_if(~whole).alias("_left_out"),
     ]
 
 
 def gram_matrix(df: DataFrame, terms: Sequence[str], target: str) -> DataFrame:
     """The sums in long form: ``row_term, col_term, value``, the target included as a term."""
     columns = [*terms, target]
+    df = df.where(_complete(columns))
     entries = [
         F.struct(F.lit(a).alias("row_term"), F.lit(b).alias("col_term"), F.sum(F.col(a) * F.col(b)).alias("value"))
         for i, a in enumerate(columns)
@@ -56,44 +67,75 @@ def gram_matrix(df: DataFrame, terms: Sequence[str], target: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class Moments:
-    """Sums of products of ``terms`` and a target over ``n`` rows."""
+    """Means and sums of centred products of ``terms`` and a target over ``n`` complete rows.
+
+    ``mean`` and ``centred`` have the target last. ``left_out`` rows had a NULL in a term or the target.
+    """
 
     terms: tuple[str, ...]
-    xtx: np.ndarray
-    xty: np.ndarray
-    yty: float
+    mean: np.ndarray
+    centred: np.ndarray
     n: int
-    # One more pass over the rows, for weights that fit so well that the sums cancel.
-    scan_rss: Callable[[np.ndarray], float] | None = field(default=None, compare=False)
+    left_out: int = 0
 
     @classmethod
-    def from_row(cls, terms: Sequence[str], row, scan_rss=None) -> Moments:
+    def from_row(cls, terms: Sequence[str], row) -> Moments:
         if row["_n"] == 0:
             raise ValueError("no rows to fit")
-        xtx = _full(np.array(row["_xtx"]), len(terms))
-        return cls(tuple(terms), xtx, np.array(row["_xty"]), row["_yty"], row["_n"], scan_rss)
+        centred = _full(np.array(row["_cov"]), len(terms) + 1) * row["_n"]
+        return cls(tuple(terms), np.array(row["_mean"]), centred, row["_n"], row["_left_out"])
+
+    @property
+    def xtx(self) -> np.ndarray:
+        return self.centred[:-1, :-1] + self.n * np.outer(self.mean[:-1], self.mean[:-1])
+
+    @property
+    def xty(self) -> np.ndarray:
+        return self.centred[:-1, -1] + self.n * self.mean[:-1] * self.mean[-1]
+
+    @property
+    def yty(self) -> float:
+        return float(self.centred[-1, -1] + self.n * self.mean[-1] ** 2)
 
     def subset(self, terms: Sequence[str]) -> Moments:
-        at = [self.terms.index(t) for t in terms]
-        return replace(self, terms=tuple(terms), xtx=self.xtx[np.ix_(at, at)], xty=self.xty[at], scan_rss=None)
+        at = [*[self.terms.index(t) for t in terms], -1]
+        return replace(self, terms=tuple(terms), mean=self.mean[at], centred=self.centred[np.ix_(at, at)])
+
+    def _miss(self, w: np.ndarray) -> float:
+        """Mean of prediction minus target."""
+        return float(self.mean[:-1] @ w - self.mean[-1])
 
     def gradient(self, w: np.ndarray) -> np.ndarray:
-        return 2 * (self.xtx @ w - self.xty)
+        with np.errstate(all="ignore"):
+            slopes = self.centred[:-1, :-1] @ w - self.centred[:-1, -1]
+            return 2 * (slopes + self.n * self.mean[:-1] * self._miss(w))
 
     def rss(self, w: np.ndarray) -> float:
+        """Sum of squared errors: what the centred sums leave, and the mean error."""
         with np.errstate(all="ignore"):
-            value = float(self.yty - 2 * (w @ self.xty) + w @ self.xtx @ w)
-        if self.scan_rss is not None and abs(value) < 1e-6 * self.yty:
-            return self.scan_rss(w)
-        return value if math.isnan(value) else max(value, 0.0)
+            v = np.append(w, -1.0)
+            return float(v @ self.centred @ v + self.n * self._miss(w) ** 2)
+
+    def fall(self, slope: np.ndarray, step: float) -> float:
+        """By how much an update against the gradient ``slope`` lowers the sum of squared errors, without a difference of two."""
+        with np.errstate(all="ignore"):
+            curve = slope @ self.centred[:-1, :-1] @ slope + self.n * (self.mean[:-1] @ slope) ** 2
+            return float(step * (slope @ slope) - step**2 * curve)
 
     def rmse(self, w: np.ndarray) -> float:
-        return math.sqrt(self.rss(w) / self.n)
+        with np.errstate(all="ignore"):
+            return float(np.sqrt(max(self.rss(w), 0.0) / self.n))
 
     def solve(self, l2: float = 0.0) -> np.ndarray:
         """Least squares; a penalty spares the constant term."""
-        penalty = np.diag([0.0 if t == CONSTANT else l2 for t in self.terms])
-        return _solve(self.xtx[None] + penalty, self.xty[None])[0]
+        if CONSTANT in self.terms:  # then the other weights follow from the centred sums alone
+            at = [i for i, t in enumerate(self.terms) if t != CONSTANT]
+            w = np.zeros(len(self.terms))
+            if at:
+                w[at] = _solve((self.centred[np.ix_(at, at)] + l2 * np.eye(len(at)))[None], self.centred[at, -1][None])[0]
+            w[self.terms.index(CONSTANT)] = self.mean[-1] - self.mean[at] @ w[at]
+            return w
+        return _solve(self.xtx[None] + l2 * np.eye(len(self.terms)), self.xty[None])[0]
 
 
 def _full(upper: np.ndarray, d: int) -> np.ndarray:
@@ -114,16 +156,14 @@ def _solve(xtx: np.ndarray, xty: np.ndarray) -> np.ndarray:
 
 def moments(df: DataFrame, terms: Sequence[str], target: str) -> Moments:
     """One aggregation; only the sums reach the driver."""
-
-    def scan_rss(w: np.ndarray) -> float:
-        return fit_errors(df, target, weighted_sum(dict(zip(terms, w)))).first()["rss"]
-
-    return Moments.from_row(terms, df.agg(*_product_sums(terms, target)).first(), scan_rss)
+    return Moments.from_row(terms, df.agg(*_co_moments(terms, target)).first())
 
 
-def moments_of_parts(df: DataFrame, terms: Sequence[str], target: str, part: str) -> dict[str, Moments]:
-    """The sums of each part of a split, from one pass. ``part`` holds a handful of split names."""
-    rows = df.groupBy(part).agg(*_product_sums(terms, target)).collect()
+def moments_of_parts(df: DataFrame, terms: Sequence[str], target: str, part: str, most: int = 1_000) -> dict[str, Moments]:
+    """The sums of each part of a split, from one pass. ``part`` holds a handful of split names, at most ``most``."""
+    rows = df.groupBy(part).agg(*_co_moments(terms, target)).limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} parts; fit_groups fits any number of groups")
     return {row[part]: Moments.from_row(terms, row) for row in rows}
 
 
@@ -142,7 +182,7 @@ def fit_groups(
     """
     terms = list(terms)
     chosen = {None: terms} if models is None else dict(models)
-    sums = df.groupBy(*by).agg(*_product_sums(terms, target))
+    sums = df.groupBy(*by).agg(*_co_moments(terms, target)).where("_n > 0")
     fields = [f"{f.name} {f.dataType.simpleString()}" for f in df.select(*by).schema.fields]
     if models is not None:
         fields.append(f"{model_column} {'int' if isinstance(next(iter(chosen)), int) else 'string'}")
@@ -152,18 +192,25 @@ def fit_groups(
         for batch in batches:
             if batch.empty:
                 continue
-            all_xtx = _full(np.stack(batch["_xtx"].to_numpy()), len(terms))
-            all_xty = np.stack(batch["_xty"].to_numpy())
+            n = batch["_n"].to_numpy(dtype=float)
+            means = np.stack(batch["_mean"].to_numpy())
+            centred = _full(np.stack(batch["_cov"].to_numpy()), len(terms) + 1) * n[:, None, None]
             for name, wanted in chosen.items():
-                at = [terms.index(t) for t in wanted]
-                xtx, xty = all_xtx[:, at][:, :, at], all_xty[:, at]
-                w = _solve(xtx, xty)
-                rss = batch["_yty"].to_numpy() - 2 * (w * xty).sum(axis=1) + np.einsum("gi,gij,gj->g", w, xtx, w)
+                free = [terms.index(t) for t in wanted if t != CONSTANT]
+                found = {t: np.zeros(len(batch)) for t in wanted}
+                with_constant = CONSTANT in wanted
+                around = centred if with_constant else centred + n[:, None, None] * means[:, :, None] * means[:, None, :]
+                v = np.full((len(batch), len(free) + 1), -1.0)
+                if free:
+                    v[:, :-1] = _solve(around[:, free][:, :, free], around[:, free, -1])
+                    found |= dict(zip([terms[i] for i in free], v[:, :-1].T))
+                if with_constant:
+                    found[CONSTANT] = -(means[:, [*free, -1]] * v).sum(axis=1)
+                rss = np.einsum("gi,gij,gj->g", v, around[:, [*free, -1]][:, :, [*free, -1]], v)
                 out = batch[list(by)]
                 if name is not None:
                     out = out.assign(**{model_column: name})
-                out = out.assign(rows=batch["_n"], rss=np.maximum(rss, 0.0))
-                found = dict(zip(wanted, w.T))
+                out = out.assign(rows=batch["_n"], rss=rss)
                 yield out.assign(**{t: found.get(t, np.nan) for t in terms})
 
     return sums.mapInPandas(solve, schema)
@@ -238,16 +285,20 @@ def descend_adaptive(
 ) -> Fit:
     """Descent that goes on while the error falls by more than ``error_threshold``.
 
-    An update that raises the error is dropped and the step divided by ten. With ``extrapolate``, weights whose
+    An update that raises the error, or makes it NaN, is dropped and the step divided by ten. With ``extrapolate``, weights whose
     moves keep the same length (to the percent) take one update ``leap`` times as long; it is never undone.
     """
     w, steps = _start(m, initial), 0
     visited: list[np.ndarray] = []
     while True:
-        updated = w - step * m.gradient(w)
-        gain = m.rmse(w) - m.rmse(updated)
-        if gain < 0:
-            step /= 10
+        slope = m.gradient(w)
+        updated = w - step * slope
+        now = m.rss(w)
+        fall = m.fall(slope, step)
+        # The difference of the two roots, from the fall of the sum itself.
+        gain = fall / (math.sqrt(m.n) * (math.sqrt(max(now, 0.0)) + math.sqrt(max(now - fall, 0.0)) or 1.0)) if now == now else math.nan
+        if math.isnan(gain) or gain < 0:
+            step = _shorter(step)
             continue
         if not gain > error_threshold:
             return _fit(m, w, True, steps)
@@ -259,6 +310,12 @@ def descend_adaptive(
         w, steps = updated, steps + 1
 
 
+def _shorter(step: float) -> float:
+    if step / 10 == 0.0:
+        raise ArithmeticError("no step is short enough: the error is not a number")
+    return step / 10
+
+
 def _steady(before: np.ndarray, now: np.ndarray, then: np.ndarray) -> bool:
     """Do the last two moves agree in length, to a rounded percent, summed over the weights?"""
     with np.errstate(all="ignore"):
@@ -291,7 +348,7 @@ def fit_sgd(
 def search_step(m: Moments, first_step: float, iterations: int = 100, convergence_tol: float = 0.001) -> tuple[Fit, float]:
     """Divide the step by ten while that lowers the error; a diverged fit never ends the search.
 
-    Returns the chosen fit and its step.
+    Data whose error is NaN at every step raise an error. Returns the chosen fit and its step.
     """
 
     def attempt(step: float) -> tuple[Fit, float]:
@@ -302,7 +359,7 @@ def search_step(m: Moments, first_step: float, iterations: int = 100, convergenc
     step = first_step
     fit, error = attempt(step)
     while True:
-        next_fit, next_error = attempt(step / 10)
+        next_fit, next_error = attempt(_shorter(step))
         if math.isnan(error):
             better = True
         elif math.isnan(next_error):
@@ -348,8 +405,12 @@ def fit_linear(
 ):
     """A fitted ML model, and its coefficients as a dict.
 
-    Without a penalty the normal equations are solved in one pass; ``solver`` forces another way.
+    Without a penalty the normal equations are solved in one pass; ``solver`` forces another way. Rows with a NULL
+    feature or label are left out.
     """
+    if solver == "normal" and reg > 0 and elastic_net > 0:
+        raise ValueError("the normal equations cannot hold an elastic net penalty")
+    df = df.where(_complete([*features, label]))
     ready = VectorAssembler(inputCols=list(features), outputCol="features").transform(df)
     if solver is None:
         solver = "normal" if elastic_net == 0.0 or reg == 0.0 else "auto"
@@ -398,7 +459,8 @@ class PolynomialFit:
     rss: dict[str, float]
 
     def column(self, x: str) -> Column:
-        return polynomial(_unit(x, self.low, self.high), np.polynomial.chebyshev.cheb2poly(self.chebyshev))
+        """The polynomial at any x, also beyond the range it was fitted on; NULL stays NULL."""
+        return polynomial(_unit(F.col(x), F.lit(self.low), F.lit(self.high)), np.polynomial.chebyshev.cheb2poly(self.chebyshev))
 
     def power_coefficients(self) -> np.ndarray:
         """Coefficients of the plain powers of x; they lose digits at high degrees."""
@@ -407,9 +469,33 @@ class PolynomialFit:
         return np.pad(plain, (0, self.degree + 1 - len(plain)))
 
 
-def _unit(x: str, low: float, high: float) -> Column:
-    t = (F.col(x) * 2 - F.lit(low + high)) / F.lit((high - low) or 1.0)
-    return F.greatest(F.least(t, F.lit(1.0)), F.lit(-1.0))
+def _unit(x: Column, low: Column, high: Column) -> Column:
+    """x mapped from [low, high] to [-1, 1]."""
+    return (x * 2 - (low + high)) / F.when(high > low, high - low).otherwise(1.0)
+
+
+def _angle(unit: Column) -> Column:
+    """Its cosine is ``unit``, which only rounding puts outside of [-1, 1] here; NULL stays NULL."""
+    return F.when(unit.isNotNull(), F.acos(F.greatest(F.least(unit, F.lit(1.0)), F.lit(-1.0))))
+
+
+def _chebyshev_sums(max_degree: int) -> list[Column]:
+    """Sums over ``_angle`` and ``_y`` that hold the equations of all degrees.
+
+    A product of two Chebyshev polynomials is the mean of two others, so that ``2 * max_degree + 1`` sums hold the matrix.
+    """
+    angle, y = F.col("_angle"), F.col("_y")
+    return [
+        F.array(*[F.sum(F.cos(angle * k)) for k in range(2 * max_degree + 1)]).alias("_t"),
+        F.array(*[F.sum(y * F.cos(angle * k)) for k in range(max_degree + 1)]).alias("_ty"),
+        F.sum(y * y).alias("_yy"),
+        F.count(F.lit(1)).alias("_n"),
+    ]
+
+
+def _chebyshev_system(t: np.ndarray, size: int) -> np.ndarray:
+    order = np.arange(size)
+    return (t[..., order[:, None] + order] + t[..., np.abs(order[:, None] - order)]) / 2
 
 
 def fit_degrees(
@@ -417,39 +503,25 @@ def fit_degrees(
 ) -> list[PolynomialFit]:
     """Fit every degree 1..max_degree on one part and give its residual sum of squares on every part.
 
-    Powers of x make sums that no double can hold apart at degree 15. Chebyshev polynomials do not, and a product
-    of two of them is the mean of two others, so that ``2 * max_degree + 1`` sums hold the matrix of all degrees.
+    Powers of x make sums that no double can hold apart at degree 15. Chebyshev polynomials do not. The target is
+    measured from its mean, so that an offset costs no digits. Rows with a NULL in x or y are left out.
     """
-    low, high = df.agg(F.min(x).cast("double"), F.max(x).cast("double")).first()
+    df = df.where(_complete([x, y])).select(part, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
+    low, high, middle = df.agg(F.min("_x"), F.max("_x"), F.avg("_y")).first()
     if low is None:
         raise ValueError("no rows to fit")
-    angle = F.acos(_unit(x, low, high))
-    target = F.col(y)
-    prepared = df.select(part, angle.alias("_angle"), target.cast("double").alias("_y"))
-    rows = (
-        prepared.groupBy(part)
-        .agg(
-            F.array(*[F.sum(F.cos(F.col("_angle") * k)) for k in range(2 * max_degree + 1)]).alias("t"),
-            F.array(*[F.sum(F.col("_y") * F.cos(F.col("_angle") * k)) for k in range(max_degree + 1)]).alias("ty"),
-            F.sum(F.col("_y") * F.col("_y")).alias("yty"),
-        )
-        .collect()  # one row per part of the split
-    )
-    order = np.arange(max_degree + 1)
-    sums = {}
-    for row in rows:
-        t = np.array(row["t"])
-        matrix = (t[order[:, None] + order] + t[np.abs(order[:, None] - order)]) / 2
-        sums[row[part]] = (matrix, np.array(row["ty"]), row["yty"])
+    angle = _angle(_unit(F.col("_x"), F.lit(low), F.lit(high)))
+    prepared = df.select(part, angle.alias("_angle"), (F.col("_y") - middle).alias("_y"))
+    rows = prepared.groupBy(part).agg(*_chebyshev_sums(max_degree)).collect()  # one row per part of the split
+    sums = {row[part]: (_chebyshev_system(np.array(row["_t"]), max_degree + 1), np.array(row["_ty"]), row["_yy"]) for row in rows}
     fits = []
     for degree in range(1, max_degree + 1):
         size = degree + 1
         matrix, ty, _ = sums[fitted_on]
         c = _solve(matrix[None, :size, :size], ty[None, :size])[0]
-        rss = {
-            name: max(float(yty - 2 * c @ ty[:size] + c @ matrix[:size, :size] @ c), 0.0)
-            for name, (matrix, ty, yty) in sums.items()
-        }
+        rss = {name: float(yy - 2 * c @ ty[:size] + c @ matrix[:size, :size] @ c) for name, (matrix, ty, yy) in sums.items()}
+        c = c.copy()
+        c[0] += middle
         fits.append(PolynomialFit(degree, low, high, c, rss))
     return fits
 
@@ -464,7 +536,46 @@ def degree_frame(spark: SparkSession, fits: Sequence[PolynomialFit]) -> DataFram
 
 
 def fit_polynomial_groups(df: DataFrame, x: str, y: str, degrees: Sequence[int], by: Sequence[str]) -> DataFrame:
-    """Polynomial fits of several degrees per group, all from the sums of the highest."""
-    terms = [f"power_{p}" for p in range(max(degrees) + 1)]
-    models = {degree: terms[: degree + 1] for degree in degrees}
-    return fit_groups(with_powers(df, x, max(degrees)), terms, y, by, models, "degree")
+    """Polynomial fits of several degrees per group: ``by..., degree, rows, low, high, rss, power_0...``.
+
+    Each group is fitted in Chebyshev polynomials over its own range, one row of sums per group and task; the powers
+    are those of x mapped from [low, high] to [-1, 1], since powers of x itself lose all digits at high degrees.
+    ``polynomial_at`` evaluates them. Groups are matched with their ranges by a join that is broadcast if there are few.
+    """
+    most = max(degrees)
+    rows = df.where(_complete([x, y])).select(*by, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
+    ranges = rows.groupBy(*by).agg(F.min("_x").alias("_low"), F.max("_x").alias("_high"), F.avg("_y").alias("_middle"))
+    placed = match_on(rows, if_small(stage(ranges)), by)
+    angle = _angle(_unit(F.col("_x"), F.col("_low"), F.col("_high")))
+    prepared = placed.select(*by, "_low", "_high", "_middle", angle.alias("_angle"), (F.col("_y") - F.col("_middle")).alias("_y"))
+    sums = prepared.groupBy(*by, "_low", "_high", "_middle").agg(*_chebyshev_sums(most))
+    fields = [f"{f.name} {f.dataType.simpleString()}" for f in df.select(*by).schema.fields]
+    powers = [f"power_{k}" for k in range(most + 1)]
+    schema = ", ".join([*fields, "degree int", "rows bigint", "low double", "high double", "rss double", *[f"{p} double" for p in powers]])
+    to_powers = np.zeros((most + 1, most + 1))
+    for k in range(most + 1):
+        to_powers[k, : k + 1] = np.polynomial.chebyshev.cheb2poly([0.0] * k + [1.0])
+
+    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if batch.empty:
+                continue
+            matrix = _chebyshev_system(np.stack(batch["_t"].to_numpy()), most + 1)
+            ty = np.stack(batch["_ty"].to_numpy())
+            for degree in degrees:
+                size = degree + 1
+                c = _solve(matrix[:, :size, :size], ty[:, :size])
+                rss = batch["_yy"].to_numpy() - 2 * (c * ty[:, :size]).sum(axis=1) + np.einsum("gi,gij,gj->g", c, matrix[:, :size, :size], c)
+                p = np.full((len(batch), most + 1), np.nan)
+                p[:, :size] = c @ to_powers[:size, :size]
+                p[:, 0] += batch["_middle"].to_numpy()
+                out = batch[list(by)].assign(degree=degree, rows=batch["_n"], low=batch["_low"], high=batch["_high"], rss=rss)
+                yield out.assign(**dict(zip(powers, p.T)))
+
+    return sums.mapInPandas(solve, schema)
+
+
+def polynomial_at(x: Column | str, degree: int) -> Column:
+    """The value at x of a row of ``fit_polynomial_groups`` (columns low, high, power_0...)."""
+    t = _unit(column(x), F.col("low"), F.col("high"))
+    return reduce(lambda value, k: value * t + F.coalesce(F.col(f"power_{k}"), F.lit(0.0)), reversed(range(degree)), F.coalesce(F.col(f"power_{degree}"), F.lit(0.0)))

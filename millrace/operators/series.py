@@ -28,7 +28,8 @@ ROWS_PER_TASK = 1_000_000
 ROWS_PER_RANGE = 8  # times ROWS_PER_TASK; a range is only sorted, which can spill
 STRETCH_BITS = 16
 BROADCAST_ROWS = 500_000
-LONGEST = "longest_series"  # metadata of a position column: rows of the longest series
+LONGEST = "longest_series"  # metadata of a position column: rows of the longest series, if all are short
+LENGTH = "series_rows"  # the same if they are not
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number of a partition in its low 33 bits
 
 
@@ -50,6 +51,11 @@ def match_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
     return left.join(renamed, condition, how).drop(*[f"_r_{key}" for key in keys])
 
 
+def if_small(side: DataFrame) -> DataFrame:
+    """Mark one side of a join for broadcast if it was counted to be small; it should be staged."""
+    return F.broadcast(side) if side.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else side
+
+
 def with_position(
     df: DataFrame,
     order: Sequence[str],
@@ -69,7 +75,8 @@ def with_position(
         return df.withColumn(name, position.alias(name, metadata={LONGEST: largest}))
     parts = math.ceil(rows / (ROWS_PER_RANGE * rows_per_task))
     parts = max(parts, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return _position_by_ranges(df, order, by, name, parts, groups)
+    placed = _position_by_ranges(df, order, by, name, parts, groups)
+    return placed.withColumn(name, F.col(name).alias(name, metadata={LENGTH: largest}))
 
 
 def _position_by_ranges(
@@ -172,14 +179,33 @@ def with_neighbour(
         {"_near": move(F.struct(*columns)).over(rows), "_edge": back(idx).over(rows).isNull()}
     )
     # The summary carries whole rows: with the same columns on both sides Spark runs the shuffle above only once.
-    stretches = Window.partitionBy(*by).orderBy("_stretch")
     edges = placed.where("_edge").select(*by, "_stretch", F.struct(*df.columns).alias("_row"))
-    summary = edges.select(*by, "_stretch", move("_row").over(stretches).alias("_far"))
+    summary = _next_stretch(edges, by, df.schema[idx].metadata.get(LENGTH), bits, ahead)
     joined = match_on(placed, summary, [*by, "_stretch"], "left")
-    found = {target: F.coalesce(F.col("_near")[source], F.col("_far")[source]) for source, target in columns.items()}
+    # A neighbour in the same stretch counts even if its values are NULL.
+    found = {
+        target: F.when(F.col("_near").isNotNull(), F.col("_near")[source]).otherwise(F.col("_far")[source])
+        for source, target in columns.items()
+    }
     return joined.select(*df.columns, *[value.alias(target) for target, value in found.items()])
 
 
+def _next_stretch(edges: DataFrame, by: Sequence[str], longest: int | None, bits: int, ahead: bool) -> DataFrame:
+    """Append ``_far``, the row of the next (previous) stretch, to one row per stretch.
+
+    Where a series has too many stretches for one task, they are cut into stretches of stretches.
+    """
+    move = F.lead if ahead else F.lag
+    if longest is None or longest >> bits <= ROWS_PER_TASK:
+        stretches = Window.partitionBy(*by).orderBy("_stretch")
+        return edges.select(*by, "_stretch", move("_row").over(stretches).alias("_far"))
+    longest = longest >> bits
+    metadata = {LENGTH: longest}
+    marked = edges.withColumn("_at", F.col("_stretch").alias("_at", metadata=metadata)).withColumnRenamed("_stretch", "_low")
+    found = with_neighbour(marked, {"_row": "_far"}, by, "_at", ahead, STRETCH_BITS)
+    return found.select(*by, F.col("_low").alias("_stretch"), "_far")
+
+
 def every_nth(df: DataFrame, n: int, order: Sequence[str], by: Sequence[str] = (), name: str = "idx") -> DataFrame:
     """Thin a series to the rows whose position is a multiple of ``n``."""
     return with_position(df, order, by, name).where(F.col(name) % n == 0)

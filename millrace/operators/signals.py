@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import itertools
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
@@ -234,16 +234,20 @@ def _signals_on_grid(df: DataFrame, slope_levels: Sequence[float], curvature_lev
             F.when(F.col("_last"), "sell").when(decided, by_slope).otherwise(by_curvature).alias("signal"),
         )
 
-    options = df.select("*", F.inline(F.transform(slopes, option)))
+    # Levels without a signal go before rows are made of the others.
+    options = df.select("*", F.inline(F.filter(F.transform(slopes, option), lambda o: F.size(o["_levels"]) > 0)))
     return options.select("*", F.explode("_levels").alias("curvature_level"))
 
 
-def with_grid(df: DataFrame, axes: Mapping[str, Sequence]) -> DataFrame:
-    """Repeat each row for every combination of the given parameter values."""
-    points = [
-        F.struct(*[F.lit(v).alias(name) for name, v in zip(axes, point)]) for point in itertools.product(*axes.values())
-    ]
-    return df.select("*", F.inline(F.array(*points)))
+def with_grid(df: DataFrame, axes: Mapping[str, Sequence], keep: Callable[[Column], Column] | None = None) -> DataFrame:
+    """Repeat each row for every combination of the given parameter values.
+
+    ``keep`` takes a combination and says whether the row wants it; the others are never made into rows.
+    """
+    points = F.array(
+        *[F.struct(*[F.lit(v).alias(name) for name, v in zip(axes, point)]) for point in itertools.product(*axes.values())]
+    )
+    return df.select("*", F.inline(points if keep is None else F.filter(points, keep)))
 
 
 def best_of(df: DataFrame, score: str, n: int = 1000) -> DataFrame:

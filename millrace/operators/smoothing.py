@@ -1,7 +1,7 @@
 """Kernel smoothing, derivatives and rolling geometric means along series.
 
 Neighbourhoods count rows, not time. At the ends of a series the neighbourhood is clipped and the weights are
-renormalised.
+renormalised. A neighbourhood that holds a missing value, NULL or NaN, has the mean NULL.
 """
 
 from __future__ import annotations
@@ -52,11 +52,11 @@ class Smoother:
     def offsets(self) -> int:
         return self.power * self.radius * (1 if self.causal else 2)
 
-    def weights(self) -> list[list[float]]:
-        """Per pass, the weight of each distance 0..radius."""
+    def weights(self) -> list[np.ndarray]:
+        """Per pass, the weights of the offsets -radius..radius, or -radius..0 if causal."""
         later = self.kernel if self.kernel_each_pass else inverse_distance
-        kernels = [self.kernel, *[later] * (self.power - 1)][: self.power]
-        return [[float(k(d)) for d in range(self.radius + 1)] for k in kernels]
+        offsets = range(-self.radius, (0 if self.causal else self.radius) + 1)
+        return [np.array([float(k(o)) for o in offsets]) for k in ([self.kernel] + [later] * (self.power - 1))[: self.power]]
 
     @property
     def chain(self) -> tuple:
@@ -65,7 +65,7 @@ class Smoother:
 
     def columns(self, frame: DataFrame, value: str, window: WindowSpec, names: Mapping[int, str]) -> DataFrame:
         """The passes as stacked window expressions over lagged values; ``names`` gives the output of a power."""
-        frame = frame.withColumn("_pass", F.col(value).cast("double"))
+        frame = frame.withColumn("_pass", _present(F.col(value).cast("double")))
         row = F.row_number().over(window) - 1
         whole = window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         frame = frame.withColumn("_left", F.least(row, F.lit(self.radius)))
@@ -78,17 +78,18 @@ class Smoother:
                 frame = frame.withColumn(names[done], F.col("_pass"))
         return frame.drop("_pass", "_left", "_right")
 
-    def _mean(self, weights: Sequence[float], window: WindowSpec) -> Column:
-        sums = np.cumsum(weights)
-        parts = [F.col("_pass") * F.lit(weights[0])]
-        weight = _pick(sums, "_left")
+    def _mean(self, weights: np.ndarray, window: WindowSpec) -> Column:
+        """``weights`` of offsets in ascending order; ``_left`` and ``_right`` count the neighbours that exist."""
+        at = self.radius  # of the row itself
+        parts = [F.col("_pass") * F.lit(float(weights[at]))]
+        weight = _pick(np.cumsum(weights[at::-1]), "_left")
         for distance in range(1, self.radius + 1):
-            parts.append(F.lag("_pass", distance, 0.0).over(window) * F.lit(weights[distance]))
+            parts.append(F.lag("_pass", distance, 0.0).over(window) * F.lit(float(weights[at - distance])))
             if not self.causal:
-                parts.append(F.lead("_pass", distance, 0.0).over(window) * F.lit(weights[distance]))
+                parts.append(F.lead("_pass", distance, 0.0).over(window) * F.lit(float(weights[at + distance])))
         if not self.causal:
-            weight = weight + _pick(sums - sums[0], "_right")
-        return total(parts) / weight
+            weight = weight + _pick(np.cumsum(weights[at:]) - weights[at], "_right")
+        return _present(total(parts) / weight)
 
     def arrays(self, values: np.ndarray, run: np.ndarray, powers: Sequence[int]) -> dict[int, np.ndarray]:
         """The passes over an array in which equal ``run`` numbers mark one series, after each of ``powers``.
@@ -101,7 +102,7 @@ class Smoother:
         results = {0: values}
         for done, weights in enumerate(self.weights(), start=1):
             ahead = 0 if self.causal else self.radius
-            taps = np.array(weights if self.causal else [*reversed(weights[1:]), *weights])
+            taps = weights[::-1]  # a convolution runs backwards
             weighted = np.convolve(padded, taps)[ahead:][at]
             padded[at] = weighted / np.convolve(present, taps)[ahead:][at]
             results[done] = padded[at]
@@ -120,6 +121,11 @@ def _chains(smoothers: Mapping[str, Smoother]) -> list[tuple[Smoother, dict[int,
     return [(strongest[key], names[key]) for key in strongest]
 
 
+def _present(value: Column) -> Column:
+    """NaN as NULL."""
+    return F.when(~F.isnan(value), value)
+
+
 def _pick(sums: Sequence[float], position: str) -> Column:
     return F.element_at(F.array(*[F.lit(float(s)) for s in sums]), (F.col(position) + 1).cast("int"))
 
@@ -248,10 +254,18 @@ def with_changes(
 def rolling_geometric_mean(
     df: DataFrame, value: str, size: int, by: Sequence[str] = (), idx: str = "idx", output: str = "geometric_mean"
 ) -> DataFrame:
-    """Geometric mean of the last ``size`` values; rows without a full window are left out."""
+    """Geometric mean of the last ``size`` values; rows without a full window are left out.
+
+    A window that holds NULL, NaN or a negative value has none (NULL), one that holds 0 has the mean 0. Logarithms are
+    averaged, so that long windows do not overflow.
+    """
 
     def build(frame: DataFrame, window: WindowSpec) -> DataFrame:
-        product = F.product(F.col(value)).over(window.rowsBetween(-(size - 1), 0))
-        return frame.withColumn(output, F.pow(product, F.lit(1.0 / size)))
+        rows = window.rowsBetween(-(size - 1), 0)
+        x = F.col(value).cast("double")
+        usable = F.count_if((x >= 0) & ~F.isnan(x)).over(rows) == size
+        zero = F.count_if(x == 0).over(rows) > 0
+        mean = F.exp(F.avg(F.log(F.when(x > 0, x))).over(rows))
+        return frame.withColumn(output, F.when(usable, F.when(zero, 0.0).otherwise(mean)))
 
     return over_series(df, build, by, idx, before=size - 1).where(F.col(idx) >= size - 1)

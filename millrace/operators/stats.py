@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.scalars import column, total, weighted_sum
+from millrace.operators.series import if_small, match_on
+from millrace.session import stage
 
 
 def time_bars(
@@ -93,11 +95,12 @@ def accuracy(df: DataFrame, actual: str, predicted: str) -> DataFrame:
 def minutes_since_open(df: DataFrame, text: str, pattern: str, day: str = "day", output: str = "minutes") -> DataFrame:
     """Whole minutes since the first tick of the same day, for text times that begin with ``yyyyMMdd``.
 
-    The first ticks are one row per day, so that no day has to fit into one task.
+    The first ticks are one row per day, counted before they are broadcast, so that no day has to fit into one task.
+    Text that is NULL or no time keeps its row, with NULL minutes.
     """
     timed = df.withColumns(
         {day: F.substring(text, 1, 8), "_millis": F.unix_millis(F.try_to_timestamp(F.col(text), F.lit(pattern)))}
     )
-    opened = timed.groupBy(day).agg(F.min("_millis").alias("_open"))
+    opened = stage(timed.groupBy(day).agg(F.min("_millis").alias("_open")))
     minutes = F.floor((F.col("_millis") - F.col("_open")) / 60_000)
-    return timed.join(opened, day).withColumn(output, minutes).drop("_millis", "_open")
+    return match_on(timed, if_small(opened), [day], "left").withColumn(output, minutes).drop("_millis", "_open")

@@ -28,7 +28,7 @@ def _brand_model(spark, folder):
     lines = load(spark, folder, "lineitem", "l_orderkey", "l_partkey")
     brands = load(spark, folder, "part", F.col("p_partkey").alias("l_partkey"), "p_brand")
     pairs = lines.join(brands, "l_partkey")
-    return mining.mine_pairs(pairs, ["l_orderkey"], "p_brand", SUPPORT, CONFIDENCE, partitions=10)
+    return mining.mine_pairs(pairs, ["l_orderkey"], "p_brand", SUPPORT, CONFIDENCE)
 
 
 @query(
@@ -72,20 +72,64 @@ def _day_events(spark, folder):
 
 @query(f"WITH {STEPS} SELECT * FROM ones UNION ALL SELECT * FROM twos")
 def freq_sequences(spark, folder):
-    rows = mining.edge_sequences(_day_events(spark, folder), ["user_id", "day"], ["ts"], "event_type")
-    found = mining.frequent_sequences(rows, "sequence", SUPPORT, max_length=2)
-    # Every element holds one event, so a pattern of two reads "a>b".
-    return found.select(F.array_join(F.flatten("sequence"), ">").alias("sequence"), "freq")
+    found = mining.frequent_pairs(_day_events(spark, folder), ["user_id", "day"], ["ts", "event_id"], "event_type", SUPPORT)
+    return found.select(F.array_join("sequence", ">").alias("sequence"), "freq")
+
+
+@query(f"WITH {STEPS.replace('date_trunc(' + repr('day') + ', ts) AS day, ts,', 'date_trunc(' + repr('day') + ', ts) AS day, date_trunc(' + repr('day') + ', ts) AS ts,')} SELECT * FROM ones UNION ALL SELECT * FROM twos")
+def freq_sequences_tied(spark, folder):
+    """Events of a day all at the same time, so that only the second order column tells them apart."""
+    events = _day_events(spark, folder).withColumn("ts", F.col("day"))
+    found = mining.frequent_pairs(events, ["user_id", "day"], ["ts", "event_id"], "event_type", SUPPORT)
+    return found.select(F.array_join("sequence", ">").alias("sequence"), "freq")
+
+
+def steps_sql(length: int) -> str:
+    """Frequent sequences of up to ``length`` events: every group keeps the earliest end of each pattern."""
+    numbered = """steps AS MATERIALIZED (SELECT user_id, date_trunc('day', ts) AS day, event_type AS item,
+        row_number() OVER (PARTITION BY user_id, date_trunc('day', ts) ORDER BY ts, event_id) AS i FROM events),
+      least AS (SELECT ceil(count(*) * 0.02::DOUBLE) AS n FROM (SELECT DISTINCT user_id, day FROM steps)),
+      p1 AS MATERIALIZED (SELECT user_id, day, item AS sequence, min(i) AS i FROM steps GROUP BY ALL)"""
+    ctes = [numbered]
+    for k in range(2, length + 1):
+        ctes.append(
+            f"""p{k} AS MATERIALIZED (SELECT p.user_id, p.day, p.sequence || '>' || s.item AS sequence, min(s.i) AS i
+            FROM p{k - 1} p JOIN steps s ON p.user_id = s.user_id AND p.day = s.day AND s.i > p.i GROUP BY ALL)"""
+        )
+    every = " UNION ALL ".join(f"SELECT sequence, count(*) AS freq FROM p{k} GROUP BY 1 HAVING count(*) >= (SELECT n FROM least)" for k in range(1, length + 1))
+    return f"WITH {', '.join(ctes)} {every}"
 
 
-@query(f"WITH {STEPS} SELECT * FROM ones UNION ALL SELECT * FROM twos UNION ALL SELECT * FROM threes")
+@query(steps_sql(5))
 def freq_sequences_grown(spark, folder):
     found = mining.grow_sequences(
-        _day_events(spark, folder), ["user_id", "day"], ["ts", "event_id"], "event_type", SUPPORT, max_length=3
+        _day_events(spark, folder), ["user_id", "day"], ["ts", "event_id"], "event_type", SUPPORT, max_length=5
     )
     return found.select(F.array_join("sequence", ">").alias("sequence"), "freq")
 
 
+SETS = """sets AS (SELECT DISTINCT user_id, date_trunc('day', ts) AS day, date_trunc('hour', ts) AS hour, event_type AS item FROM events),
+  least AS (SELECT ceil(count(*) * 0.02::DOUBLE) AS n FROM (SELECT DISTINCT user_id, day FROM sets)),
+  pair AS (SELECT a.user_id, a.day, a.item AS x, b.item AS y, a.hour AS h, b.hour AS g FROM sets a JOIN sets b
+    ON a.user_id = b.user_id AND a.day = b.day AND (a.hour < b.hour OR a.hour = b.hour AND a.item < b.item)),
+  three AS (SELECT pair.user_id, pair.day, x, y, c.item AS z, h = g AS xy, g = c.hour AS yz FROM pair JOIN sets c
+    ON pair.user_id = c.user_id AND pair.day = c.day AND (g < c.hour OR g = c.hour AND y < c.item)),
+  found AS (SELECT DISTINCT user_id, day, item AS sequence FROM sets
+    UNION ALL SELECT DISTINCT user_id, day, x || CASE WHEN h = g THEN '+' ELSE '>' END || y FROM pair
+    UNION ALL SELECT DISTINCT user_id, day, x || CASE WHEN xy THEN '+' ELSE '>' END || y || CASE WHEN yz THEN '+' ELSE '>' END || z FROM three)"""
+
+
+@query(f"WITH {SETS} SELECT sequence, count(*) AS freq FROM found GROUP BY sequence HAVING count(*) >= (SELECT n FROM least)")
+def freq_itemset_sequences(spark, folder):
+    """The event types of an hour are one item set of a user's day."""
+    hour = F.date_trunc("hour", "ts").alias("hour")
+    events = load(spark, folder, "events", "user_id", F.date_trunc("day", "ts").alias("day"), hour, "event_type")
+    rows = mining.sequences_of_sets(events, ["user_id", "day"], "hour", "event_type")
+    found = mining.frequent_sequences(rows, "sequence", SUPPORT, max_length=3)
+    sets = F.transform("sequence", lambda s: F.array_join(F.array_sort(s), "+"))
+    return found.select(F.array_join(sets, ">").alias("sequence"), "freq")
+
+
 # --- classification --------------------------------------------------------------------------------------------
 
 
@@ -122,8 +166,32 @@ def vector_index(spark, folder):
     return rounded(counts, 2, "kept")
 
 
-@query()
+@query(
+    """SELECT 2 * (l_quantity > 20)::INT + (l_discount > 0.045::DOUBLE)::INT AS label,
+              (2 * (l_quantity > 20)::INT + (l_discount > 0.045::DOUBLE)::INT)::VARCHAR AS predicted_label, count(*) AS n FROM lineitem GROUP BY ALL"""
+)
 def decision_tree(spark, folder):
+    """Labels that two thresholds make, which a tree of two levels must return for every row."""
+    label = (F.col("l_quantity") > 20).cast("int") * 2 + (F.col("l_discount") > 0.045).cast("int")
+    rows = load(spark, folder, "lineitem", "l_quantity", "l_discount", "l_tax", label.alias("label"))
+    vectors = with_vectors(rows, {"features": ["l_quantity", "l_discount", "l_tax"]})
+    predicted = classify.fit_decision_tree(vectors, "label", maxDepth=2, maxBins=64).transform(vectors)
+    return predicted.groupBy("label", "predicted_label").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT count(*) AS rows, count(*) AS equal, 1.0::DOUBLE AS accuracy FROM lineitem WHERE ('0x' || substr(md5(l_orderkey || '#1234'), 1, 8))::BIGINT % 10000 >= 6000")
+def mlp(spark, folder):
+    """Held-out accuracy of a perceptron on labels that a wide margin separates."""
+    side = F.when(F.col("l_linestatus") == "F", -1.0).otherwise(1.0)
+    wave = (F.col("l_quantity") / 50 - 0.5).alias("wave")
+    rows = load(spark, folder, "lineitem", "l_orderkey", side.alias("side"), wave, (side > 0).cast("double").alias("label"))
+    parts = split_frames(with_vectors(rows, {"features": ["side", "wave"]}), "l_orderkey", {"train": 0.6, "test": 0.4}, seed=1234)
+    model = classify.fit_perceptron(parts["train"], [2, 3, 2], max_iter=50)
+    return accuracy(model.transform(parts["test"]), "label", "prediction")
+
+
+@query()
+def decision_tree_embeddings(spark, folder):
     """Predictions of a tree fitted to all embeddings, counted per label."""
     rows = _vectors(spark, folder)
     predicted = classify.fit_decision_tree(rows, "label").transform(rows)
@@ -131,7 +199,7 @@ def decision_tree(spark, folder):
 
 
 @query()
-def mlp(spark, folder):
+def mlp_embeddings(spark, folder):
     """Accuracy on held-out embeddings of a perceptron fitted to the others."""
     parts = split_frames(_vectors(spark, folder), "vec_id", {"train": 0.6, "test": 0.4}, seed=1234)
     model = classify.fit_perceptron(parts["train"], [64, 16, 10])

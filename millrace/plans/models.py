@@ -104,6 +104,33 @@ def gd_ridge(spark, folder):
     return rounded(frames[0].unionByName(frames[1]), 9, "coefficient")
 
 
+def extrapolated_sql(terms: list[str], rate: float, leap: float) -> str:
+    """The adaptive rule with the weights before the last update (o), for moves that keep their length."""
+    k = len(terms)
+    old, new = [f"w{i}" for i in range(k)], [f"u{i}" for i in range(k)]
+    updates = ", ".join(f"w{i} - step * 2 * {residual_sql(i, k)} AS u{i}" for i in range(k))
+    steady = " + ".join(f"(floor(coalesce(abs(o{i} - w{i}) / nullif(abs(w{i} - u{i}), 0), 0) * 100 + 0.5) - 100)" for i in range(k))
+    moved = ", ".join(f"CASE WHEN gain > 1e-5 THEN w{i} + (u{i} - w{i}) * CASE WHEN steps >= 3 AND steady = 0 THEN {leap}::DOUBLE ELSE 1 END ELSE w{i} END" for i in range(k))
+    kept = ", ".join(f"CASE WHEN gain > 1e-5 THEN w{i} ELSE o{i} END" for i in range(k))
+    return f"""SELECT * FROM (WITH RECURSIVE {DESIGN}, {sums_sql(terms)},
+        gd AS (SELECT 0 AS steps, {rate}::DOUBLE / n AS step, false AS done, {", ".join(f"0.0::DOUBLE AS w{i}" for i in range(k))},
+            {", ".join(f"0.0::DOUBLE AS o{i}" for i in range(k))} FROM s
+          UNION ALL SELECT CASE WHEN gain > 1e-5 THEN steps + 1 ELSE steps END, CASE WHEN gain < 0 THEN step / 10 ELSE step END,
+            gain >= 0 AND NOT gain > 1e-5, {moved}, {kept}
+          FROM (SELECT gd.*, {", ".join(new)}, {steady} AS steady, sqrt({rss_sql(k, old)} / n) - sqrt({rss_sql(k, new)} / n) AS gain
+                FROM (SELECT gd.*, {updates} FROM gd, s WHERE NOT done) AS gd, s))
+        SELECT * FROM gd WHERE done)"""
+
+
+@query(terms_out(TERMS[:2], f"({extrapolated_sql(TERMS[:2], 0.001, 100.0)})", digits=5, extra="steps::BIGINT AS steps, "))
+def gd_extrapolated(spark, folder):
+    """Moves that keep their length are taken a hundred times as long."""
+    m = regression.moments(design(spark, folder), TERMS[:2], "price")
+    fit = regression.descend_adaptive(m, step=0.001 / m.n, error_threshold=1e-5, extrapolate=True, leap=100.0)
+    steps = F.lit(fit.steps).cast("bigint").alias("steps")
+    return rounded(fit.frame(spark).select(steps, "term", "coefficient"), 5, "coefficient")
+
+
 def adaptive_sql(terms: list[str]) -> str:
     k = len(terms)
     old, new = [f"w{i}" for i in range(k)], [f"u{i}" for i in range(k)]
@@ -126,6 +153,17 @@ def gd_adaptive(spark, folder):
     return rounded(fit.frame(spark).select(steps, "term", "coefficient"), 6, "coefficient")
 
 
+@query(terms_out(TERMS, f"({adaptive_sql(TERMS).replace(DESIGN, DESIGN.replace('o_totalprice / 100000.0::DOUBLE', 'o_totalprice / 100000.0::DOUBLE - avg(o_totalprice / 100000.0::DOUBLE) OVER ()'))})", digits=4, extra="'x' AS kind, "))
+def gd_adaptive_offset(spark, folder):
+    """A target whose mean is a million: the weights are those of the centred target, but for the constant."""
+    rows = design(spark, folder)
+    middle = rows.agg(F.avg("price")).first()[0]
+    m = regression.moments(rows.withColumn("price", F.col("price") - middle + 1e6), TERMS, "price")
+    fit = regression.descend_adaptive(m, step=2.0 / m.n, error_threshold=1e-6, initial=[1e6, 0.0, 0.0])
+    found = fit.frame(spark).withColumn("coefficient", F.col("coefficient") - F.when(F.col("term") == "constant", 1e6).otherwise(0.0))
+    return rounded(found.select(F.lit("x").alias("kind"), "term", "coefficient"), 4, "coefficient")
+
+
 def sgd_cte(terms: list[str], iterations: int, step: float, tol: float, sums: str = "s", name: str = "sgd") -> str:
     k = range(len(terms))
     new = ", ".join(f"w{i} - {step}::DOUBLE / sqrt(i + 1) * {residual_sql(i, len(terms), sums)} / {sums}.n AS u{i}" for i in k)
@@ -217,6 +255,40 @@ def ols_univariate(spark, folder):
     return rounded(regression.coefficient_frame(spark, weights), 6, "coefficient")
 
 
+@query(
+    f"""WITH {DESIGN}, s AS (SELECT avg(x) AS mx, avg(price) AS my, stddev_samp(x) AS sx, stddev_samp(price) AS sy, corr(x, price) AS r,
+          count(*)::DOUBLE AS n FROM design),
+        w AS (SELECT *, r * (n - 1) / n AS c, 0.002::DOUBLE / sy AS reg FROM s),
+        v AS (SELECT *, sign(c) * greatest(abs(c) - 0.5 * reg, 0) / ((n - 1) / n + 0.5 * reg) * sy / sx AS b FROM w)
+        SELECT 'constant' AS term, round(my - b * mx, 4) AS coefficient FROM v UNION ALL SELECT 'x', round(b, 4) FROM v"""
+)
+def elastic_net_one(spark, folder):
+    """One feature under both penalties: soft thresholding of the correlation."""
+    _, weights = regression.fit_linear(design(spark, folder), ["x"], "price", reg=0.002, elastic_net=0.5, max_iter=1000)
+    return rounded(regression.coefficient_frame(spark, weights), 4, "coefficient")
+
+
+HOLED = f"{DESIGN.replace('design AS', 'every AS', 1)}, design AS (SELECT * FROM every WHERE o_orderkey % 7 <> 3 AND o_orderkey % 11 <> 5)"
+
+
+def holed_design(spark, folder):
+    """Some rows without a price, others without x."""
+    key = F.col("o_orderkey")
+    return design(spark, folder).withColumns({"price": F.when(key % 7 != 3, F.col("price")), "x": F.when(key % 11 != 5, F.col("x"))})
+
+
+@query(
+    f"""WITH {HOLED}, n AS (SELECT (SELECT count(*) FROM every) - (SELECT count(*) FROM design) AS left_out)
+        SELECT 'constant' AS term, round(regr_intercept(price, x), 6) AS coefficient, left_out FROM design, n GROUP BY left_out
+        UNION ALL SELECT 'x', round(regr_slope(price, x), 6), left_out FROM design, n GROUP BY left_out"""
+)
+def fit_nulls(spark, folder):
+    """Rows that lack a value are left out of all sums, and counted."""
+    m = regression.moments(holed_design(spark, folder), TERMS[:2], "price")
+    found = regression.coefficient_frame(spark, dict(zip(m.terms, m.solve())))
+    return rounded(found.withColumn("left_out", F.lit(m.left_out).cast("bigint")), 6, "coefficient")
+
+
 TWO_FEATURES = f"""{DESIGN}, v AS (SELECT var_pop(x) AS vx, var_pop(z) AS vz, covar_pop(x, z) AS cxz, covar_pop(x, price) AS cx,
       covar_pop(z, price) AS cz, avg(x) AS mx, avg(z) AS mz, avg(price) AS my FROM design),
     w AS (SELECT *, (cx * vz - cz * cxz) / (vx * vz - cxz * cxz) AS bx, (cz * vx - cx * cxz) / (vx * vz - cxz * cxz) AS bz FROM v)"""
@@ -277,6 +349,16 @@ def fit_by_subset(spark, folder):
     return rounded(rounded(fits, 6, "constant", "x"), 3, "rss")
 
 
+@query(
+    f"""WITH {HOLED}, {SUBSETS} SELECT subset, count(*) AS rows, round(regr_syy(price, x) * (1 - regr_r2(price, x)), 3) AS rss,
+        round(regr_intercept(price, x), 6) AS constant, round(regr_slope(price, x), 6) AS x FROM subsets GROUP BY subset"""
+)
+def fit_groups_nulls(spark, folder):
+    rows = tables.with_split(holed_design(spark, folder), "o_orderkey", tables.QUARTERS, output="subset")
+    fits = regression.fit_groups(rows, TERMS[:2], "price", ["subset"])
+    return rounded(rounded(fits, 6, "constant", "x"), 3, "rss")
+
+
 # A quadratic by hand: centre x, then solve for (x, x*x) from the variances and covariances.
 def quadratic_sql(source: str, x: str, y: str, keys: str) -> str:
     key = f"{keys}, " if keys else ""
@@ -291,19 +373,59 @@ DAYS = f"""days AS (SELECT day, ((millis - min(millis) OVER (PARTITION BY day))
     SELECT substr({SQL_CLOCK}, 1, 8) AS day, epoch_us(ts) // 1000 AS millis, value FROM events))"""
 
 
+def recurrence_sql(source: str, keys: str, degrees: tuple[int, ...], before: str) -> str:
+    """Residuals per group after the given degrees, by polynomials orthogonal over the group's own rows (three-term recurrence).
+
+    One recursive step per degree works on one row of lists per group.
+    """
+    def dot(*names: str) -> str:
+        product = " * ".join(f"{n}[i]" for n in names)
+        return f"list_sum(list_transform(range(1, n + 1), lambda i: {product}))"
+
+    return f"""WITH RECURSIVE {before},
+      lists AS (SELECT {keys}, count(*)::BIGINT AS n, list(2 * x - 1 ORDER BY x, y) AS xs, list(y ORDER BY x, y) AS ys FROM {source} GROUP BY {keys}),
+      fit AS (SELECT -1 AS degree, {keys}, n, xs, ys AS es, list_transform(xs, lambda v: 1.0::DOUBLE) AS ps, list_transform(xs, lambda v: 0.0::DOUBLE) AS qs,
+          1.0::DOUBLE AS before FROM lists
+        UNION ALL SELECT degree + 1, {keys}, n, xs, list_transform(range(1, n + 1), lambda i: es[i] - c * ps[i]),
+          list_transform(range(1, n + 1), lambda i: (xs[i] - alpha) * ps[i] - beta * qs[i]), ps, pp
+        FROM (SELECT *, CASE WHEN pp > 1e-25 THEN ep / pp ELSE 0 END AS c, CASE WHEN pp > 1e-25 THEN xpp / pp ELSE 0 END AS alpha,
+            CASE WHEN degree >= 0 AND before > 1e-25 THEN pp / before ELSE 0 END AS beta
+          FROM (SELECT *, {dot('ps', 'ps')} AS pp, {dot('es', 'ps')} AS ep, {dot('xs', 'ps', 'ps')} AS xpp FROM fit WHERE degree < {max(degrees)})))
+      SELECT {keys}, degree, n AS rows, round({dot('es', 'es')}, 3) AS rss FROM fit WHERE degree IN {degrees}"""
+
+
+DAY_DEGREES, SUBSET_DEGREES = (1, 2, 5, 10), (1, 15)
+
+
+@query(recurrence_sql("days", "day", DAY_DEGREES, DAYS))
+def fit_by_day(spark, folder):
+    """Polynomial fits of four degrees per day, over the minutes since its first tick."""
+    text = load(spark, folder, "events", F.date_format("ts", CLOCK).alias("text"), "value")
+    ticks = minutes_since_open(text, "text", CLOCK).select("day", (F.col("minutes") / 1440.0).alias("x"), "value")
+    fits = regression.fit_polynomial_groups(ticks, "x", "value", DAY_DEGREES, ["day"])
+    return rounded(fits.select("day", "degree", "rows", "rss"), 3, "rss")
+
+
+@query(recurrence_sql("(SELECT subset, x, price AS y FROM subsets)", "subset", SUBSET_DEGREES, f"{DESIGN}, {SUBSETS}"))
+def poly_by_subset(spark, folder):
+    """Degree 15 on each of four subsets."""
+    rows = tables.with_split(design(spark, folder), "o_orderkey", tables.QUARTERS, output="subset")
+    fits = regression.fit_polynomial_groups(rows, "x", "price", SUBSET_DEGREES, ["subset"])
+    return rounded(fits.select("subset", "degree", "rows", "rss"), 3, "rss")
+
+
 @query(
     f"""WITH {DAYS}, q AS ({quadratic_sql('days', 'x', 'y', 'day')})
-        SELECT day, 1 AS degree, count(*) AS rows, round(regr_syy(y, x) * (1 - regr_r2(y, x)), 3) AS rss,
-          round(regr_intercept(y, x), 4) AS power_0, round(regr_slope(y, x), 4) AS power_1, NULL::DOUBLE AS power_2 FROM days GROUP BY day
-        UNION ALL SELECT day, 2, count(*), round(sum(pow(y - p0 - p1 * x - p2 * x * x, 2)), 3), round(any_value(p0), 4),
-          round(any_value(p1), 4), round(any_value(p2), 4) FROM days JOIN q USING (day) GROUP BY day"""
+        SELECT day, round(p0 + p1 * x + p2 * x * x, 4) AS predicted, count(*) AS n FROM q, (VALUES (0.25::DOUBLE), (2.0)) AS points(x) GROUP BY ALL"""
 )
-def fit_by_day(spark, folder):
-    """Two polynomial fits per day, over the minutes since its first tick."""
+def predict_by_day(spark, folder):
+    """The quadratic of each day at a point inside its range and at one far beyond."""
     text = load(spark, folder, "events", F.date_format("ts", CLOCK).alias("text"), "value")
     ticks = minutes_since_open(text, "text", CLOCK).select("day", (F.col("minutes") / 1440.0).alias("x"), "value")
-    both = regression.fit_polynomial_groups(ticks, "x", "value", (1, 2), ["day"])
-    return rounded(rounded(both, 4, "power_0", "power_1", "power_2"), 3, "rss")
+    fits = regression.fit_polynomial_groups(ticks, "x", "value", (2,), ["day"])
+    points = fits.withColumn("at", F.explode(F.array(F.lit(0.25), F.lit(2.0))))
+    predicted = points.select("day", F.round(regression.polynomial_at("at", 2), 4).alias("predicted"))
+    return predicted.groupBy("day", "predicted").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _degrees(spark, folder, max_degree):
@@ -321,24 +443,41 @@ def degree_rss(spark, folder):
     return rounded(regression.degree_frame(spark, _degrees(spark, folder, 2)), 4, "rss")
 
 
+@query(
+    f"""WITH {HOLED}, {PARTS}, t AS (SELECT * FROM parts WHERE part = 'train'),
+        one AS (SELECT regr_intercept(price, x) AS a, regr_slope(price, x) AS b FROM t), two AS ({quadratic_sql('t', 'x', 'price', '')})
+        SELECT 1 AS degree, part, round(sum(pow(price - a - b * x, 2)), 4) AS rss FROM parts, one GROUP BY part
+        UNION ALL SELECT 2, part, round(sum(pow(price - p0 - p1 * x - p2 * x * x, 2)), 4) FROM parts, two GROUP BY part"""
+)
+def degree_rss_nulls(spark, folder):
+    rows = tables.with_split(holed_design(spark, folder), "o_orderkey", tables.TRAIN_VALIDATE_TEST, seed=1, output="part")
+    return rounded(regression.degree_frame(spark, regression.fit_degrees(rows, "x", "price", 2, "part")), 4, "rss")
+
+
 def degrees_sql(max_degree: int) -> str:
-    """Residuals after every degree, by polynomials that are orthogonal over the fitted rows (three-term recurrence)."""
-    steps = ["r_0 AS MATERIALIZED (SELECT part, x * 2 - 1 AS x, price AS e, 1.0::DOUBLE AS p, 0.0::DOUBLE AS q FROM parts)"]
-    results = []
-    for k in range(max_degree + 1):
-        previous = "sum(q * q)" if k else "1.0"
-        beta = f"sum(p * p) / {previous}" if k else "0.0::DOUBLE"
-        steps.append(
-            f"""s_{k} AS MATERIALIZED (SELECT sum(e * p) / sum(p * p) AS c, sum(x * p * p) / sum(p * p) AS alpha, {beta} AS beta
-                FROM r_{k} WHERE part = 'train')"""
-        )
-        steps.append(
-            f"""r_{k + 1} AS MATERIALIZED (SELECT part, x, e - c * p AS e, (x - alpha) * p - beta * q AS p, p AS q FROM r_{k}, s_{k})"""
-        )
-        if k:
-            results.append(f"SELECT {k} AS degree, part, sum(e * e) AS rss FROM r_{k + 1} GROUP BY part")
-    return f"""WITH {DESIGN}, {PARTS}, {", ".join(steps)}, every AS MATERIALIZED ({" UNION ALL ".join(results)}),
-        best AS (SELECT arg_min(degree, rss) AS chosen FROM every WHERE part = 'validation')
+    """Residuals after every degree, by polynomials that are orthogonal over the fitted rows (three-term recurrence).
+
+    A recursive step per degree works on one row of lists; ``ms`` is 1 for the rows fitted on.
+    """
+    def dot(*names: str) -> str:
+        product = " * ".join(f"{n}[i]" for n in names)
+        return f"list_sum(list_transform(range(1, n + 1), lambda i: {product}))"
+
+    parts = ("train", "validation", "test")
+    results = " UNION ALL ".join(
+        f"SELECT degree, '{p}' AS part, list_sum(list_transform(range(1, n + 1), lambda i: CASE WHEN names[i] = '{p}' THEN es[i] * es[i] ELSE 0 END)) AS rss FROM fit WHERE degree > 0"
+        for p in parts
+    )
+    return f"""WITH RECURSIVE {DESIGN}, {PARTS},
+        lists AS (SELECT count(*)::BIGINT AS n, list(x * 2 - 1 ORDER BY o_orderkey) AS xs, list(price ORDER BY o_orderkey) AS ys,
+          list(part ORDER BY o_orderkey) AS names, list(CASE part WHEN 'train' THEN 1.0::DOUBLE ELSE 0 END ORDER BY o_orderkey) AS ms FROM parts),
+        fit AS (SELECT -1 AS degree, n, xs, names, ms, ys AS es, list_transform(xs, lambda v: 1.0::DOUBLE) AS ps,
+            list_transform(xs, lambda v: 0.0::DOUBLE) AS qs, 1.0::DOUBLE AS before FROM lists
+          UNION ALL SELECT degree + 1, n, xs, names, ms, list_transform(range(1, n + 1), lambda i: es[i] - ep / pp * ps[i]),
+            list_transform(range(1, n + 1), lambda i: (xs[i] - xpp / pp) * ps[i] - CASE WHEN degree >= 0 THEN pp / before ELSE 0 END * qs[i]), ps, pp
+          FROM (SELECT *, {dot('ms', 'ps', 'ps')} AS pp, {dot('ms', 'es', 'ps')} AS ep, {dot('ms', 'xs', 'ps', 'ps')} AS xpp
+            FROM fit WHERE degree < {max_degree})),
+        every AS ({results}), best AS (SELECT arg_min(degree, rss) AS chosen FROM every WHERE part = 'validation')
         SELECT degree, part, round(rss, 4) AS rss, degree = chosen AS best FROM every, best"""
 
 

@@ -26,10 +26,26 @@ def hour_series(spark, folder):
     return with_position(stage(bars.drop("ticks")), ["bar"])
 
 
+def minute_series(spark, folder):
+    """The same of minutes, a long series."""
+    bars = stats.time_bars(load(spark, folder, "events"), "ts", cents("value"), "minute", output="v")
+    return with_position(stage(bars.drop("ticks")), ["bar"])
+
+
+def holed_series(spark, folder):
+    """Every seventh event of a user without a value."""
+    rows = user_series(spark, folder)
+    return rows.withColumn("value", F.when(F.col("idx") % 7 != 3, F.col("value")))
+
+
 # --- the same in SQL -------------------------------------------------------------------------------------------
 
 USERS = """users AS (SELECT user_id, ts, value AS raw, value AS v,
   row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS idx FROM events)"""
+HOLED = USERS.replace("users AS (", "every AS (") + """, users AS (SELECT user_id, ts, CASE WHEN idx % 7 <> 3 THEN raw END AS raw,
+  CASE WHEN idx % 7 <> 3 THEN v END AS v, idx FROM every)"""
+MINUTES = """minutes AS MATERIALIZED (SELECT bar, v AS raw, v, row_number() OVER (ORDER BY bar) - 1 AS idx FROM (
+  SELECT date_trunc('minute', ts) AS bar, avg(round(value * 100)::BIGINT) AS v FROM events GROUP BY 1))"""
 HOURS = """hours AS (SELECT bar, v AS raw, v, row_number() OVER (ORDER BY bar) - 1 AS idx FROM (
   SELECT date_trunc('hour', ts) AS bar, avg(round(value * 100)::BIGINT) AS v FROM events GROUP BY 1))"""
 INVERSE = "1.0::DOUBLE / (abs(b.idx - a.idx) + 1)"
@@ -40,10 +56,10 @@ def gauss(width: float) -> str:
 
 
 def pass_sql(name: str, source: str, before: int, after: int, keys: str = "", weight: str = INVERSE) -> str:
-    """One smoothing pass as a CTE: a weighted mean over a band join on the position."""
+    """One smoothing pass as a CTE: a weighted mean over a band join on the position, NULL if a value is missing."""
     same = f"a.{keys} = b.{keys} AND " if keys else ""
     group = f"a.{keys}, " if keys else ""
-    return f"""{name} AS (SELECT {group}a.idx, any_value(a.raw) AS raw, sum(b.v * ({weight})) / sum({weight}) AS v
+    return f"""{name} AS (SELECT {group}a.idx, any_value(a.raw) AS raw, CASE WHEN count(b.v) = count(*) THEN sum(b.v * ({weight})) / sum({weight}) END AS v
       FROM {source} a JOIN {source} b ON {same}b.idx BETWEEN a.idx - {before} AND a.idx + {after} GROUP BY {group}a.idx)"""
 
 
@@ -114,6 +130,43 @@ def smooth_wide(spark, folder):
     return rounded(out.select("user_id", "idx", "smoothed"), 6, "smoothed")
 
 
+@query(
+    """WITH bars AS (SELECT date_trunc('hour', ts) AS bar, avg(round(value * 100)::BIGINT) AS v, count(*) AS ticks FROM events GROUP BY 1)
+       SELECT 'hours' AS kind, count(*) AS n, round(avg(v), 4) AS mean FROM bars
+       UNION ALL SELECT 'busy hours', count(*), round(avg(v), 4) FROM bars WHERE ticks >= (SELECT avg(ticks) FROM bars)"""
+)
+def reuse_prepared(spark, folder):
+    """Three passes over bars that are computed once."""
+    bars = stage(stats.time_bars(load(spark, folder, "events"), "ts", cents("value"), "hour", output="v"))
+    usual = bars.agg(F.avg("ticks")).first()[0]
+    parts = {"hours": bars, "busy hours": bars.where(F.col("ticks") >= usual)}
+    rows = [p.agg(F.count(F.lit(1)).alias("n"), F.avg("v").alias("mean")).select(F.lit(k).alias("kind"), "n", "mean") for k, p in parts.items()]
+    return rounded(rows[0].unionByName(rows[1]), 4, "mean")
+
+
+SKEWED = "CASE WHEN b.idx < a.idx THEN 1.0::DOUBLE / (a.idx - b.idx) ELSE 2.0::DOUBLE / (b.idx - a.idx + 1) END"
+
+
+@query(f"WITH {USERS}, {pass_sql('s', 'users', 3, 3, 'user_id', SKEWED)} SELECT user_id, idx, round(v, 6) AS smoothed FROM s")
+def smooth_asymmetric(spark, folder):
+    """Later neighbours weigh otherwise than earlier ones."""
+    out = smooth(user_series(spark, folder), "value", 3, kernel=lambda o: -1.0 / o if o < 0 else 2.0 / (o + 1), by=USER)
+    return rounded(out.select("user_id", "idx", "smoothed"), 6, "smoothed")
+
+
+@query(f"WITH {HOLED}, {pass_sql('s', 'users', 2, 2, 'user_id')} SELECT user_id, idx, round(v, 6) AS smoothed FROM s")
+def smooth_nulls(spark, folder):
+    out = smooth(holed_series(spark, folder), "value", 2, by=USER)
+    return rounded(out.select("user_id", "idx", "smoothed"), 6, "smoothed")
+
+
+@query(f"WITH {HOLED}, {passes_sql('s', 'users', 1, 20, 20, 'user_id')} SELECT user_id, idx, round(v, 6) AS smoothed FROM s")
+def smooth_wide_nulls(spark, folder):
+    """The same by array passes."""
+    out = smooth(holed_series(spark, folder), "value", 20, by=USER)
+    return rounded(out.select("user_id", "idx", "smoothed"), 6, "smoothed")
+
+
 @query(
     f"""WITH {USERS}, {slopes_sql('users', 'user_id')}
         SELECT user_id, idx, round(d, 6) AS slope, round(d2, 6) AS curvature FROM slopes"""
@@ -132,6 +185,16 @@ def changes(spark, folder):
     return rounded(out.select("user_id", "idx", "change"), 6, "change")
 
 
+@query(
+    f"""WITH {HOLED} SELECT user_id, idx, round(geometric_mean, 6) AS geometric_mean FROM (
+          SELECT user_id, idx, CASE WHEN count(v) OVER w = 5 THEN exp(avg(ln(v)) OVER w) END AS geometric_mean
+          FROM users WINDOW w AS (PARTITION BY user_id ORDER BY idx ROWS 4 PRECEDING)) WHERE idx >= 4"""
+)
+def rolling_geomean_nulls(spark, folder):
+    out = smoothing.rolling_geometric_mean(holed_series(spark, folder), "value", 5, USER)
+    return rounded(out.select("user_id", "idx", "geometric_mean"), 6, "geometric_mean")
+
+
 @query(
     f"""WITH {USERS} SELECT user_id, idx, round(geometric_mean, 6) AS geometric_mean FROM (
           SELECT user_id, idx, pow(product(v) OVER (PARTITION BY user_id ORDER BY idx ROWS 4 PRECEDING), 0.2::DOUBLE)
@@ -172,6 +235,20 @@ def turning_moves(spark, folder):
     return rounded(moves, 6, "move", "from_value", "to_value")
 
 
+@query(
+    f"""WITH {USERS}, t AS (SELECT *, lead(idx % 2) OVER (PARTITION BY user_id ORDER BY idx) AS next FROM users),
+        k AS (SELECT user_id, idx, CASE WHEN idx % 7 <> 3 THEN v END AS v, lead(CASE WHEN idx % 7 <> 3 THEN v END) OVER w AS v2, lead(idx) OVER w AS i2
+              FROM t WHERE next IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY idx))
+        SELECT user_id, idx AS from_idx, i2 AS to_idx, round(v, 6) AS from_value, round(v2, 6) AS to_value, round(v2 - v, 6) AS move,
+          i2 - idx AS length FROM k WHERE i2 IS NOT NULL AND abs(v2 - v) >= 10"""
+)
+def turning_moves_nulls(spark, folder):
+    """Every row turns; moves from or to a missing value are none, whatever lies behind it."""
+    zigzag = holed_series(spark, folder).withColumn("slope", F.when(F.col("idx") % 2 == 0, 1.0).otherwise(-1.0))
+    moves = signals.turning_moves(zigzag, "value", "slope", 10.0, USER)
+    return rounded(moves, 6, "move", "from_value", "to_value")
+
+
 REGIMES = f"""{HOURS}, {passes_sql('m25', 'hours', 4, 25, 0)}, {passes_sql('m50', 'hours', 4, 50, 0)},
     {passes_sql('m100', 'hours', 4, 100, 0)},
     regimes AS (SELECT a.idx, a.raw, a.v AS fast, b.v AS middle, c.v AS slow,
@@ -199,6 +276,29 @@ def regime_breaks(spark, folder):
     return signals.run_breaks(bears, "v")
 
 
+MINUTE_REGIMES = f"""{MINUTES}, {passes_sql('m25', 'minutes', 4, 25, 0)}, {passes_sql('m50', 'minutes', 4, 50, 0)},
+    {passes_sql('m100', 'minutes', 4, 100, 0)},
+    regimes AS (SELECT a.idx, a.raw, CASE WHEN a.v < b.v AND b.v < c.v THEN 'bear' WHEN a.v > b.v AND b.v > c.v THEN 'bull' ELSE 'none' END AS regime
+      FROM m25 a JOIN m50 b USING (idx) JOIN m100 c USING (idx))"""
+
+
+@query(f"WITH {MINUTE_REGIMES} SELECT regime, count(*) AS n, sum(idx)::BIGINT AS idx_sum FROM regimes GROUP BY regime")
+def regimes_minutes(spark, folder):
+    """Regimes of minute bars, counted."""
+    out = signals.regimes(minute_series(spark, folder), "v")
+    return out.groupBy("regime").agg(F.count(F.lit(1)).alias("n"), F.sum("idx").alias("idx_sum"))
+
+
+@query(
+    f"""WITH {MINUTE_REGIMES}, k AS (SELECT idx, raw, lead(idx) OVER (ORDER BY idx) AS i2, lead(raw) OVER (ORDER BY idx) AS v2
+          FROM regimes WHERE regime = 'bear')
+        SELECT idx AS end_idx, raw AS end_value, i2 AS next_idx, v2 AS next_value FROM k WHERE i2 <> idx + 1"""
+)
+def regime_breaks_minutes(spark, folder):
+    bears = signals.regimes(minute_series(spark, folder), "v").where(F.col("regime") == "bear")
+    return signals.run_breaks(bears, "v")
+
+
 # --- signals and returns ---------------------------------------------------------------------------------------
 
 USER_SIGNALS = f"""{USERS}, {pass_sql('s', 'users', 3, 3, 'user_id')}, {slopes_sql('s', 'user_id')},

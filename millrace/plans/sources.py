@@ -29,12 +29,21 @@ def src_csv_headerless(spark, folder):
 
 @query(
     """SELECT to_timestamp(epoch_s)::TIMESTAMP AS ts, value AS price FROM (
-         SELECT epoch_us(ts) // 1000000 AS epoch_s, value FROM events ORDER BY 1, 2 LIMIT 30000)"""
+         SELECT epoch_us(ts) // 1000000 AS epoch_s, value FROM events ORDER BY 1, 2 LIMIT 300)"""
 )
 def src_ticks_head(spark, folder):
+    """The first ticks are the feature; fewer than any table has, so that the limit shows."""
+    return files.read_ticks(spark, _ticks_file(spark, folder), first=300)
+
+
+@query("SELECT to_timestamp(epoch_us(ts) // 1000000)::TIMESTAMP AS ts, value AS price FROM events")
+def src_ticks(spark, folder):
+    return files.read_ticks(spark, _ticks_file(spark, folder))
+
+
+def _ticks_file(spark, folder):
     lines = load(spark, folder, "events", F.unix_seconds(F.col("ts").cast("timestamp")), "value")
-    path = files.write_csv(lines, scratch_path(spark, "ticks"), header=False)
-    return files.read_ticks(spark, path, first=30_000)
+    return files.write_csv(lines, scratch_path(spark, "ticks"), header=False)
 
 
 @query(

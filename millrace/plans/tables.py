@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from millrace.operators.signals import with_grid
 from millrace.operators.smoothing import with_changes
 from millrace.plans.registry import cents, load, query, rounded
 from millrace.plans.sources import CLOCK, SQL_CLOCK
+from millrace.session import scratch_path
 
 
 # --- projections and filters -----------------------------------------------------------------------------------
@@ -52,12 +55,23 @@ TRADING_DAYS = [f"202401{d:02d}" for d in (2, 3, 4, 5, 8, 9, 10, 11, 12, 15, 16,
         WHERE substr(date, 1, 8) IN ({", ".join(f"'{d}'" for d in TRADING_DAYS)}) GROUP BY 1"""
 )
 def filter_day_prefix(spark, folder):
-    text = load(spark, folder, "events", F.date_format("ts", CLOCK).alias("date"), "value")
-    wanted = None
-    for day in TRADING_DAYS:
-        test = scalars.starts_with_day("date", day)
-        wanted = test if wanted is None else wanted | test
-    days = text.where(wanted).groupBy(F.substring("date", 1, 8).alias("day"))
+    """Days by ranges of the time itself, which the scan can skip by."""
+    ticks = load(spark, folder, "events", "ts", "value").where(scalars.on_days("ts", TRADING_DAYS))
+    days = ticks.groupBy(F.date_format("ts", "yyyyMMdd").alias("day"))
+    return days.agg(F.count(F.lit(1)).alias("n"), F.sum(cents("value")).alias("value_cents"))
+
+
+@query(
+    f"""SELECT substr(date, 1, 8) AS day, count(*) AS n, sum(round(value * 100)::BIGINT)::BIGINT AS value_cents
+        FROM (SELECT {SQL_CLOCK} AS date, value FROM events)
+        WHERE substr(date, 1, 8) IN ({", ".join(f"'{d}'" for d in TRADING_DAYS)}) GROUP BY 1"""
+)
+def filter_day_text(spark, folder):
+    """The same from a file that holds the time as text, where prefixes reach the scan."""
+    path = scratch_path(spark, "texts")
+    load(spark, folder, "events", F.date_format("ts", CLOCK).alias("date"), "value").write.parquet(path)
+    wanted = reduce(lambda a, b: a | b, [scalars.starts_with_day("date", day) for day in TRADING_DAYS])
+    days = spark.read.parquet(path).where(wanted).groupBy(F.substring("date", 1, 8).alias("day"))
     return days.agg(F.count(F.lit(1)).alias("n"), F.sum(cents("value")).alias("value_cents"))
 
 
@@ -87,8 +101,8 @@ def row_index(spark, folder):
        WHERE value >= low AND value < high GROUP BY low, high"""
 )
 def grid_cross(spark, folder):
-    grid = with_grid(load(spark, folder, "events", "value"), {"low": [0.0, 10.0, 50.0], "high": [100.0, 200.0, 500.0]})
-    inside = grid.where((F.col("value") >= F.col("low")) & (F.col("value") < F.col("high")))
+    axes = {"low": [0.0, 10.0, 50.0], "high": [100.0, 200.0, 500.0]}
+    inside = with_grid(load(spark, folder, "events", "value"), axes, lambda p: (F.col("value") >= p["low"]) & (F.col("value") < p["high"]))
     return inside.groupBy("low", "high").agg(
         F.count(F.lit(1)).alias("n"), F.sum(cents("value")).alias("value_cents")
     )

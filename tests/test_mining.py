@@ -89,9 +89,29 @@ def test_grown_sequences(spark, events, bits, support):
     assert {tuple(r.sequence): r.freq for r in got} == brute(rows, support, 4)
 
 
-def test_first_and_last_occurrences_hold_all_pairs(spark, events):
+def test_pairs_of_first_and_last_occurrences(spark, events):
     rows, df = events
-    short = mining.edge_sequences(df, ["g"], ["t"], "e")
-    assert max(len(r.sequence) for r in short.collect()) <= 8
-    got = sequences_of(mining.frequent_sequences(short, "sequence", 0.05, 2))
-    assert {tuple(e for (e,) in s): n for s, n in got.items()} == brute(rows, 0.05, 2)
+    got = mining.frequent_pairs(df, ["g"], ["t"], "e", 0.05).collect()
+    assert {tuple(r.sequence): r.freq for r in got} == brute(rows, 0.05, 2)
+
+
+def test_tied_times_follow_the_second_column(spark):
+    df = spark.createDataFrame([(1, 5, 1, "b"), (1, 5, 2, "a")], "g int, t int, n int, e string")
+    found = {tuple(r.sequence) for r in mining.frequent_pairs(df, ["g"], ["t", "n"], "e", 1.0).collect()}
+    assert ("b", "a") in found and ("a", "b") not in found
+    found = {tuple(r.sequence) for r in mining.grow_sequences(df, ["g"], ["t", "n"], "e", 1.0).collect()}
+    assert ("b", "a") in found and ("a", "b") not in found
+
+
+def test_sets_by_time(spark):
+    df = spark.createDataFrame([(1, 2, "b"), (1, 1, "z"), (1, 2, "a"), (1, 2, "a"), (2, 1, "q")], "g int, t int, e string")
+    got = {r.g: r.sequence for r in mining.sequences_of_sets(df, ["g"], "t", "e").collect()}
+    assert got == {1: [["z"], ["a", "b"]], 2: [["q"]]}
+
+
+def test_salted_item_join_gives_the_same_sets(spark, monkeypatch):
+    rows = [(b, f"i{i}") for b in range(60) for i in range(5) if (b + i) % (i + 1) == 0]
+    df = spark.createDataFrame(rows, "b int, i string")
+    plain = sets_of(mining.itemsets_of(mining.mine_pairs(df, ["b"], "i", 0.1)))
+    monkeypatch.setattr(mining, "BROADCAST_ROWS", 0)
+    assert sets_of(mining.itemsets_of(mining.mine_pairs(df, ["b"], "i", 0.1))) == plain

@@ -131,11 +131,90 @@ def test_adaptive_descent(arrays, sums, max_steps, extrapolate):
     assert fit.steps == steps and weights_of(fit) == pytest.approx(want, rel=1e-6)
 
 
-def test_error_of_an_exact_fit_is_recomputed_from_rows(spark):
-    df = spark.range(1, 200).select(F.lit(1.0).alias("constant"), F.col("id").cast("double").alias("x"))
-    df = df.withColumn("y", F.col("x") * 3 + 7 + F.when(F.col("x") % 2 == 0, 1e-7).otherwise(-1e-7))
+@pytest.fixture(scope="module")
+def offset(spark):
+    """1e6 + 3x, alternately 0.01 above and below; groups of different level."""
+    df = spark.range(1000).select(F.lit(1.0).alias("constant"), (F.col("id") / 1000).alias("x"), F.col("id").alias("id"))
+    noise = F.when(F.col("id") % 2 == 0, 0.01).otherwise(-0.01)
+    return df.select("*", (F.lit(1e6) + F.col("x") * 3 + noise).alias("y"), (F.col("id") % 3).cast("string").alias("g"), F.lit("train").alias("part"))
+
+
+def test_a_large_offset_costs_no_digits(offset):
+    rows = offset.toPandas()
+    truth = lambda r: np.linalg.lstsq(np.column_stack((np.ones(len(r)), r.x)), r.y - 1e6, rcond=None)[1][0]
+    m = regression.moments(offset, ["constant", "x"], "y")
+    assert m.rss(m.solve()) == pytest.approx(truth(rows), rel=1e-6)
+    for r in regression.fit_groups(offset, ["constant", "x"], "y", ["g"]).collect():
+        assert r.rss == pytest.approx(truth(rows[rows.g == r.g]), rel=1e-6)
+    assert regression.fit_degrees(offset, "x", "y", 1, "part")[0].rss["train"] == pytest.approx(truth(rows), rel=1e-6)
+    for r in regression.fit_polynomial_groups(offset, "x", "y", (1,), ["g"]).collect():
+        assert r.rss == pytest.approx(truth(rows[rows.g == r.g]), rel=1e-6)
+
+
+def test_descent_reads_the_rows_once(spark, offset):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("descent", "counted")
+    fit = regression.descend_adaptive(regression.moments(offset, ["constant", "x"], "y"), 1e-3, 1e-9, initial=[1e6, 0.0])
+    jobs = tracker.getJobIdsForGroup("descent")
+    spark.sparkContext.setJobGroup("after", "")
+    assert fit.converged and fit.steps > 20 and len(jobs) <= 2
+    assert fit.weights["x"] == pytest.approx(3.0, abs=0.05)
+
+
+def test_rows_with_missing_values_are_left_out(spark):
+    good = [(1.0, float(i), 100.0 + 2 * i, "a") for i in range(10)]
+    df = spark.createDataFrame([*good, *[(1.0, 50.0 + i, None, "a") for i in range(5)], (1.0, None, 3.0, "a")], "constant double, x double, y double, g string")
+    m = regression.moments(df, ["constant", "x"], "y")
+    assert (m.n, m.left_out) == (10, 6) and m.solve() == pytest.approx([100, 2])
+    row = regression.fit_groups(df, ["constant", "x"], "y", ["g"]).first()
+    assert (row.rows, row.constant, row.x) == (10, pytest.approx(100), pytest.approx(2))
+    fit = regression.fit_degrees(df, "x", "y", 1, "g", fitted_on="a")[0]
+    assert fit.power_coefficients() == pytest.approx([100, 2])
+    row = regression.fit_polynomial_groups(df, "x", "y", (1,), ["g"]).first()
+    assert row.rows == 10 and row.rss == pytest.approx(0, abs=1e-9)
+    _, weights = regression.fit_linear(df, ["x"], "y")
+    assert weights == pytest.approx({"constant": 100, "x": 2})
+    assert {r.row_term + r.col_term: r.value for r in regression.gram_matrix(df, ["x"], "y").collect()}["xx"] == sum(i * i for i in range(10))
+
+
+def test_predictions_beyond_the_range_follow_the_polynomial(spark):
+    df = spark.createDataFrame([(float(i), 2.0 * i + 1, "train") for i in range(10)], "x double, y double, part string")
+    fit = regression.fit_degrees(df, "x", "y", 1, "part")[0]
+    points = spark.createDataFrame([(20.0,), (-5.0,), (None,), (float("nan"),)], "x double").coalesce(1)
+    a, b, c, d = (r[0] for r in points.select(fit.column("x")).collect())
+    assert a == pytest.approx(41) and b == pytest.approx(-9) and c is None and math.isnan(d)
+    groups = regression.fit_polynomial_groups(df, "x", "y", (1, 3), ["part"])
+    for r in groups.select(regression.polynomial_at(F.lit(20.0), 3).alias("v")).collect():
+        assert r.v == pytest.approx(41)
+
+
+def test_group_polynomials_of_high_degree(spark):
+    rng = random.Random(3)
+    rows = [(g, 1000 + 3 * x, math.sin(7 * x + g) + rng.gauss(0, 0.1)) for g in range(3) for x in [rng.random() * (g + 1) for _ in range(200)]]
+    df = spark.createDataFrame(rows, "g int, x double, y double")
+    for r in regression.fit_polynomial_groups(df, "x", "y", (5, 15), ["g"]).collect():
+        x, y = (np.array([row[k] for row in rows if row[0] == r.g]) for k in (1, 2))
+        best = np.polynomial.Chebyshev.fit(x, y, r.degree)
+        assert r.rss == pytest.approx(np.sum((y - best(x)) ** 2), rel=1e-7)
+
+
+def test_errors_that_are_no_numbers_end(spark):
+    df = spark.createDataFrame([(1.0, 1.0, 1.0), (1.0, float("nan"), 2.0)], "constant double, x double, y double")
     m = regression.moments(df, ["constant", "x"], "y")
-    assert m.rmse(np.array([7.0, 3.0])) == pytest.approx(1e-7, rel=1e-3)
+    with pytest.raises(ArithmeticError):
+        regression.descend_adaptive(m, 0.1, 1e-6)
+    with pytest.raises(ArithmeticError):
+        regression.search_step(m, 1.0)
+
+
+def test_contradictory_penalties_raise(points):
+    with pytest.raises(ValueError):
+        regression.fit_linear(points, ["x"], "y", reg=0.3, elastic_net=1.0, solver="normal")
+
+
+def test_too_many_parts_raise(points):
+    with pytest.raises(ValueError):
+        regression.moments_of_parts(points, TERMS, "y", "id", most=10)
 
 
 def test_sgd_is_the_library_algorithm(spark, points, sums):

@@ -96,3 +96,23 @@ def test_pairs(ticks):
     left, right = placed.select("k", "idx", "v"), placed.select("k", "idx", F.col("v").alias("w"))
     both = pair_by_position(left, right, ["k"])
     assert both.count() == 474 and both.where("v = w").count() == 474
+
+
+@pytest.mark.parametrize("bits", [None, 1, 2])
+@pytest.mark.parametrize("ahead", [True, False])
+def test_a_missing_value_of_the_neighbour_is_its_value(spark, bits, ahead):
+    values = [10.0, None, 20.0, None, 40.0, 50.0, None, 60.0]
+    frame = spark.createDataFrame([("a", i, v) for i, v in enumerate(values)], "k string, idx bigint, v double")
+    out = series.with_neighbour(frame, {"v": "other"}, ["k"], ahead=ahead, bits=bits)
+    want = [*values[1:], None] if ahead else [None, *values[:-1]]
+    assert column(out, "other") == want
+
+
+def test_stretches_of_stretches(spark, monkeypatch):
+    monkeypatch.setattr(series, "ROWS_PER_TASK", 4)
+    monkeypatch.setattr(series, "STRETCH_BITS", 1)
+    frame = spark.createDataFrame([("a", t) for t in range(100)], "k string, t int")
+    kept = series.with_position(frame, ["t"], ["k"]).where("idx % 17 = 3 or idx % 23 = 5")
+    rows = sorted(r.idx for r in kept.collect())
+    got = {r.idx: r.next for r in series.with_neighbour(kept, {"idx": "next"}, ["k"]).collect()}
+    assert got == dict(zip(rows, [*rows[1:], None]))

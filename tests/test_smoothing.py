@@ -7,6 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from millrace.functions.kernels import gaussian, inverse_distance
+from millrace.operators import smoothing
 from millrace.operators.smoothing import (
     Smoother,
     _batch_passes,
@@ -162,3 +163,32 @@ def test_task_functions_do_not_need_the_package():
     passes = _batch_passes(_chains({"s": Smoother(3, 2)}), ["s"], "v", 6, 6)
     load = "import pickle, sys; pickle.loads(sys.stdin.buffer.read()); assert not any(m.startswith('millrace') for m in sys.modules)"
     subprocess.run([sys.executable, "-c", load], input=cloudpickle.dumps(passes), cwd="/", env={}, check=True)
+
+
+@pytest.mark.parametrize("causal", [False, True])
+def test_kernels_see_the_side_of_a_neighbour(spark, causal):
+    kernel = lambda o: 3.0 + o / 4
+    values = [1.0, 4.0, 2.0, 8.0, 5.0, 7.0]
+    frame = frame_of(spark, values)
+    for arrays in (False, True):
+        out = smoothing.smooth_many(frame, "v", {"s": smoothing.Smoother(2, 1, kernel, causal)}, ["k"], arrays=arrays)
+        want = []
+        for i in range(len(values)):
+            near = [j for j in range(i - 2, i + 1 if causal else i + 3) if 0 <= j < len(values)]
+            want.append(sum(kernel(j - i) * values[j] for j in near) / sum(kernel(j - i) for j in near))
+        assert column(out, "s") == pytest.approx(want)
+
+
+@pytest.mark.parametrize("arrays", [False, True])
+@pytest.mark.parametrize("hole", [None, float("nan")])
+def test_missing_values_have_one_rule(spark, arrays, hole):
+    frame = spark.createDataFrame([("a", i, hole if i == 3 else float(i)) for i in range(8)], "k string, idx bigint, v double")
+    got = column(smoothing.smooth_many(frame, "v", {"s": smoothing.Smoother(1)}, ["k"], arrays=arrays), "s")
+    assert [x is None for x in got] == [i in (2, 3, 4) for i in range(8)]
+
+
+def test_geometric_means_of_odd_windows(spark):
+    values = [2.0, 8.0, 0.0, 4.0, -1.0, 1e300, 1e300, 1e300]
+    got = column(smoothing.rolling_geometric_mean(frame_of(spark, values), "v", 2, ["k"]), "geometric_mean")
+    assert got[:2] == pytest.approx([4.0, 0.0]) and got[2] == 0.0 and got[3] is None and got[4] is None
+    assert got[5:] == pytest.approx([1e300, 1e300])

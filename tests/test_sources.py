@@ -125,3 +125,42 @@ def test_checkpoint_folder_comes_from_the_session(spark):
     assert session.scratch_path(spark, "a") != session.scratch_path(spark, "a")
     staged = session.stage(spark.range(5))
     assert staged.count() == 5
+
+
+def test_scratch_tables_go_with_their_scope(spark):
+    from millrace.session import kept, scratch_scope, stage_table
+
+    with scratch_scope(spark):
+        staged = stage_table(spark.range(5))
+        (path,) = {f.rsplit("/", 1)[0] for f in staged.inputFiles()}
+        with kept(staged) as held:
+            assert held.count() == 5 and held.is_cached
+        assert not staged.storageLevel.useMemory
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+
+
+def test_separators_are_literal(spark):
+    from millrace.functions.scalars import tokens
+
+    frame = spark.createDataFrame([("\t 1|2.5|3 \t",), ("a",), (None,)], "v string")
+    assert [r[0] for r in frame.select(tokens("v", "|")).collect()] == [["1", "2.5", "3"], ["a"], None]
+    assert [r[0] for r in frame.select(tokens("v", ".")).collect()] == [["1|2", "5|3"], ["a"], None]
+
+
+def test_texts_that_are_no_times_keep_their_rows(spark):
+    from millrace.operators.stats import minutes_since_open
+
+    frame = spark.createDataFrame([("20240102 000300000",), (None,), ("20240102 000000000",), ("junk",)], "t string")
+    got = minutes_since_open(frame, "t", "yyyyMMdd HHmmssSSS").collect()
+    assert sorted((str(r.t), r.minutes) for r in got) == [("20240102 000000000", 0), ("20240102 000300000", 3), ("None", None), ("junk", None)]
+
+
+def test_few_days_are_broadcast_and_many_are_not(spark, monkeypatch):
+    from millrace.operators import series, stats
+
+    frame = spark.range(1000).select(F.concat(F.lit("202401"), F.lpad((F.col("id") % 28 + 1).cast("string"), 2, "0"), F.lit(" 000000000")).alias("t"))
+    plan = lambda: stats.minutes_since_open(frame, "t", "yyyyMMdd HHmmssSSS")._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" in plan()
+    monkeypatch.setattr(series, "BROADCAST_ROWS", 3)
+    assert "broadcast" not in plan()
