@@ -154,13 +154,13 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
         share = {k: found[k] / max(1, (y == k).sum()) for k in found}
         weight = np.array([share[int(k)] for k in y])
         model = fit(np.array([r.shares for r in rows]), y, weight / weight.mean())
-    sent = docs.sparkSession.sparkContext.broadcast(model)
     kind = described.schema["id"].dataType.simpleString()
 
+    # The model goes with the function, by value like it: a broadcast value would need its class on the executors.
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = batch.column("shares").flatten().to_numpy().reshape(batch.num_rows, len(text_rules.SHARES))
-            score = sent.value.score(x) if sent.value else np.full(batch.num_rows, 0.5)
+            score = model.score(x) if model else np.full(batch.num_rows, 0.5)
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(score)], ["id", "score"])
 
     scored = described.mapInArrow(run, f"id {kind}, score double")

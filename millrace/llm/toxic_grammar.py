@@ -336,18 +336,17 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     """
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     model = learn(texts, told_labels(labels, id_col, label_col))
-    sent = docs.sparkSession.sparkContext.broadcast(model)
     others = [c for c in docs.columns if c != text_col]
     doc = F.struct(*others) if others else F.struct(F.lit(None).cast("int").alias("none"))
     rows = docs.select(doc.alias("doc"), F.col(text_col).cast("string").alias("text"), (crc_bucket(id_col, 3) == 1).alias("held_out"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(Lexicon.of(sent.value.terms))
+        matcher = Matcher(Lexicon.of(model.terms))  # goes with the function, by value like it
         for batch in batches:
             for part in slices(batch):
                 counts = np.array([matcher(t or "") for t in part.column("text").to_pylist()], float)
                 lists = pa.array(counts.astype(int).tolist(), pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(sent.value.score(counts)), lists], [*part.schema.names, "score", "matches"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(model.score(counts)), lists], [*part.schema.names, "score", "matches"])
 
     kinds = f"doc {rows.schema['doc'].dataType.simpleString()}, text string, held_out boolean, score double, matches array<int>"
     return rows.mapInArrow(run, kinds).withColumn("predicted", (F.col("score") >= cut).cast("int"))
