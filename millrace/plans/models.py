@@ -383,7 +383,9 @@ def recurrence_sql(source: str, keys: str, degrees: tuple[int, ...], before: str
         return f"list_sum(list_transform(range(1, n + 1), lambda i: {product}))"
 
     return f"""WITH RECURSIVE {before},
-      lists AS (SELECT {keys}, count(*)::BIGINT AS n, list(2 * x - 1 ORDER BY x, y) AS xs, list(y ORDER BY x, y) AS ys FROM {source} GROUP BY {keys}),
+      lists AS (SELECT {keys}, count(*)::BIGINT AS n, list(t ORDER BY t, y) AS xs, list(y ORDER BY t, y) AS ys FROM (
+          SELECT {keys}, y, coalesce((2 * x - min(x) OVER g - max(x) OVER g) / nullif(max(x) OVER g - min(x) OVER g, 0), 0) AS t
+          FROM {source} WINDOW g AS (PARTITION BY {keys})) GROUP BY {keys}),
       fit AS (SELECT -1 AS degree, {keys}, n, xs, ys AS es, list_transform(xs, lambda v: 1.0::DOUBLE) AS ps, list_transform(xs, lambda v: 0.0::DOUBLE) AS qs,
           1.0::DOUBLE AS before FROM lists
         UNION ALL SELECT degree + 1, {keys}, n, xs, list_transform(range(1, n + 1), lambda i: es[i] - c * ps[i]),
