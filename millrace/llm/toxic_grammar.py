@@ -84,7 +84,7 @@ class Transducer:
 
 
 SYMBOLS = INSULT + THREAT + TARGET + NEGATION + REPORT + QUOTE + OTHER
-PLAIN, NEGATED, REPORTED = {INSULT: "I", THREAT: "T"}, {INSULT: "J", THREAT: "U"}, {INSULT: "K", THREAT: "V"}
+PLAIN, NEGATED = {INSULT: "I", THREAT: "T"}, {INSULT: "J", THREAT: "U"}  # reported ones are K and V
 MARKED = "IJKTUV"
 
 

@@ -1,6 +1,5 @@
 import re
 
-import duckdb
 import pytest
 
 import __spark_entry__ as entry
