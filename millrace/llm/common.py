@@ -20,11 +20,18 @@ WORD = r"[^\x20\x09-\x0D]+"
 def rows_of(df: DataFrame, text: str) -> DataFrame:
     """Row number, whole row as a struct, text: extra columns of any name stay inside the struct.
 
-    The row number holds as long as the frame is read the same way each time, as a table scan is.
+    The numbers are made anew by every job, and follow how Spark cuts the files at that moment: they may go into one table,
+    but must never be joined with those of another job. For that there is ``numbered``.
     """
     return df.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc"), F.col(text).cast("string").alias("text"))
 
 
+def numbered(df: DataFrame, text: str) -> DataFrame:
+    """The same columns from a table written once, so that every job that reads it finds the same numbers."""
+    rows = stage_table(rows_of(df, text).select("row", "doc"), "zstd")
+    return rows.select("row", "doc", F.col(f"doc.`{text}`").cast("string").alias("text"))
+
+
 def slices(batch: pa.RecordBatch, column: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that the texts of each part stay near ``size`` bytes; one text is never cut."""
     lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
@@ -97,4 +104,4 @@ def components(edges: DataFrame) -> DataFrame:
     return near.select(F.col("a").alias("node"), F.col("b").alias("root")).union(near.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
-__all__ = ["SLICE_BYTES", "WORD", "components", "crc_bucket", "forest", "partitions_for", "rows_of", "slices", "stage", "stage_table", "told_labels", "utf8"]
+__all__ = ["SLICE_BYTES", "WORD", "components", "crc_bucket", "forest", "numbered", "partitions_for", "rows_of", "slices", "stage", "stage_table", "told_labels", "utf8"]

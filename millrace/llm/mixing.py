@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import WORD, rows_of, stage, stage_table
+from millrace.llm.common import WORD, numbered, rows_of, stage, stage_table
 from millrace.operators.series import with_position
 
 #: Hexadecimal digits of the order's key that make a bucket: 4,096 buckets for each source.
@@ -56,7 +56,10 @@ def targets(sources: DataFrame, weights: list[int], share: float, epochs: float)
 
 def mix(docs: DataFrame, weights: list[int], share: float, epochs: float, seed: int = 7, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """(row, id, source, size, source_size, target, taken): words to take of every row, repetitions counted."""
-    rows = rows_of(docs, text_col)
+    return _mix_rows(rows_of(docs, text_col), weights, share, epochs, seed, id_col, source_col)
+
+
+def _mix_rows(rows: DataFrame, weights: list[int], share: float, epochs: float, seed: int, id_col: str, source_col: str) -> DataFrame:
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(f"doc.{id_col}").cast("string"), F.lit(""))))
     sized = stage_table(rows.select("row", F.col(f"doc.{id_col}").alias("id"), F.col(f"doc.{source_col}").cast("string").alias("source"), word_count("text").alias("size"), key.alias("key")))
     bucket = F.substring("key", 1, BUCKET_DIGITS)
@@ -88,8 +91,9 @@ def mixed_documents(docs: DataFrame, weights: list[int], share: float, epochs: f
 
     A document of no words is not taken. ``doc`` is the whole input row.
     """
-    taken = mix(docs, weights, share, epochs, seed, id_col, text_col, source_col).select("row", "size", "taken").where("taken > 0")
-    rows = rows_of(docs, text_col).join(taken, "row")
+    rows = numbered(docs, text_col)
+    taken = _mix_rows(rows, weights, share, epochs, seed, id_col, source_col).select("row", "size", "taken").where("taken > 0")
+    rows = rows.join(taken, "row")
     whole = F.floor(F.col("taken") / F.col("size")).cast("int")
     rest = (F.col("taken") % F.col("size")).cast("int")
     again = rows.where(F.col("taken") >= F.col("size")).select("doc", "text", F.explode(F.array_repeat(F.lit(0), whole)).alias("n")).drop("n")

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import components, forest, slices, stage_table, utf8
+from millrace.llm.common import components, forest, numbered, slices, stage_table, utf8
 
 #: Fingerprints in a shard, sample rows per shard, and the most shards that the tree on the driver has.
 SHARD, PER_SHARD, MOST_SHARDS = 16_384, 32, 4_096
@@ -51,14 +51,16 @@ def fingerprint(text: bytes, words: int) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
     """(row, id, fp) for every row; fp is the fingerprint as a signed long."""
+    return _prints(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text")), words)
 
+
+def _prints(rows: DataFrame, words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 fp = np.array([fingerprint(t, words) for t in utf8(part)], np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays([part.column("row"), part.column("id"), pa.array(fp)], ["row", "id", "fp"])
 
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, "row bigint, id bigint, fp bigint")
 
 
@@ -178,7 +180,11 @@ def link(points: DataFrame, bits: int = 3, column: str = "fp", shard: int = SHAR
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, bits: int = 3) -> DataFrame:
     """(row, id, fp, root, component_id) for every row: root names its component among fingerprints, component_id is the smallest id reachable over links of at most ``bits`` bits."""
-    prints = stage_table(fingerprints(docs, id_col, text_col, words))
+    return _named(fingerprints(docs, id_col, text_col, words), bits)
+
+
+def _named(prints: DataFrame, bits: int) -> DataFrame:
+    prints = stage_table(prints)
     roots = link(prints, bits)
     first = prints.groupBy("fp").agg(F.min("id").alias("first"))
     named = first.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
@@ -190,7 +196,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, bits: int = 3) -> DataFrame:
     """The rows of ``docs`` without near copies: of each component the first row of the smallest id stays."""
-    found = near_copies(docs, id_col, text_col, words, bits)
+    rows = numbered(docs, text_col)
+    found = _named(_prints(rows.select("row", F.col(f"doc.{id_col}").cast("bigint").alias("id"), "text"), words), bits)
     least = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("who"))
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc"))
-    return rows.join(least.select(F.col("who.row").alias("row")), "row", "left_semi").select("doc.*")
+    return rows.select("row", "doc").join(least.select(F.col("who.row").alias("row")), "row", "left_semi").select("doc.*")

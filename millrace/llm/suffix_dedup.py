@@ -256,7 +256,7 @@ def repeats(runs: list[bytes], length: int) -> Iterator[tuple[np.ndarray, ...]]:
 
 
 def _packed(docs: DataFrame, text_col: str) -> DataFrame:
-    """(row, doc, packed): row number, the row without its text, the compressed text, as it moves between tasks twice."""
+    """(row, doc, packed): row number, the row without its text, the compressed text; written once, as several jobs join on the numbers."""
     others = [c for c in docs.columns if c != text_col]
     doc = F.struct(*others) if others else F.struct(F.lit(None).cast("int").alias("none"))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), doc.alias("doc"), F.col(text_col).cast("string").alias("text"))
@@ -268,7 +268,8 @@ def _packed(docs: DataFrame, text_col: str) -> DataFrame:
                 packed = pa.array([squeeze(t) for t in utf8(part)], pa.binary())
                 yield pa.RecordBatch.from_arrays([part.column("row"), part.column("doc"), packed], ["row", "doc", "packed"])
 
-    return rows.mapInArrow(pack, f"row bigint, doc {rows.schema['doc'].dataType.simpleString()}, packed binary")
+    table = stage_table(rows.mapInArrow(pack, f"row bigint, doc {rows.schema['doc'].dataType.simpleString()}, packed binary"))
+    return table.where("row is not null")  # said here, an inner and a left join read the same exchange
 
 
 def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
@@ -280,26 +281,24 @@ def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatc
             yield part, [unsqueeze(t) for t in part.column("packed").to_pylist()]
 
 
-def _live_anchors(docs: DataFrame, text_col: str, length: int, hot: int) -> tuple[DataFrame, int]:
+def _live_anchors(packed: DataFrame, length: int, hot: int) -> tuple[DataFrame, int]:
     """(row, spots) of anchors that occur more than once, and the number of tasks to sort them in.
 
     A spot is the anchor's place, a bit for hot anchors, and its distances to the first and last start of a string.
     """
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(text_col).cast("string").alias("text"))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch):
-                text, place, first, last, h = anchors(utf8(part), length)
-                row = part.column("row").to_numpy()[text]
-                spot = place << 17 | place - first << 8 | place - last
-                yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(spot), pa.array(h.view(np.int64))], ["row", "spot", "hash"])
+        for part, texts in _unpacked(batches):
+            text, place, first, last, h = anchors(texts, length)
+            row = part.column("row").to_numpy()[text]
+            spot = place << 17 | place - first << 8 | place - last
+            yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(spot), pa.array(h.view(np.int64))], ["row", "spot", "hash"])
 
-    found = stage_table(rows.mapInArrow(find, "row bigint, spot bigint, hash bigint"))
+    found = stage_table(packed.select("row", "packed").mapInArrow(find, "row bigint, spot bigint, hash bigint"))
     live = stage_table(found.groupBy("hash").count().where("count > 1"))
     total = live.agg(F.sum("count")).first()[0] or 0
     marked = found.join(live, "hash").select("row", (F.col("spot") + F.when(F.col("count") > hot, 1 << 16).otherwise(0)).alias("spot"))
-    return marked.groupBy("row").agg(F.collect_list("spot").alias("spots")), partitions_for(docs, total, PER_TASK)
+    return marked.groupBy("row").agg(F.collect_list("spot").alias("spots")), partitions_for(packed, total, PER_TASK)
 
 
 def _repeated_spans(packed: DataFrame, spots: DataFrame, tasks: int, length: int) -> DataFrame:
@@ -379,7 +378,7 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = 200, h
     if not GRAM <= length <= GRAM + 200:
         raise ValueError(f"length must be from {GRAM} to {GRAM + 200}")
     packed = _packed(docs, text_col)
-    spots, tasks = _live_anchors(docs, text_col, length, hot)
+    spots, tasks = _live_anchors(packed, length, hot)
     spans = _repeated_spans(packed, spots, tasks, length)
     joined = packed.join(spans.hint("shuffle_hash"), "row", "left")
     names = ["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept"] * (kept is not None)]

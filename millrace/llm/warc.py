@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import rows_of, stage_table
+from millrace.llm.common import numbered, stage_table
 from millrace.session import scratch_path
 
 END = "\r\n\r\n"
@@ -55,7 +55,7 @@ def _record(headers: list[tuple[str, Column | str]], block: Column) -> Column:
 
 def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", least: int = 0, date: str = "2024-01-01T00:00:00Z") -> None:
     """Write a capture per page; equal payloads of fewer than ``least`` bytes are all responses."""
-    rows = rows_of(pages, payload_col)
+    rows = numbered(pages.select(*dict.fromkeys((id_col, url_col, payload_col))), payload_col)
     payload = F.coalesce("text", F.lit(""))
     rows = rows.select(
         "row", F.col(f"doc.{id_col}").cast("string").alias("page"), F.col(f"doc.{id_col}").alias("id"), F.col(f"doc.{url_col}").cast("string").alias("url"),
@@ -180,4 +180,4 @@ def round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     spark = pages.sparkSession
     path = scratch_path(spark, "warc")
     write_archives(pages, path, id_col, url_col, payload_col, least)
-    return assemble(stage_table(read_records(spark, path)))
+    return assemble(stage_table(read_records(spark, path), "zstd"))

@@ -77,10 +77,10 @@ def stage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stage_table(df: DataFrame) -> DataFrame:
+def stage_table(df: DataFrame, compression: str | None = None) -> DataFrame:
     """The same for a large frame, as a table in the shared folder: later scans read only the columns they need."""
     path = scratch_path(df.sparkSession, "stage")
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
