@@ -32,9 +32,10 @@ def numbered(df: DataFrame, text: str) -> DataFrame:
     return rows.select("row", "doc", F.col(f"doc.`{text}`").cast("string").alias("text"))
 
 
-def slices(batch: pa.RecordBatch, column: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut a batch so that the texts of each part stay near ``size`` bytes; one text is never cut."""
-    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+def slices(batch: pa.RecordBatch, column: str = "text", size: int = SLICE_BYTES, lengths: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    """Cut a batch so that the texts of each part stay near ``size`` bytes; one text is never cut. ``lengths`` if the column does not tell them."""
+    if lengths is None:
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     part = np.cumsum(lengths, dtype=np.int64) // size
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
     for a, b in zip(cuts, cuts[1:]):

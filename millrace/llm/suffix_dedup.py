@@ -30,6 +30,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -273,11 +274,11 @@ def _packed(docs: DataFrame, text_col: str) -> DataFrame:
 
 
 def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Batches of at most 1,000 rows with their texts."""
+    """Batches with their texts, cut like all others by the bytes of text, which the heads of the frames tell."""
     unsqueeze = zstandard.ZstdDecompressor().decompress
     for batch in batches:
-        for at in range(0, batch.num_rows, 1000):
-            part = batch.slice(at, 1000)
+        heads = pc.binary_slice(batch.column("packed"), 0, 18).to_pylist()
+        for part in slices(batch, lengths=np.array([zstandard.frame_content_size(h) for h in heads], np.int64)):
             yield part, [unsqueeze(t) for t in part.column("packed").to_pylist()]
 
 

@@ -1,9 +1,12 @@
 import hashlib
 import random
 
+import pyarrow as pa
 import pytest
+import zstandard
 
 from millrace.llm import queries, suffix_dedup
+from millrace.llm.common import SLICE_BYTES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -69,3 +72,11 @@ def test_merge_gives_order_and_shared_prefixes():
 def test_odd_rows(spark, odd, empty):
     assert rows(suffix_dedup.remove_repeats(odd)) == wanted(odd, 200)
     assert suffix_dedup.remove_repeats(empty).count() == 0
+
+
+def test_unpacked_texts_are_bounded_by_bytes():
+    texts = [b"", b"short", *[bytes([65 + k % 26]) * 1_000_000 for k in range(30)], b"", b"x" * (2 * SLICE_BYTES), b"end"]
+    batch = pa.RecordBatch.from_arrays([pa.array([zstandard.ZstdCompressor(level=1).compress(t) for t in texts], pa.binary())], ["packed"])
+    parts = [got for _, got in suffix_dedup._unpacked(iter([batch, batch.slice(0, 0)]))]
+    assert [t for got in parts for t in got] == texts
+    assert all(sum(map(len, got)) <= SLICE_BYTES + max(map(len, got)) for got in parts)
