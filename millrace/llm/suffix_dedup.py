@@ -6,17 +6,22 @@ about one in seventy. The steps are:
 
 1. Tasks find the anchors of their texts. Anchors whose hash occurs once in the corpus cannot be part of a repeat.
 2. For every other anchor a task takes the suffix from the anchor on and the bytes before it, as far as the strings that
-   have this anchor reach. It sorts them, folds equal ones, and sends them as front-coded runs (the length of the prefix
-   shared with the one before, then the rest), dealt by their first GRAM bytes.
+   have this anchor reach. It does so for a lot of whole texts at a time, sorts the suffixes, folds equal ones, and sends
+   them as front-coded runs (the length of the prefix shared with the one before, then the rest) and the number of their
+   places, dealt by their first GRAM bytes. The places themselves go along as one list per lot.
 3. The receiving task merges its runs with a loser tree. Each run remembers how many bytes its head shares with the last
    one taken: if two heads differ in that number, the larger wins unseen; if not, comparison starts behind those bytes.
    The prefix shared with the one before falls out for every suffix.
 4. Strings that reach k bytes to the left of their anchor are equal if their suffixes share ``length - k`` bytes and the
    parts before share k bytes, the latter read from the sorted reversed parts. Both are runs in sorted orders, so every
    string of every anchor is settled exactly by counting pairs of run numbers.
+5. Verdicts (a record of a run, the strings of it that repeat) go back to the lot, which turns them into the places of its
+   texts and joins those of a text: one row for each text that holds a repeat, however many strings make it up.
 
-An anchor that occurs more than HOT times is no longer one group: each of its strings becomes a suffix of its own, dealt by
-all of its bytes, and tasks fold equal ones before they send them.
+A string that many texts share is thus a record for each lot, not for each place. An anchor that occurs more than ``hot``
+times amid different bytes is no longer one group: each of its strings becomes a suffix of its own, dealt by all its bytes.
+
+Lots follow the order of row numbers, so that a task run again after a loss deals the same records.
 
 Defined results: NULL is the empty text, from which nothing is removed; texts below ``length`` bytes can't repeat;
 repeated rows are texts of their own and thus copies of each other; no rows give no rows.
@@ -116,30 +121,28 @@ def common(a: bytes, b: bytes, known: int) -> int:
     return n - ((int.from_bytes(x, "big") ^ int.from_bytes(y, "big")).bit_length() + 7 >> 3)
 
 
-def front_code(records: list[tuple[bytes, bytes, list[int]]]) -> bytes:
-    """Records (suffix, part before it, flat list of row and spot) in the order of their suffixes, as one blob."""
+def front_code(records: list[tuple[bytes, bytes, int, int, int]]) -> bytes:
+    """Records (suffix, part before it, places, least and largest k) in the order of their suffixes, as one blob."""
     shared, before = [], b""
-    for suffix, _, _ in records:
+    for suffix, *_ in records:
         shared.append(common(before, suffix, 0))
         before = suffix
-    rest = [s[k:] for (s, _, _), k in zip(records, shared)]
-    heads = np.array([shared, list(map(len, rest)), [len(p) for _, p, _ in records], [len(w) for _, _, w in records]], "<i4")
-    where = np.array([x for _, _, w in records for x in w], "<i8")
-    return np.int64(len(records)).tobytes() + heads.tobytes() + where.tobytes() + b"".join(rest) + b"".join(p for _, p, _ in records)
+    rest = [r[0][k:] for r, k in zip(records, shared)]
+    heads = np.array([shared, list(map(len, rest)), [len(r[1]) for r in records], *([r[k] for r in records] for k in (2, 3, 4))], "<i4")
+    return np.int64(len(records)).tobytes() + heads.tobytes() + b"".join(rest) + b"".join(r[1] for r in records)
 
 
-def decode(blob: bytes) -> Iterator[tuple[int, bytes, bytes, np.ndarray]]:
-    """(bytes shared with the suffix before, suffix, part before it, rows and spots) of a run, in order."""
+def decode(blob: bytes, run: int = 0) -> Iterator[tuple[int, bytes, bytes, tuple[int, int, int, int, int]]]:
+    """(bytes shared with the suffix before, suffix, part before it, (run, number, places, least k, largest k)), in order."""
     n = int(np.frombuffer(blob, "<i8", 1)[0])
-    heads = np.frombuffer(blob, "<i4", 4 * n, 8).reshape(4, n)
-    shared, rest, part, many = heads.tolist()
-    where = np.frombuffer(blob, "<i8", sum(many), 8 + heads.nbytes)
-    at = 8 + heads.nbytes + where.nbytes
-    left, w, suffix = at + sum(rest), 0, b""
-    for k in range(n):
+    heads = np.frombuffer(blob, "<i4", 6 * n, 8).reshape(6, n)
+    shared, rest, part, *facts = heads.tolist()
+    at = 8 + heads.nbytes
+    left, suffix = at + sum(rest), b""
+    for k, told in enumerate(zip(*facts)):
         suffix = suffix[: shared[k]] + blob[at : at + rest[k]]
-        yield shared[k], suffix, blob[left : left + part[k]], where[w : w + many[k]]
-        at, left, w = at + rest[k], left + part[k], w + many[k]
+        yield shared[k], suffix, blob[left : left + part[k]], (run, k, *told)
+        at, left = at + rest[k], left + part[k]
 
 
 def merge(runs: list[Iterator[tuple]]) -> Iterator[tuple]:
@@ -218,42 +221,49 @@ def settle(lcp: np.ndarray, before: list[bytes], many: np.ndarray, low: np.ndarr
     return found
 
 
-def repeats(runs: list[bytes], length: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """(row, first, behind the last) of byte runs that repeat, from the front-coded runs of one task."""
+def repeats(runs: list[bytes], length: int) -> Iterator[np.ndarray]:
+    """Columns (run, record, first k, behind the last k) of strings that repeat, from the front-coded runs of one task."""
 
-    def emit(records: list[tuple]) -> tuple[np.ndarray, ...] | None:
+    def emit(records: list[tuple]) -> np.ndarray | None:
         lcp = np.array([r[0] for r in records], np.int64)
         lcp[0] = 0
-        many = np.array([len(r[3]) // 2 for r in records], np.int64)
-        next_ = np.append(lcp[1:], 0)
-        kept = np.flatnonzero((lcp >= GRAM) | (next_ >= GRAM) | (many > 1))
+        told = np.array([r[3] for r in records], np.int64)
+        kept = np.flatnonzero((lcp >= GRAM) | (np.append(lcp[1:], 0) >= GRAM) | (told[:, 2] > 1))
         if not len(kept):
             return None
-        records, many, lcp = [records[i] for i in kept], many[kept], np.where(lcp[kept] >= GRAM, lcp[kept], 0)
-        spot = np.array([int(r[3][1]) for r in records], np.int64)
-        low, high = spot & 255, spot >> 8 & 255
-        found = settle(lcp, [r[2] for r in records], many, low, high, length)
+        told, lcp = told[kept], np.where(lcp[kept] >= GRAM, lcp[kept], 0)
+        found = settle(lcp, [records[i][2] for i in kept], told[:, 2], told[:, 3], told[:, 4], length)
         edge = np.diff(np.pad(found, ((0, 0), (1, 1))).astype(np.int8), axis=1)
         rec, near = np.nonzero(edge == 1)
         _, far = np.nonzero(edge == -1)
-        where = np.concatenate([r[3] for r in records]).reshape(-1, 2)
-        begin = np.cumsum(many) - many
-        spread = np.repeat(np.arange(len(rec)), many[rec])
-        member = begin[rec][spread] + np.arange(len(spread)) - np.repeat(np.cumsum(many[rec]) - many[rec], many[rec])
-        place = where[member, 1] >> 17
-        return where[member, 0], place - far[spread] + 1, place - near[spread] + length
+        return np.column_stack((told[rec, :2], near, far))
 
     group: list[tuple] = []
-    for record in merge([decode(b) for b in runs]):
+    for record in merge([decode(b, n) for n, b in enumerate(runs)]):
         if len(group) >= SETTLE and record[0] < GRAM:
-            spans = emit(group)
-            if spans:
-                yield spans
+            verdicts = emit(group)
+            if verdicts is not None:
+                yield verdicts
             group = []
         group.append(record)
-    spans = emit(group) if group else None
-    if spans:
-        yield spans
+    verdicts = emit(group) if group else None
+    if verdicts is not None:
+        yield verdicts
+
+
+def joined(row: np.ndarray, first: np.ndarray, behind: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans of bytes (row, first, behind the last) in order, those of a row that meet or overlap made one."""
+    if not len(row):
+        return row, first, behind
+    order = np.lexsort((first, row))
+    row, first, behind = row[order], first[order], behind[order]
+    rank = np.cumsum(np.diff(row, prepend=row[:1]) != 0)
+    width = int(behind.max(initial=0)) + 1
+    reach = np.maximum.accumulate(rank * width + behind)  # rows lie apart by more than any place
+    opens = np.concatenate(([True], rank[1:] * width + first[1:] > reach[:-1]))
+    at = np.flatnonzero(opens)
+    last = np.append(at[1:], len(row)) - 1
+    return row[at], first[at], reach[last] - rank[last] * width
 
 
 def _packed(docs: DataFrame, text_col: str) -> DataFrame:
@@ -297,75 +307,136 @@ def _live_anchors(packed: DataFrame, length: int, hot: int) -> tuple[DataFrame,
 
     found = stage_table(packed.select("row", "packed").mapInArrow(find, "row bigint, spot bigint, hash bigint"))
     live = stage_table(found.groupBy("hash").count().where("count > 1"))
-    total = live.agg(F.sum("count")).first()[0] or 0
+    strings = F.col("count") * F.when(F.col("count") > hot, length - GRAM + 1).otherwise(1)
+    total = live.agg(F.sum(strings)).first()[0] or 0
     marked = found.join(live, "hash").select("row", (F.col("spot") + F.when(F.col("count") > hot, 1 << 16).otherwise(0)).alias("spot"))
-    return marked.groupBy("row").agg(F.collect_list("spot").alias("spots")), partitions_for(packed, total, PER_TASK)
+    return marked.groupBy("row").agg(F.sort_array(F.collect_list("spot")).alias("spots")), partitions_for(packed, total, PER_TASK)
+
+
+def _members(lot: dict[int, list[list[int]]]) -> bytes:
+    """The places of a lot: for each part and each record of its run in turn, the (row, place) pairs."""
+    runs = list(lot.values())
+    many = np.array([len(w) // 2 for r in runs for w in r], "<i8")
+    heads = np.array([len(runs), len(many), *lot, *map(len, runs)], "<i8")
+    return heads.tobytes() + many.tobytes() + np.fromiter((x for r in runs for w in r for x in w), "<i8", 2 * int(many.sum())).tobytes()
+
+
+def _spans(members: bytes, verdicts: list[tuple[int, np.ndarray]], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Joined spans of a lot, from its places and the verdicts (record, first k, behind the last k) of each part."""
+    at = np.frombuffer(members, "<i8")
+    runs, records = at[:2].tolist()
+    base = dict(zip(at[2 : 2 + runs].tolist(), (np.cumsum(at[2 + runs : 2 + 2 * runs]) - at[2 + runs : 2 + 2 * runs]).tolist()))
+    many = at[2 + 2 * runs : 2 + 2 * runs + records]
+    pairs = at[2 + 2 * runs + records :].reshape(-1, 2)
+    begin = np.cumsum(many) - many
+    told = np.concatenate([v + (base[part], 0, 0) for part, v in verdicts])
+    n = many[told[:, 0]]
+    spread = np.repeat(np.arange(len(told)), n)
+    member = begin[told[spread, 0]] + np.arange(len(spread)) - np.repeat(np.cumsum(n) - n, n)
+    row, place = pairs[member, 0], pairs[member, 1]
+    return joined(row, place - told[spread, 2] + 1, place - told[spread, 1] + length)
 
 
 def _repeated_spans(packed: DataFrame, spots: DataFrame, tasks: int, length: int) -> DataFrame:
-    """(row, spans: array of first and behind-last byte) for rows that hold a repeat."""
+    """(row, spans: array of first and behind-last byte, in order and apart), one row for each text that holds a repeat."""
     parts = 2 * tasks  # a few to a task evens out their sizes
+    kinds = "part int, lot bigint, run binary, places binary"
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=1).compress
-        dealt: dict[int, dict[tuple[bytes, bytes], list[int]]] = {}
-        held = 0
+        dealt: dict[int, dict[tuple[bytes, bytes, int, int], list[int]]] = {}
+        held, lot = 0, -1
 
         def flush() -> pa.RecordBatch:
-            task = list(dealt)
-            blobs = [squeeze(front_code([(s, p, w) for (s, p), w in sorted(dealt[t].items())])) for t in task]
-            dealt.clear()
-            return pa.RecordBatch.from_arrays([pa.array(task, pa.int32()), pa.array(blobs, pa.binary())], ["part", "run"])
+            tasks, blobs, lists = list(dealt), [], {}
+            for t in tasks:
+                own = sorted(dealt.pop(t).items())
+                blobs.append(squeeze(front_code([(s, p, len(w) // 2, low, high) for (s, p, low, high), w in own])))
+                lists[t] = [w for _, w in own]
+            n = len(tasks)
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array([*tasks, lot % parts], pa.int32()),
+                    pa.array([lot] * (n + 1), pa.int64()),
+                    pa.array([*blobs, None], pa.binary()),
+                    pa.array([*[None] * n, squeeze(_members(lists))], pa.binary()),
+                ],
+                ["part", "lot", "run", "places"],
+            )
 
         for part, texts in _unpacked(batches):
             for row, text, spots in zip(part.column("row").to_pylist(), texts, part.column("spots").to_pylist()):
+                lot = row if lot < 0 else lot  # a lot has the number of its first row
                 for spot in spots:
-                    place = spot >> 17
-                    first, last = place - (spot >> 8 & 255), place - (spot & 255)
+                    place, high, low = spot >> 17, spot >> 8 & 255, spot & 255
                     if spot >> 16 & 1:
-                        for at in range(first, last + 1):
+                        for at in range(place - high, place - low + 1):
                             suffix = text[at : at + length]
-                            dealt.setdefault(crc32(suffix) % parts, {}).setdefault((suffix, b""), []).extend((row, at << 17))
-                        held += last - first
+                            dealt.setdefault(crc32(suffix) % parts, {}).setdefault((suffix, b"", 0, 0), []).extend((row, at))
+                        held += high - low
                     else:
-                        suffix = text[place : last + length]
+                        suffix = text[place : place - low + length]
                         own = dealt.setdefault(crc32(suffix[:GRAM]) % parts, {})
-                        own.setdefault((suffix, text[first:place]), []).extend((row, spot))
+                        own.setdefault((suffix, text[place - high : place], low, high), []).extend((row, place))
                 held += len(spots)
                 if held > RUN:
                     yield flush()
-                    held = 0
-        yield flush()
+                    held, lot = 0, -1
+        if lot >= 0:
+            yield flush()
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unsqueeze = zstandard.ZstdDecompressor().decompress
-        mine: dict[int, list[bytes]] = {}
+        squeeze, unsqueeze = zstandard.ZstdCompressor(level=1).compress, zstandard.ZstdDecompressor().decompress
+        mine: dict[int, list[tuple[int, bytes]]] = {}
         for batch in batches:
-            for part, run in zip(batch.column("part").to_pylist(), batch.column("run").to_pylist()):
-                mine.setdefault(part, []).append(run)
+            places = batch.filter(pc.is_valid(batch.column("places")))
+            yield places
+            for part, lot, run in zip(*(batch.column(c).to_pylist() for c in ("part", "lot", "run"))):
+                if run is not None:
+                    mine.setdefault(part, []).append((lot, run))
         for part in list(mine):
-            for row, first, behind in repeats([unsqueeze(r) for r in mine.pop(part)], length):
-                yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(first), pa.array(behind)], ["row", "a", "b"])
-
-    sent = packed.join(spots.hint("shuffle_hash"), "row").mapInArrow(runs, "part int, run binary").repartition(tasks, "part")
-    spans = sent.mapInArrow(sort, "row bigint, a bigint, b bigint")
-    return spans.groupBy("row").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
+            lots, blobs = zip(*mine.pop(part))
+            found = list(repeats([unsqueeze(b) for b in blobs], length))
+            if not found:
+                continue
+            told = np.concatenate(found)
+            told = told[np.argsort(told[:, 0], kind="stable")]
+            which, at = np.unique(told[:, 0], return_index=True)
+            out = [squeeze(v[:, 1:].astype("<i8").tobytes()) for v in np.split(told, at[1:])]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([part] * len(out), pa.int32()), pa.array([lots[k] for k in which], pa.int64()), pa.array(out, pa.binary()), pa.nulls(len(out), pa.binary())],
+                ["part", "lot", "run", "places"],
+            )
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unsqueeze = zstandard.ZstdDecompressor().decompress
+        kind = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
+        for batch in batches:
+            for k in range(batch.num_rows):
+                told = batch.column("told")[k].as_py()
+                verdicts = [(v["part"], np.frombuffer(unsqueeze(v["run"]), "<i8").reshape(-1, 3)) for v in told]
+                row, first, behind = _spans(unsqueeze(batch.column("places")[k].as_py()), verdicts, length)
+                at = np.flatnonzero(np.diff(row, prepend=-1))
+                pairs = pa.StructArray.from_arrays([pa.array(first), pa.array(behind)], ["a", "b"])
+                lists = pa.ListArray.from_arrays(pa.array(np.append(at, len(row)), pa.int32()), pairs)
+                yield pa.RecordBatch.from_arrays([pa.array(row[at]), lists.cast(kind)], ["row", "spans"])
+
+    # A merge join leaves rows in the order of their numbers, which makes lots the same whenever a task runs again.
+    sent = packed.join(spots.hint("merge"), "row").select("row", "packed", "spots").mapInArrow(runs, kinds).repartition(tasks, "part")
+    back = sent.mapInArrow(sort, kinds)
+    told = F.collect_list(F.when(F.col("run").isNotNull(), F.struct("part", "run"))).alias("told")
+    lots = back.groupBy("lot").agg(told, F.max("places").alias("places")).where(F.size("told") > 0)
+    return lots.mapInArrow(spread, "row bigint, spans array<struct<a:bigint,b:bigint>>")
 
 
 def _cut(text: bytes, spans: list[dict] | None) -> tuple[bytes, int, int]:
     """What is left of a text, bytes removed, maximal runs removed."""
     if not spans:
         return text, 0, 0
-    kept, end, runs = [], 0, 0
-    for a, b in sorted((s["a"], s["b"]) for s in spans):
-        if a > end or not runs:
-            kept.append(text[end:a])
-            runs, end = runs + 1, b
-        else:
-            end = max(end, b)
-    kept.append(text[end:])
-    left = b"".join(kept)
-    return left, len(text) - len(left), runs
+    ends = [0, *(s["b"] for s in spans)]
+    starts = [*(s["a"] for s in spans), len(text)]
+    left = b"".join(text[a:b] for a, b in zip(ends, starts))
+    return left, len(text) - len(left), len(spans)
 
 
 def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = 200, hot: int = HOT, kept: str | None = "binary") -> DataFrame:

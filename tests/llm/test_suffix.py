@@ -63,7 +63,7 @@ def test_edges_of_repeats_with_different_partners(spark, monkeypatch):
 def test_merge_gives_order_and_shared_prefixes():
     rng = random.Random(1)
     runs = [sorted(bytes(rng.choice(b"ab") for _ in range(rng.randint(1, 9))) for _ in range(rng.randint(0, 30))) for _ in range(7)]
-    got = list(suffix_dedup.merge([suffix_dedup.decode(suffix_dedup.front_code([(s, b"", [0, 0]) for s in r])) for r in runs]))
+    got = list(suffix_dedup.merge([suffix_dedup.decode(suffix_dedup.front_code([(s, b"", 1, 0, 0) for s in r])) for r in runs]))
     want = sorted(s for r in runs for s in r)
     assert [g[1] for g in got] == want
     assert [g[0] for g in got[1:]] == [suffix_dedup.common(a, b, 0) for a, b in zip(want, want[1:])]
@@ -80,3 +80,32 @@ def test_unpacked_texts_are_bounded_by_bytes():
     parts = [got for _, got in suffix_dedup._unpacked(iter([batch, batch.slice(0, 0)]))]
     assert [t for got in parts for t in got] == texts
     assert all(sum(map(len, got)) <= SLICE_BYTES + max(map(len, got)) for got in parts)
+
+
+def made(df):
+    """Rows that the frame of spans holds, and those of its texts."""
+    return df.count(), df.select("row").distinct().count()
+
+
+@pytest.mark.parametrize("kind", ["passage", "line"])
+def test_one_row_for_each_text_however_often_a_string_recurs(spark, kind):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(8))
+    passage, line = " ".join(word() for _ in range(115)), "one line that recurs within its text\n"
+    texts = [f"{word()} {passage if kind == 'passage' else line * 40} {word()}" for _ in range(400)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(7)
+    packed = suffix_dedup._packed(frame, "text")
+    for hot in (10, 50_000):
+        spots, tasks = suffix_dedup._live_anchors(packed, 200, hot)
+        spans = suffix_dedup._repeated_spans(packed, spots, tasks, 200)
+        assert made(spans) == (400, 400)
+        assert spans.selectExpr("max(size(spans))").first()[0] == 1
+        assert rows(suffix_dedup.remove_repeats(frame, hot=hot)) == wanted(frame, 200)
+
+
+def test_spans_are_joined_by_text():
+    import numpy as np
+
+    got = suffix_dedup.joined(np.array([7, 3, 7, 3, 7]), np.array([50, 0, 0, 10, 20]), np.array([60, 10, 30, 12, 25]))
+    assert [x.tolist() for x in got] == [[3, 7, 7], [0, 0, 50], [12, 30, 60]]
+    assert [len(x) for x in suffix_dedup.joined(*[np.zeros(0, np.int64)] * 3)] == [0, 0, 0]
