@@ -7,12 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import additive_quality, kd_shards, mixing, mtree, rule_forest, sentencepiece_codec, simhash_vp, suffix_dedup, toxic_grammar, warc
-from millrace.llm.common import stage_table
+from millrace.llm import (
+    additive_quality,
+    conversation_repair,
+    kd_shards,
+    mixing,
+    mtree,
+    periodic_runs,
+    rule_forest,
+    sentencepiece_codec,
+    simhash_vp,
+    suffix_dedup,
+    token_counts,
+    toxic_grammar,
+    warc,
+)
+from millrace.llm.common import WORD, stage_table
 from millrace.plans.registry import load
 
 #: A public model; another file may be given to the operator.
 SENTENCEPIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+#: SHA-256 of nothing.
+EMPTY = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -158,3 +174,52 @@ def op5_toxicity_grammar(spark: SparkSession, folder: str) -> DataFrame:
 def op9_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     tokens = sentencepiece_codec.encode(load(spark, folder, "documents", "doc_id", "text"), SENTENCEPIECE_MODEL)
     return tokens.select("doc.doc_id", "n_tokens", "ids", "parity", "round_trip")
+
+
+def damaged_turns(turns: DataFrame) -> DataFrame:
+    """Conversations with the faults that a checksum of (conversation, turn) picks; NULLs are one blank."""
+    blank = F.lit(" ")
+    key = F.concat(F.coalesce(F.col("conv_id").cast("string"), blank), F.lit(":"), F.coalesce(F.col("turn").cast("string"), blank))
+    kind = (F.crc32(key.cast("binary")) % 20).alias("kind")
+    rows = turns.select("conv_id", "turn", F.coalesce("role", blank).alias("role"), F.coalesce("text", blank).alias("text"), kind).where("kind <> 0")
+    text = F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    role = F.when(F.col("kind") == 4, "user").otherwise(F.col("role"))
+    copies = F.explode(F.when(F.col("kind") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), copies.alias("copy")).drop("copy")
+
+
+@query()
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    turns = load(spark, folder, "conversations")
+    repaired = conversation_repair.repair(damaged_turns(turns))
+    joined = turns.select("conv_id").distinct().join(repaired, F.col("conv_id").eqNullSafe(F.col("conv")), "left").drop("conv")
+    return joined.na.fill({c: 0 for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")} | {"audit": "", "repaired_sha256": EMPTY})
+
+
+@query()
+def op12_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    counted = token_counts.count_tokens(load(spark, folder, "documents", "doc_id", "text"), SENTENCEPIECE_MODEL, limit=4096)
+    return counted.select("doc.doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+def looped_texts(docs: DataFrame) -> DataFrame:
+    """Documents of which the checksum of the id makes one in ten repeat some of its words to its end; a NULL id is the empty text."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    g, words = F.floor(h / 10), F.regexp_extract_all("text", F.lit(f"({WORD})"))
+    facts = docs.select("doc_id", "text", g.alias("g"), F.when(h % 10 == 0, words).alias("words"))
+    facts = facts.withColumn("n", F.size("words")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    facts = facts.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    place = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+    looped = F.array_join(F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.get("words", place(i))), " ")
+    return facts.select("doc_id", F.when(F.col("n") > 0, looped).otherwise(F.col("text")).alias("text"))
+
+
+@query()
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic_runs.find_runs(looped_texts(load(spark, folder, "documents", "doc_id", "text")))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n"))), "")
+    best = F.array_sort("runs", lambda x, y: F.when(x.length != y.length, y.length - x.length).when(x.start != y.start, x.start - y.start).otherwise(x.period - y.period).cast("int"))
+    rows = found.select("doc.doc_id", F.size("runs").cast("bigint").alias("n_runs"), F.get(best, F.lit(0)).alias("best"), lines.alias("lines"), "collapsed")
+    milli = F.floor(F.col("best.length") * 1000 / F.col("best.period")).cast("bigint")
+    digests = [F.sha2("lines", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256")]
+    return rows.select("doc_id", "n_runs", "best.start", "best.length", "best.period", milli.alias("exponent_milli"), *digests)
