@@ -188,7 +188,75 @@ def damaged_turns(turns: DataFrame) -> DataFrame:
     return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), copies.alias("copy")).drop("copy")
 
 
-@query()
+def _repair_sql() -> str:
+    """The edits in SQL: for each of the four states the least (cost, edits, lines) of the turns so far, turn by turn."""
+    best = lambda *ways: f"list_sort([{', '.join(ways)}])[1]"
+    way = lambda of, cost, letter, line="''": f"{{'c': {of}.c + {cost}, 'e': {of}.e || '{letter}', 'r': {of}.r || {line}}}"
+    due = {0: "user", 1: "user", 2: "assistant", 3: "user"}
+    new = {k: f"chr(10) || '{v}:'" for k, v in due.items()}
+    third = best("w[3]", *(way(f"w[{s + 1}]", 2, "I", new[s]) for s in (0, 1, 3)))
+    inserted = f"[w[1], w[2], {third}, {best('w[4]', way(third, 2, 'I', new[2]))}]"
+    own, far = "chr(10) || role || ':' || text", 1_000_000_000
+    keep = lambda s, kind: way(f"v[{s + 1}]", f"stays + (CASE WHEN kind = '{kind}' THEN 0 ELSE {far} END)", "K", own)
+    again = lambda s: way(f"v[{s + 1}]", "stays + 2", "R", f"{new[s]} || text")
+    gone = lambda s: way(f"v[{s + 1}]", 3, "D")
+    taken = [
+        gone(0),
+        best(gone(1), keep(0, "s")),
+        best(gone(2), *(x for s in (0, 1, 3) for x in (again(s), keep(s, "u")))),
+        best(gone(3), again(2), keep(2, "a")),
+    ]
+    begin = ", ".join(f"{{'c': CAST({0 if s == 0 else far} AS BIGINT), 'e': '', 'r': ''}}" for s in range(4))
+    blanks = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    return f"""
+WITH RECURSIVE crc AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) r(i))
+), keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda x: CAST(ascii(x) AS BIGINT)) AS bytes
+  FROM conversations
+), marked AS (
+  SELECT conv_id, turn, role, text,
+         xor(list_reduce(list_prepend(4294967295, bytes), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS kind FROM keyed, crc
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM marked WHERE kind <> 0
+), placed AS (
+  SELECT conv_id, turn, role, text, left(role, 1) AS kind, rtrim(text, {blanks}) AS rest,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS idx
+  FROM damaged
+), copies AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY idx) AS copy FROM placed
+), turns AS (
+  SELECT *, CASE WHEN rest = '' THEN 'blank' WHEN copy > 1 THEN 'duplicate' WHEN right(rest, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault,
+         kind || lead(kind) OVER (PARTITION BY conv_id ORDER BY idx) AS pair
+  FROM copies
+), facts AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM turns GROUP BY conv_id
+), steps AS (
+  SELECT conv_id, idx, kind, role, text, CASE WHEN fault = 'truncated' THEN 1 WHEN fault IS NULL THEN 0 ELSE {far} END AS stays FROM turns
+), ways(conv_id, i, w) AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT), [{begin}] FROM conversations
+  UNION ALL
+  SELECT conv_id, i + 1, [{', '.join(taken)}] FROM (
+    SELECT ways.conv_id, i, kind, role, text, stays, {inserted} AS v FROM ways JOIN steps ON ways.conv_id IS NOT DISTINCT FROM steps.conv_id AND i = idx)
+), ends AS (
+  SELECT ways.conv_id, {best('v[1]', 'v[4]')} AS won FROM (SELECT conv_id, i, {inserted} AS v FROM ways) ways
+  LEFT JOIN facts ON ways.conv_id IS NOT DISTINCT FROM facts.conv_id WHERE i = coalesce(n, 0)
+)
+SELECT ends.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, won.c AS cost, won.e AS audit, sha256(substr(won.r, 2)) AS repaired_sha256
+FROM ends LEFT JOIN facts ON ends.conv_id IS NOT DISTINCT FROM facts.conv_id
+"""
+
+
+@query(_repair_sql())
 def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     turns = load(spark, folder, "conversations")
     repaired = conversation_repair.repair(damaged_turns(turns))
