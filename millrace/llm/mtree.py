@@ -1,15 +1,17 @@
 """Exact top-k by inner product: best-first search over paged M-trees.
 
 Vectors are turned into whole numbers and lifted to one length by one more coordinate, sqrt(M^2 - |x|^2), so that the
-largest inner products are the smallest distances and the triangle inequality holds. Vectors are dealt to pages by the
-nearest of a few pivots (a bounded sample); a cell with many vectors becomes several pages. A task builds the M-tree of a
-page: nodes hold routing vectors with a covering radius and the distance to the parent's routing vector, leaves hold
-vectors with their distance to the leaf's routing vector.
-
-Queries meet groups of pages in blocks. A query keeps a heap of nodes by their least possible distance and stops when that
-is beyond its k-th best. A child or vector is left out without computing its distance if the difference between the two
-stored or known distances to the parent already puts it beyond. Pivots are rows of the table, so their exact scores give
-each query a first bound. Pruning compares distances with a margin above rounding, scores are exact integers.
+largest inner products are the smallest distances and the triangle inequality holds. Vectors are dealt to cells by the
+nearest of a few pivots (a sample, about one for each page); cells that are too large are dealt again by pivots of their own,
+until each fits into a page. Only copies of one vector, which lie in a ball of radius 0, are cut by a hash. A task builds the
+M-tree of a page: nodes hold routing vectors with a covering radius and the distance to the parent's routing vector, leaves
+hold vectors with their distance to the leaf's routing vector.
+
+A query first searches the page that it lies in, which gives its k-th best score so far. A directory of the pages' balls (a
+row for each page) then tells which others may hold better ones; groups of pages without such a page never see the query.
+In a group, a query keeps a heap of nodes by their least possible distance and stops when that is beyond its k-th best. A
+child or vector is left out without computing its distance if the difference between the two stored or known distances to
+the parent already puts it beyond. Pruning compares distances with a margin above rounding, scores are exact integers.
 
 Defined results: vectors that are NULL, hold NULL, NaN or infinite components, or differ in length from most take no part,
 neither as queries nor as candidates; a row is never its own candidate, but repeated rows are candidates of each other; ties
@@ -30,17 +32,24 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import stage_table
 
-#: Pivots, vectors of a page, entries of a leaf, children of an inner node, vectors in a group of pages, queries in a block.
-PIVOTS, PAGE, LEAF, FAN, GROUP, BLOCK = 512, 4_096, 256, 16, 32_768, 8_192
+#: Least and most vectors of a page, pages that a table is cut into at least and at most (before the bounds of a page).
+SMALL, LARGE, FEW, MANY = 256, 65_536, 64, 65_536
+#: Entries of a leaf, children of an inner node, vectors in a group of pages, queries in a block, rounds of cutting cells.
+LEAF, FAN, GROUP, BLOCK, ROUNDS = 32, 16, 65_536, 8_192, 6
 NO_ID = np.iinfo(np.int64).max
 
 
-def whole_vectors(table: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
-    """(row, id, v: array of floor(scale * x)) of the vectors that take part."""
+def whole_vectors(table: DataFrame, is_query: Column, id_col: str, vector_col: str, scale: int) -> DataFrame:
+    """(row, id, asks, v: array of floor(scale * x)) of the vectors that take part."""
     x = F.col("x")
     sound = x.isNotNull() & F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
-    rows = table.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast("array<double>").alias("x")).where(sound)
-    return rows.select("row", "id", F.transform("x", lambda c: F.floor(c * scale)).alias("v"))
+    rows = table.select(
+        F.monotonically_increasing_id().alias("row"),
+        F.col(id_col).cast("bigint").alias("id"),
+        F.coalesce(is_query, F.lit(False)).alias("asks"),
+        F.col(vector_col).cast("array<double>").alias("x"),
+    )
+    return rows.where(sound).select("row", "id", "asks", F.transform("x", lambda c: F.floor(c * scale)).alias("v"))
 
 
 class Page:
@@ -128,11 +137,11 @@ class Page:
 def search(pages: list[Page], roots: np.ndarray, query: np.ndarray, norm: float, top: int, own: int, floor: int | None) -> tuple[list[tuple[int, int, int]], int]:
     """The ``top`` best (score, id, row) of the pages, and how many distances were computed.
 
-    ``roots``: products of the query with the roots' routing vectors; ``norm``: |query|^2 + M^2; ``floor``: a score that
-    ``top`` candidates reach.
+    ``roots``: products of the query with the roots' routing vectors, NaN for pages that are not to be searched; ``norm``:
+    |query|^2 + M^2; ``floor``: a score that ``top`` candidates reach.
     """
     best: list[tuple[int, int, int]] = []  # a heap of (score, -id, -row), worst first
-    done = len(pages)
+    done = int(np.count_nonzero(roots == roots))
 
     def reach() -> float:
         """Distance of the k-th best score with a margin above rounding."""
@@ -146,6 +155,8 @@ def search(pages: list[Page], roots: np.ndarray, query: np.ndarray, norm: float,
 
     heap = []
     for p, (page, ip) in enumerate(zip(pages, roots.tolist())):
+        if ip != ip:
+            continue
         d = max(0.0, norm - 2.0 * ip) ** 0.5
         heap.append((max(0.0, d - page.radius[0]), p, 0, d))
     heapq.heapify(heap)
@@ -190,92 +201,150 @@ def search(pages: list[Page], roots: np.ndarray, query: np.ndarray, norm: float,
     return sorted(((s, -i, -r) for s, i, r in best), key=lambda b: (-b[0], b[1], b[2])), done
 
 
-def top_k(table: DataFrame, is_query: Column, k: int = 5, scale: int = 256, id_col: str = "vec_id", vector_col: str = "embedding", page: int = PAGE) -> DataFrame:
+def _matrix(column, size: int) -> np.ndarray:
+    flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return flat.flatten().to_numpy().reshape(len(flat), size)
+
+
+def _distances(v: np.ndarray, to: np.ndarray, longest: float) -> np.ndarray:
+    """[vector, pivot] distances of lifted vectors."""
+    square, squares = (v * v).sum(1), (to * to).sum(1)
+    lift, lifts = np.sqrt(np.maximum(0, longest - square)), np.sqrt(np.maximum(0, longest - squares))
+    near = square[:, None] + squares[None, :] - 2 * (v @ to.T)
+    return np.sqrt(np.maximum(0, near) + (lift[:, None] - lifts[None, :]) ** 2)
+
+
+def _cells(rows: DataFrame, size: int, longest: float, page: int) -> tuple[DataFrame, dict[int, int]]:
+    """The rows with their ``cell``, and the size of every cell.
+
+    Rows of cells that exceed a page are dealt anew to pivots of their own cell, about one for each page that it fills; what
+    is collected are a pivot and a size for each cell. Cells of copies of one vector stay whole.
+    """
+    schema, kept = "row bigint, id bigint, asks boolean, v array<bigint>, cell bigint, far double", ["row", "id", "asks", "v"]
+    celled = rows.select("*", F.lit(0).cast("bigint").alias("cell"), F.lit(1.0).alias("far"))
+    large, done, names = {0: rows.count()}, {}, 1
+    for _ in range(ROUNDS):
+        share = F.create_map(*[F.lit(x) for c, n in large.items() for x in (c, -(-n // page) / n)])
+        luck = F.pmod(F.xxhash64("row", F.lit(names)), F.lit(1 << 30)) / F.lit(1 << 30)
+        drawn = celled.where(F.col("cell").isin(*large)).where(luck < share[F.col("cell")]).select("cell", "v").distinct().collect()
+        pivots: dict[int, list] = {}
+        for cell, v in drawn:
+            pivots.setdefault(cell, []).append(v)
+        first = {}
+        for cell, own in pivots.items():
+            first[cell], names = names, names + len(own)
+        sent = rows.sparkSession.sparkContext.broadcast({c: (first[c], np.array(own, np.int64).reshape(-1, size)) for c, own in pivots.items()})
+
+        def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                v = _matrix(batch.column("v"), size).astype(float)
+                cell, far = batch.column("cell").to_numpy().copy(), batch.column("far").to_numpy(zero_copy_only=False).copy()
+                for c in np.unique(cell):
+                    if int(c) in sent.value:
+                        base, to = sent.value[int(c)]
+                        mine = np.flatnonzero(cell == c)
+                        d = _distances(v[mine], to.astype(float), longest)
+                        cell[mine], far[mine] = base + d.argmin(1), d.min(1)
+                yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in kept), pa.array(cell), pa.array(far)], [*kept, "cell", "far"])
+
+        celled = stage_table(celled.mapInArrow(deal, schema))
+        found = celled.groupBy("cell").agg(F.count("*").alias("n"), F.max("far").alias("far")).collect()
+        done = {r.cell: r.n for r in found}
+        large = {r.cell: r.n for r in found if r.n > 2 * page and r.far > 1e-3}
+        if not large:
+            break
+    return celled, done
+
+
+def top_k(
+    table: DataFrame, is_query: Column, k: int = 5, scale: int = 256, id_col: str = "vec_id", vector_col: str = "embedding", page: int | None = None
+) -> DataFrame:
     """(query_row, query_id, rank, id, score, computed): the k best of every row for which ``is_query`` holds.
 
-    ``computed`` is the number of distances that the query's searches needed.
+    ``computed`` is the number of distances that the query's searches needed, without the look at the directory.
     """
     spark = table.sparkSession
-    marked = table.withColumn("__query", F.coalesce(is_query, F.lit(False)))
-    rows = whole_vectors(table, id_col, vector_col, scale).join(
-        marked.select(F.monotonically_increasing_id().alias("row"), "__query").where("__query"), "row", "left"
-    )
-    rows = stage_table(rows.select("row", "id", "v", F.coalesce("__query", F.lit(False)).alias("asks")))
+    rows = stage_table(whole_vectors(table, is_query, id_col, vector_col, scale))
     lengths = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
     size = lengths[0] if lengths else 0
     rows = rows.where(F.size("v") == size)
     square = F.aggregate("v", F.lit(0).cast("bigint"), lambda a, x: a + x * x)
     facts = rows.agg(F.count("*").alias("n"), F.max(square).alias("most"), F.count_if("asks").alias("asks")).first()
     longest = float(facts.most or 0)
-    picked = rows.orderBy(F.xxhash64("row"), "row").limit(PIVOTS).select("row", "v").collect()
-    sent = spark.sparkContext.broadcast((np.array([r[0] for r in picked]), np.array([r[1] for r in picked], np.int64).reshape(len(picked), size)))
-    groups = max(1, -(-facts.n // GROUP))
-    groups = max(groups, min(int(spark.conf.get("spark.sql.shuffle.partitions")), facts.n // 2_048))
-    blocks = max(1, -(-facts.asks // BLOCK))
-
-    def matrix(batch, column: str = "v") -> np.ndarray:
-        flat = batch.column(column)
-        flat = flat.combine_chunks() if isinstance(flat, pa.ChunkedArray) else flat
-        return flat.flatten().to_numpy().reshape(len(flat), size)
-
-    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            v = matrix(batch).astype(float)
-            pivots = sent.value[1].astype(float)
-            lift = np.sqrt(np.maximum(0, longest - (v * v).sum(1)))
-            pivot_lift = np.sqrt(np.maximum(0, longest - (pivots * pivots).sum(1)))
-            cell = (v @ pivots.T + lift[:, None] * pivot_lift[None, :]).argmax(1) if len(v) else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("id"), batch.column("v"), pa.array(cell.astype(np.int32))], ["row", "id", "v", "cell"])
-
-    celled = stage_table(rows.select("row", "id", "v").mapInArrow(assign, "row bigint, id bigint, v array<bigint>, cell int"))
-    sizes = celled.groupBy("cell").count().collect()  # a row for each pivot at most
-    first, last = {}, 0
-    for cell, n in sorted(sizes):
-        first[cell] = (last, -(-n // page))
-        last += -(-n // page)
-    place = F.lit(None).cast("int")
-    if first:
-        starts = F.create_map(*[F.lit(x) for c, (s, _) in first.items() for x in (c, s)])
-        many = F.create_map(*[F.lit(x) for c, (_, m) in first.items() for x in (c, m)])
-        place = (starts[F.col("cell")] + F.pmod(F.xxhash64("row"), many[F.col("cell")])).cast("int")
+    page = page or max(SMALL, min(facts.n // FEW, LARGE), facts.n // MANY)
+    celled, sizes = _cells(rows, size, longest, page) if facts.n else (rows.select("*", F.lit(0).cast("bigint").alias("cell")), {})
+    pieces = spark.createDataFrame([(c, max(1, round(n / page))) for c, n in sizes.items() if n > 2 * page], "cell bigint, pieces bigint")
+    cut = F.pmod(F.xxhash64("row"), F.coalesce("pieces", F.lit(1)))
+    placed = celled.join(F.broadcast(pieces), "cell", "left").select("row", "id", "asks", "v", (F.col("cell") * 65_536 + cut).alias("page"))
 
     def build(table: pa.Table) -> pa.Table:
-        v = matrix(table)
+        v = _matrix(table.column("v"), size)
         lift = np.sqrt(np.maximum(0.0, longest - (v * v).sum(1)))
-        ids = pc_fill(table.column("id"))
+        ids = np.array([NO_ID if i is None else i for i in table.column("id").to_pylist()], np.int64)
         tree = Page(v, lift, table.column("row").to_numpy(), ids)
-        return pa.table({"page": table.column("page")[:1], "tree": pa.array([tree.pack()], pa.binary())})
-
-    def pc_fill(column) -> np.ndarray:
-        return np.array([NO_ID if i is None else i for i in column.to_pylist()], np.int64)
-
-    pages = celled.withColumn("page", place).groupBy("page").applyInArrow(build, "page int, tree binary")
-    pages = stage_table(pages)
-    asked = rows.where("asks").select("row", "id", "v", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int").alias("block"))
-    left = pages.select("tree", F.pmod(F.col("page"), F.lit(groups)).alias("group"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    right = asked.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+        ball = [pa.array([tree.routes[0].astype(np.int64)], pa.list_(pa.int64())), pa.array([tree.radius[0]])]
+        return pa.table([table.column("page")[:1], pa.array([tree.pack()], pa.binary()), *ball], names=["page", "tree", "route", "radius"])
+
+    pages = stage_table(placed.groupBy("page").applyInArrow(build, "page bigint, tree binary, route array<bigint>, radius double"))
+    balls = pages.select("page", "route", "radius").orderBy("page").collect()  # a row for each page
+    groups = max(1, -(-facts.n // GROUP), min(int(spark.conf.get("spark.sql.shuffle.partitions")), len(balls) // 2))
+    group_of = {b.page: i % groups for i, b in enumerate(balls)}
+    directory = spark.sparkContext.broadcast(
+        (np.array([b.page for b in balls]), np.array([b.route for b in balls], float).reshape(len(balls), size), np.array([b.radius for b in balls]), np.array(list(group_of.values())))
+    )
+    kind = "query_row bigint, query_id bigint, id bigint, row bigint, score bigint, computed bigint"
 
     def answer(trees: pa.Table, questions: pa.Table) -> pa.Table:
         found = {c: [] for c in ("query_row", "query_id", "id", "row", "score", "computed")}
         opened = [Page.unpack(blob) for blob in trees.column("tree").to_pylist()]
+        numbers = trees.column("page").to_numpy()
         if opened and questions.num_rows:
-            pivot_rows, pivots = sent.value
-            vectors = matrix(questions).astype(float)
-            known = vectors @ pivots.T.astype(float)
+            vectors = _matrix(questions.column("v"), size).astype(float)
             roots = vectors @ np.stack([p.routes[0] for p in opened]).T
-            for row, i, q, scores, own in zip(questions.column("row").to_pylist(), questions.column("id").to_pylist(), vectors, known, roots):
-                others = np.sort(scores[pivot_rows != row])[::-1]
-                floor = int(others[k - 1]) if len(others) >= k else None
-                got, computed = search(opened, own, q, float(q @ q) + longest, k, row, floor)
+            own = questions.column("page").to_numpy()[:, None] == numbers[None, :]
+            second = np.array([f is not None for f in questions.column("again").to_pylist()])
+            roots[own & second[:, None]] = np.nan  # searched before
+            floors = questions.column("floor").to_pylist()
+            for row, i, q, products, floor in zip(questions.column("row").to_pylist(), questions.column("id").to_pylist(), vectors, roots, floors):
+                got, computed = search(opened, products, q, float(q @ q) + longest, k, row, floor)
+                got = got or [(None, None, None)]  # says what was computed
                 for at, (score, j, r) in enumerate(got):
                     for c, x in zip(found, (row, i, None if j == NO_ID else j, r, score, 0 if at else computed)):
                         found[c].append(x)
         return pa.table({c: pa.array(v, pa.int64()) for c, v in found.items()})
 
-    answers = left.groupBy("group", "block").cogroup(right.groupBy("group", "block")).applyInArrow(
-        answer, "query_row bigint, query_id bigint, id bigint, row bigint, score bigint, computed bigint"
-    )
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The groups with a page that may hold a better vector than the k-th best so far."""
+        numbers, routes, radius, group = directory.value
+        for batch in batches:
+            for start in range(0, batch.num_rows, 512):
+                part = batch.slice(start, 512)
+                q = _matrix(part.column("v"), size).astype(float)
+                floor = part.column("floor").fill_null(-(1 << 52)).to_numpy(zero_copy_only=False).astype(float)
+                norm = (q * q).sum(1) + longest
+                reach = np.sqrt(np.maximum(0, norm - 2 * floor))
+                near = np.sqrt(np.maximum(0, norm[:, None] - 2 * (q @ routes.T))) - radius <= (reach * (1 + 2e-6) + 2e-3)[:, None]
+                near &= part.column("page").to_numpy()[:, None] != numbers[None, :]
+                lists = [np.unique(group[n]).tolist() for n in near]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(lists, pa.list_(pa.int32()))], [*part.schema.names, "groups"])
+
+    # First the page of its own, cut into blocks where many queries lie.
+    asked = placed.where("asks").select("row", "id", "v", "page")
+    crowds = asked.groupBy("page").agg((F.floor(F.count("*") / BLOCK) + 1).alias("blocks"))
+    crowds = stage_table(crowds.join(pages.select("page", "tree"), "page").select("page", "tree", "blocks"))
+    mine = asked.join(crowds.select("page", "blocks").hint("shuffle_hash"), "page").withColumn("block", F.pmod(F.xxhash64("row"), "blocks"))
+    mine = mine.select("row", "id", "v", "page", "block", F.lit(None).cast("int").alias("again"), F.lit(None).cast("bigint").alias("floor"))
+    trees = crowds.select("page", "tree", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("block"))
+    first = stage_table(trees.groupBy("page", "block").cogroup(mine.groupBy("page", "block")).applyInArrow(answer, kind))
+    least = first.groupBy(F.col("query_row").alias("row")).agg(F.when(F.count("score") >= k, F.min("score")).alias("floor"))
+    # Then all others that its k-th best so far allows.
+    blocks = max(1, -(-facts.asks // BLOCK))
+    routed = asked.join(least, "row").mapInArrow(route, "row bigint, id bigint, v array<bigint>, page bigint, floor bigint, groups array<int>")
+    routed = routed.select("row", "id", "v", "page", F.lit(1).alias("again"), "floor", F.explode("groups").alias("group"), F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int").alias("block"))
+    held = spark.createDataFrame(list(group_of.items()), "page bigint, group int")
+    left = pages.join(F.broadcast(held), "page").select("page", "tree", "group", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+    others = left.groupBy("group", "block").cogroup(routed.groupBy("group", "block")).applyInArrow(answer, kind)
     by = Window.partitionBy("query_row")
-    order = by.orderBy(F.desc("score"), F.col("id").asc_nulls_last(), "row")
-    ranked = answers.withColumn("computed", F.sum("computed").over(by)).withColumn("rank", F.row_number().over(order))
-    return ranked.where(F.col("rank") <= k).select("query_row", "query_id", "rank", "id", "score", "computed")
+    order = by.orderBy(F.col("score").desc_nulls_last(), F.col("id").asc_nulls_last(), "row")
+    answers = first.unionByName(others).withColumn("computed", F.sum("computed").over(by)).withColumn("rank", F.row_number().over(order))
+    return answers.where((F.col("rank") <= k) & F.col("score").isNotNull()).select("query_row", "query_id", "rank", "id", "score", "computed")
