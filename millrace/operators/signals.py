@@ -5,11 +5,13 @@ from __future__ import annotations
 import itertools
 from collections.abc import Callable, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from millrace.functions.kernels import Kernel, inverse_distance
-from millrace.operators.series import over_series, with_neighbour
+from millrace.operators.series import LONGEST, home_stretch, over_series, stretch_bits, with_neighbour
 from millrace.operators.smoothing import Smoother, slope, smooth_many
 
 FEE = 0.002
@@ -176,11 +178,14 @@ def strategy_sweep(
     """Trades and log return of every parameter combination.
 
     Each (radius, power) is smoothed once, and both derivatives and their next values are put into the row, so no
-    window is repeated per combination. A row then multiplies only into the combinations in which it signals.
+    window is repeated per combination. A row stays one row per (radius, power), whatever the number of levels: the levels
+    that it crosses are an interval of the sorted ones, so a task plays a stretch of the series for all levels at once and
+    keeps a cell per combination of levels. What a stretch hands on (first and last signal, trades and gains between) is put
+    together along the series.
     """
     shapes = {f"_s{i}": shape for i, shape in enumerate(itertools.product(radii, powers))}
     smoothed = smooth_many(
-        df.select(*by, idx, value), value, {n: Smoother(r, p) for n, (r, p) in shapes.items()}, by, idx
+        df.select(*by, idx, value), value, {n: Smoother(r, p) for n, (r, p) in shapes.items()}, by, idx, arrays=True if len(shapes) > 2 else None
     )
 
     def build(frame: DataFrame, window: WindowSpec) -> DataFrame:
@@ -202,41 +207,101 @@ def strategy_sweep(
         return frame.withColumns({"_last": last, "_shapes": F.array(*entries)})
 
     rows = over_series(smoothed, build, by, idx, before=4, after=1)
-    rows = rows.select(*by, idx, value, "_last", F.inline("_shapes"))
-    params = ["radius", "power", "slope_level", "curvature_level"]
-    signalled = _signals_on_grid(rows, slope_levels, curvature_levels).select(*by, *params, idx, value, "signal")
-    keys = [*by, *params]
-    return strategy_returns(with_trades(signalled, keys, idx), value, fee, keys)
+    rows = rows.select(*by, idx, F.col(value).cast("double").alias("_price"), "_last", F.inline("_shapes"))
+    slopes, curves = (sorted({float(level) for level in levels}) for levels in (slope_levels, curvature_levels))
+    bits = stretch_bits(0, 0)
+    played = _played_stretches(rows, slopes, curves, fee, by, idx, bits)
+    levels = F.array(*[F.struct(F.lit(s).alias("slope_level"), F.lit(c).alias("curvature_level")) for s in slopes for c in curves])
+    cells = played.select(*by, "radius", "power", "_stretch", F.inline(F.arrays_zip(levels.alias("level"), *_CELL)))
+    keys = [*by, "radius", "power", "level"]
+    whole = F.struct("_stretch", *_CELL)
+    longest = df.schema[idx].metadata.get(LONGEST)
+    if longest is not None and longest <= 1 << bits:  # one stretch to a series
+        found = cells.select(*keys, F.array(whole).alias("_cells"))
+    else:
+        found = cells.groupBy(*keys).agg(F.array_sort(F.collect_list(whole)).alias("_cells"))
+
+    def go_on(done: Column, cell: Column) -> Column:
+        turns = (cell["first"] != done["last"]) & (cell["first"] != 0)
+        return F.struct(
+            F.when(cell["first"] == 0, done["last"]).otherwise(cell["last"]).alias("last"),
+            (done["trades"] + turns.cast("bigint") + cell["trades"]).alias("trades"),
+            (done["gain"] + F.when(turns, cell["first_gain"]).otherwise(0.0) + cell["gain"]).alias("gain"),
+        )
 
+    begin = F.struct(F.lit(SELL).alias("last"), F.lit(0).cast("bigint").alias("trades"), F.lit(0.0).alias("gain"))
+    total = found.select(*keys, F.aggregate("_cells", begin, go_on).alias("_total"))
+    return total.select(*by, "radius", "power", "level.*", F.col("_total.trades").alias("trades"), F.col("_total.gain").alias("log_return"))
 
-def _signals_on_grid(df: DataFrame, slope_levels: Sequence[float], curvature_levels: Sequence[float]) -> DataFrame:
-    """One row per combination of levels that gives a signal, as ``crossing_rule`` would.
 
-    A level is crossed if it lies between the two values, so crossed levels are picked per axis before the axes
-    are combined.
-    """
+BUY, SELL = 1, 2
+_CELL = ("first", "first_gain", "trades", "gain", "last")
 
-    def between(level: Column, name: str) -> Column:
-        a, b = F.col(name), F.col(f"{name}_later")
-        return ((a < level) & (level < b)) | ((b < level) & (level < a))
 
-    slopes = F.array(*[F.lit(float(level)) for level in slope_levels])
-    curves = F.array(*[F.lit(float(level)) for level in curvature_levels])
-    crossed = F.filter(curves, lambda level: between(level, "c"))
-    by_slope = F.when(F.col("d") < F.col("d_later"), "sell").otherwise("buy")
-    by_curvature = F.when(F.col("c") > F.col("c_later"), "sell").otherwise("buy")
+def _crossed(levels: np.ndarray, here: np.ndarray, later: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The interval of sorted levels strictly between two values; empty if one is missing."""
+    low, high = np.fmin(here, later), np.fmax(here, later)
+    first, behind = np.searchsorted(levels, low, "right"), np.searchsorted(levels, high, "left")
+    sound = (here < later) | (later < here)
+    return np.where(sound, first, 0), np.where(sound, np.maximum(first, behind), 0)
 
-    def option(level: Column) -> Column:
-        decided = F.col("_last") | between(level, "d")
-        return F.struct(
-            level.alias("slope_level"),
-            F.when(decided, curves).otherwise(crossed).alias("_levels"),
-            F.when(F.col("_last"), "sell").when(decided, by_slope).otherwise(by_curvature).alias("signal"),
-        )
 
-    # Levels without a signal go before rows are made of the others.
-    options = df.select("*", F.inline(F.filter(F.transform(slopes, option), lambda o: F.size(o["_levels"]) > 0)))
-    return options.select("*", F.explode("_levels").alias("curvature_level"))
+def play_grid(table: Mapping[str, np.ndarray], slopes: Sequence[float], curves: Sequence[float], fee: float) -> dict[str, np.ndarray]:
+    """Play rows in order for all combinations of levels: arrays [slope level, curvature level] of ``_CELL``.
+
+    ``table``: price, last, d, d_later, c, c_later. The first signal of a cell has to wait for what went before it;
+    trades and gains count from the second one on.
+    """
+    shape = len(slopes), len(curves)
+    first, state, trades = np.zeros(shape, np.int32), np.zeros(shape, np.int32), np.zeros(shape, np.int64)
+    first_gain, gain = np.zeros(shape), np.zeros(shape)
+    top, bottom = _crossed(np.array(slopes), table["d"], table["d_later"])
+    left, right = _crossed(np.array(curves), table["c"], table["c_later"])
+    top, bottom = np.where(table["last"], 0, top), np.where(table["last"], len(slopes), bottom)
+    by_slope = np.where(table["last"] | (table["d"] < table["d_later"]), SELL, BUY)
+    by_curve = np.where(table["c"] > table["c_later"], SELL, BUY)
+    with np.errstate(all="ignore"):
+        prices = np.log(np.where(table["price"] > 0, table["price"], np.nan))
+        worth = {BUY: np.nan_to_num(np.log(1 - fee) - prices), SELL: np.nan_to_num(np.log(1 - fee) + prices)}
+
+    def signal(at: tuple[slice, slice], kind: int, worth: float) -> None:
+        before = state[at]
+        fresh = before == 0
+        turned = (before != kind) & ~fresh
+        trades[at] += turned
+        gain[at] += worth * turned
+        first[at][fresh], first_gain[at][fresh] = kind, worth
+        state[at] = kind
+
+    for k in np.flatnonzero((bottom > top) | (right > left)).tolist():
+        a, b, kind = int(top[k]), int(bottom[k]), int(by_slope[k])
+        if b > a:
+            signal((slice(a, b), slice(None)), kind, worth[kind][k])
+        if right[k] > left[k]:
+            columns, kind = slice(int(left[k]), int(right[k])), int(by_curve[k])
+            for rows in (slice(0, a), slice(b, None)):
+                signal((rows, columns), kind, worth[kind][k])
+    return dict(zip(_CELL, (first, first_gain, trades, gain, state)))
+
+
+def _played_stretches(
+    rows: DataFrame, slopes: Sequence[float], curves: Sequence[float], fee: float, by: Sequence[str], idx: str, bits: int
+) -> DataFrame:
+    """One row per (series, radius, power, stretch): arrays of the cells of all combinations of levels."""
+    keys = [*by, "radius", "power", "_stretch"]
+    names = ("d", "d_later", "c", "c_later")
+
+    def play(table: pa.Table) -> pa.Table:
+        table = table.sort_by(idx)
+        arrays = {n: table.column(n).to_numpy() for n in names}
+        arrays |= {"price": table.column("_price").to_numpy(), "last": table.column("_last").to_numpy()}
+        cells = play_grid(arrays, slopes, curves, fee)
+        return pa.table([*[table.column(k)[:1] for k in keys], *[pa.array([cells[c].ravel()]) for c in _CELL]], names=[*keys, *_CELL])
+
+    placed = rows.select(*by, idx, "_price", "_last", "radius", "power", *names, home_stretch(idx, bits).alias("_stretch"))
+    kinds = {"first": "int", "first_gain": "double", "trades": "bigint", "gain": "double", "last": "int"}
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in placed.select(*keys).schema.fields]
+    return placed.groupBy(*keys).applyInArrow(play, ", ".join([*fields, *[f"{c} array<{kinds[c]}>" for c in _CELL]]))
 
 
 def with_grid(df: DataFrame, axes: Mapping[str, Sequence], keep: Callable[[Column], Column] | None = None) -> DataFrame:

@@ -358,18 +358,27 @@ def strategy_log_return(spark, folder):
 SWEEP = {"radii": (2, 4), "powers": (1, 2), "slope_levels": (0.0, -0.5, -1.0), "curvature_levels": (0.0, 0.5)}
 
 
-def sweep_sql() -> str:
+#: A twentieth of the levels of a full search in each direction, on four radii and three powers.
+GRID = {
+    "radii": (10, 20, 30, 40),
+    "powers": (3, 4, 5),
+    "slope_levels": tuple(-k / 2 for k in range(11)),
+    "curvature_levels": tuple(k / 4 for k in range(11)),
+}
+
+
+def sweep_sql(grid: dict = SWEEP) -> str:
     ctes, shapes = [HOURS], []
-    for r in SWEEP["radii"]:
-        for p in SWEEP["powers"]:
+    for r in grid["radii"]:
+        for p in grid["powers"]:
             ctes.append(passes_sql(f"s{r}_{p}", "hours", p, r, r))
             ctes.append(slopes_sql(f"s{r}_{p}", name=f"d{r}_{p}"))
             shapes.append(
                 f"""SELECT {r} AS radius, {p} AS power, idx, raw, d, d2, lead(d) OVER w AS dn, lead(d2) OVER w AS d2n,
                     lead(idx) OVER w IS NULL AS last FROM d{r}_{p} WINDOW w AS (ORDER BY idx)"""
             )
-    slopes = ", ".join(f"({v}::DOUBLE)" for v in SWEEP["slope_levels"])
-    curves = ", ".join(f"({v}::DOUBLE)" for v in SWEEP["curvature_levels"])
+    slopes = ", ".join(f"({v}::DOUBLE)" for v in grid["slope_levels"])
+    curves = ", ".join(f"({v}::DOUBLE)" for v in grid["curvature_levels"])
     return f"""WITH {", ".join(ctes)}, shapes AS ({" UNION ALL ".join(shapes)}),
       sig AS (SELECT radius, power, t1 AS slope_level, t2 AS curvature_level, idx, raw, CASE WHEN last THEN 'sell'
           WHEN d < t1 AND dn > t1 THEN 'sell' WHEN d > t1 AND dn < t1 THEN 'buy'
@@ -392,3 +401,10 @@ def strategy_sweep(spark, folder):
 @query(f"SELECT * FROM ({sweep_sql()}) ORDER BY log_return DESC, radius, power, slope_level, curvature_level LIMIT 5")
 def sweep_topk(spark, folder):
     return signals.best_of(strategy_sweep(spark, folder), "log_return", 5)
+
+
+@query(sweep_sql(GRID))
+def strategy_sweep_grid(spark, folder):
+    """1,452 combinations, of which a row crosses few levels or all of them."""
+    out = signals.strategy_sweep(hour_series(spark, folder), "v", **GRID)
+    return rounded(out, 6, "log_return")

@@ -120,3 +120,32 @@ def test_signals_without_lookahead_lag_by_one(spark, prices):
     behind = column(signals.with_crossing_signals(sloped, by=["k"], lookahead=False), "signal")
     assert behind[1:-1] == ahead[:-2]
     assert behind[0] is None and behind[-1] == ahead[-1] == "sell"
+
+
+@pytest.mark.parametrize("mode", ["short", "cut"])
+def test_sweep_of_several_series_with_gaps(spark, prices, mode, request):
+    """Equal values, short series and levels that nothing or everything crosses, each combination against a trader."""
+    if mode == "cut":
+        request.getfixturevalue("cut")
+    series = {"a": prices[:150], "b": [100.0] * 40 + prices[150:210] + [100.0] * 40, "c": [5.0]}
+    rows = [(k, i, v) for k, vs in series.items() for i, v in enumerate(vs)]
+    df = spark.createDataFrame(rows, "k string, t bigint, v double")
+    # No level at 0, around which rounding decides where a series is flat.
+    slope_levels, curvature_levels = (1e9, 0.01, -0.5, 0.25, 0.25), (0.02, -1e9, 0.1)
+    swept = signals.strategy_sweep(with_position(df, ["t"], ["k"]), "v", (2,), (1,), slope_levels, curvature_levels, by=["k"]).collect()
+    assert len(swept) == 3 * 4 * 3
+    for r in swept:
+        values = series[r.k]
+        d = slopes(by_hand(values, 2, 1))
+        trades, log = trade(values, d, slopes(d), r.slope_level, r.curvature_level, signals.FEE)
+        assert (r.trades, r.log_return) == (trades, pytest.approx(log, rel=1e-9, abs=1e-12))
+
+
+def test_a_row_of_the_sweep_is_one_row_per_shape(spark, prices):
+    """The plan makes rows for shapes only; cells of combinations appear once per series."""
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(prices)], "t bigint, v double")
+    grid = [k / 100 for k in range(51)]
+    swept = signals.strategy_sweep(with_position(df, ["t"]), "v", (2,), (1,), [-g for g in grid], grid)
+    assert swept.count() == 51 * 51
+    plan = swept._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate inline") == 2 and "explode" not in plan
