@@ -108,25 +108,30 @@ def freq_sequences_grown(spark, folder):
     return found.select(F.array_join("sequence", ">").alias("sequence"), "freq")
 
 
-SETS = """sets AS (SELECT DISTINCT user_id, date_trunc('day', ts) AS day, date_trunc('hour', ts) AS hour, event_type AS item FROM events),
-  least AS (SELECT ceil(count(*) * 0.02::DOUBLE) AS n FROM (SELECT DISTINCT user_id, day FROM sets)),
-  pair AS (SELECT a.user_id, a.day, a.item AS x, b.item AS y, a.hour AS h, b.hour AS g FROM sets a JOIN sets b
-    ON a.user_id = b.user_id AND a.day = b.day AND (a.hour < b.hour OR a.hour = b.hour AND a.item < b.item)),
-  three AS (SELECT pair.user_id, pair.day, x, y, c.item AS z, h = g AS xy, g = c.hour AS yz FROM pair JOIN sets c
-    ON pair.user_id = c.user_id AND pair.day = c.day AND (g < c.hour OR g = c.hour AND y < c.item)),
-  found AS (SELECT DISTINCT user_id, day, item AS sequence FROM sets
-    UNION ALL SELECT DISTINCT user_id, day, x || CASE WHEN h = g THEN '+' ELSE '>' END || y FROM pair
-    UNION ALL SELECT DISTINCT user_id, day, x || CASE WHEN xy THEN '+' ELSE '>' END || y || CASE WHEN yz THEN '+' ELSE '>' END || z FROM three)"""
-
-
-@query(f"WITH {SETS} SELECT sequence, count(*) AS freq FROM found GROUP BY sequence HAVING count(*) >= (SELECT n FROM least)")
+def sets_sql(length: int) -> str:
+    """Frequent sequences of the hours' event types of a user's day, of up to ``length`` items: each row is a way to place a
+    pattern's last item, in the same hour behind a smaller item or in a later hour."""
+    ctes = [
+        """sets AS MATERIALIZED (SELECT DISTINCT user_id, date_trunc('day', ts) AS day, date_trunc('hour', ts) AS hour, event_type AS item FROM events),
+      least AS (SELECT ceil(count(*) * 0.02::DOUBLE) AS n FROM (SELECT DISTINCT user_id, day FROM sets)),
+      p1 AS MATERIALIZED (SELECT user_id, day, item AS sequence, item, hour FROM sets)"""
+    ]
+    for k in range(2, length + 1):
+        ctes.append(
+            f"""p{k} AS MATERIALIZED (SELECT DISTINCT p.user_id, p.day, p.sequence || CASE WHEN p.hour = s.hour THEN '+' ELSE '>' END || s.item AS sequence,
+            s.item, s.hour FROM p{k - 1} p JOIN sets s ON p.user_id = s.user_id AND p.day = s.day AND (s.hour > p.hour OR s.hour = p.hour AND s.item > p.item))"""
+        )
+    count = "SELECT sequence, count(DISTINCT (user_id, day)) AS freq FROM p{} GROUP BY 1 HAVING count(DISTINCT (user_id, day)) >= (SELECT n FROM least)"
+    return f"WITH {', '.join(ctes)} {' UNION ALL '.join(count.format(k) for k in range(1, length + 1))}"
+
+
+@query(sets_sql(5))
 def freq_itemset_sequences(spark, folder):
     """The event types of an hour are one item set of a user's day."""
     hour = F.date_trunc("hour", "ts").alias("hour")
     events = load(spark, folder, "events", "user_id", F.date_trunc("day", "ts").alias("day"), hour, "event_type")
-    rows = mining.sequences_of_sets(events, ["user_id", "day"], "hour", "event_type")
-    found = mining.frequent_sequences(rows, "sequence", SUPPORT, max_length=3)
-    sets = F.transform("sequence", lambda s: F.array_join(F.array_sort(s), "+"))
+    found = mining.grow_set_sequences(events, ["user_id", "day"], "hour", "event_type", SUPPORT, max_length=5)
+    sets = F.transform("sequence", lambda s: F.array_join(s, "+"))
     return found.select(F.array_join(sets, ">").alias("sequence"), "freq")
 
 

@@ -1,10 +1,13 @@
 import itertools
 import math
 import random
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.operators import mining
+from millrace.operators.series import with_position
 
 
 def sets_of(df):
@@ -115,3 +118,59 @@ def test_salted_item_join_gives_the_same_sets(spark, monkeypatch):
     plain = sets_of(mining.itemsets_of(mining.mine_pairs(df, ["b"], "i", 0.1)))
     monkeypatch.setattr(mining, "BROADCAST_ROWS", 0)
     assert sets_of(mining.itemsets_of(mining.mine_pairs(df, ["b"], "i", 0.1))) == plain
+
+
+def brute_sets(rows, min_support, max_length):
+    """Every pattern of item sets that some group holds, by growing all of its sub-patterns."""
+    groups = {}
+    for g, t, e in rows:
+        groups.setdefault(g, {}).setdefault(t, set()).add(e)
+    least, found = math.ceil(min_support * len(groups)), {}
+    for times in groups.values():
+        held = {((),)}
+        for t in sorted(times):
+            subsets = [c for n in range(1, max_length + 1) for c in itertools.combinations(sorted(times[t]), n)]
+            held |= {(*p, c) for p in held for c in subsets if sum(map(len, p)) + len(c) <= max_length}
+        for p in held - {((),)}:
+            found[p[1:]] = found.get(p[1:], 0) + 1
+    return {p: n for p, n in found.items() if n >= least}
+
+
+@pytest.mark.parametrize("bits", [1, None])
+@pytest.mark.parametrize("support,length", [(0.1, 3), (0.3, 5)])
+def test_grown_set_sequences(spark, bits, support, length):
+    rng = random.Random(7)
+    rows = [(g, t, rng.choice("abc")) for g in range(30) for t in range(rng.randrange(1, 4)) for _ in range(rng.randrange(1, 4))]
+    rows += [(99, t, rng.choice("abcz" if t > 9 else "ab")) for t in range(14) for _ in range(2)]
+    df = spark.createDataFrame(rows, "g int, t int, e string").repartition(3)
+    got = mining.grow_set_sequences(df, ["g"], "t", "e", support, max_length=length, bits=bits)
+    assert sequences_of(got) == brute_sets(rows, support, length)
+
+
+def test_set_sequences_equal_prefixspan(spark):
+    # Four sequences of item sets.
+    sequences = [[[1, 2], [3]], [[1], [3, 2], [1, 2]], [[1, 2], [5]], [[6]]]
+    rows = [(g, t, x) for g, s in enumerate(sequences) for t, items in enumerate(s) for x in items]
+    df = spark.createDataFrame(rows, "g int, t int, x int")
+    want = {((1,),): 3, ((2,),): 3, ((3,),): 2, ((1, 2),): 3, ((1,), (3,)): 2}
+    assert sequences_of(mining.grow_set_sequences(df, ["g"], "t", "x", 0.5)) == want
+
+
+def test_index_is_no_larger_than_the_events(spark, events):
+    rows, df = events
+    steps = with_position(df, ["t"], ["g"], "_idx").select("g", "_idx", F.col("e").alias("_item"), F.lit(1).alias("_size"))
+    for bits in (0, 2, 5):
+        index = mining.sparse_index(steps.withColumn("_stretch", F.shiftright("_idx", bits)), ["g"]).collect()
+        held = [(r.g, i["_item"], x) for r in index for i in r["_items"] for x in i["_at"]]
+        assert len(held) == len(set(held)) == len(rows) and len(index) <= len(rows)
+        assert all(x >> bits == r["_stretch"] for r in index for i in r["_items"] for x in i["_at"])
+        ends = {r.g: max(q["_stretch"] for q in index if q.g == r.g) for r in index}
+        assert all(r["_more"] == (r["_stretch"] < ends[r.g]) for r in index)
+
+
+def test_pairs_of_rare_items_are_never_made(spark):
+    """Groups of many items that no other group has: without their pairs this takes a moment, with them minutes."""
+    df = spark.range(20 * 1600).selectExpr("id div 1600 g", "id % 1600 t", "if(id % 1600 < 2, cast(id % 1600 as string), cast(id as string)) e")
+    began = time.time()
+    found = {tuple(r.sequence): r.freq for r in mining.frequent_pairs(df, ["g"], ["t"], "e", 0.5).collect()}
+    assert found == {("0",): 20, ("1",): 20, ("0", "1"): 20} and time.time() - began < 20
