@@ -429,6 +429,49 @@ def fit_linear(
     return model, weights
 
 
+def elastic_net_path(
+    sums: Moments, penalties: Sequence[float], share: float = 0.5, tolerance: float = 1e-12, most_rounds: int = 10_000
+) -> dict[float, Fit]:
+    """Penalised least squares for a path of penalties, from sums that one pass gave: weights by penalty.
+
+    ``share`` of a penalty is on absolute values, the rest on squares. Columns and target count in units of their sample
+    deviation; the constant, always fitted, is spared. Weights are updated one after the other: each takes the soft threshold of
+    what the others leave, which the sums of products tell without a look at the rows. The path goes from the largest penalty
+    down, each fit beginning at the one before. Constant columns get the weight 0.
+    """
+    at = [i for i, t in enumerate(sums.terms) if t != CONSTANT]
+    spread = np.sqrt(np.maximum(np.diagonal(sums.centred), 0) / max(1, sums.n - 1))
+    scale, unit = spread[at], spread[-1]
+    safe = np.where(scale > 0, scale, 1.0)
+    products = sums.centred[np.ix_(at, at)] / sums.n / safe[:, None] / safe[None, :]
+    toward = sums.centred[at, -1] / sums.n / safe / (unit or 1.0)
+    weights, fits = np.zeros(len(at)), {}
+    for penalty in sorted(penalties, reverse=True):
+        size = penalty / unit if unit else 0.0
+        moved, rounds = np.inf, 0
+        left = toward - products @ weights
+        while moved > tolerance and rounds < most_rounds:
+            moved, rounds = 0.0, rounds + 1
+            for j in range(len(at)):
+                if not scale[j]:
+                    continue
+                pull = left[j] + products[j, j] * weights[j]
+                new = np.sign(pull) * max(abs(pull) - share * size, 0.0) / (products[j, j] + (1 - share) * size)
+                if new != weights[j]:
+                    left -= products[:, j] * (new - weights[j])
+                    moved = max(moved, abs(new - weights[j]))
+                    weights[j] = new
+        plain = weights * unit / safe
+        told = {CONSTANT: float(sums.mean[-1] - sums.mean[at] @ plain)} | {sums.terms[i]: float(w) for i, w in zip(at, plain)}
+        fits[penalty] = Fit(told, moved <= tolerance, rounds)
+    return fits
+
+
+def path_frame(spark: SparkSession, fits: Mapping[float, Fit]) -> DataFrame:
+    rows = [(float(p), t, w) for p, fit in fits.items() for t, w in fit.weights.items()]
+    return spark.createDataFrame(rows, "penalty double, term string, coefficient double")
+
+
 def with_prediction(df: DataFrame, weights: Mapping[str, float], output: str = "predicted") -> DataFrame:
     """Append the weighted sum; a weight for ``constant`` needs no column of that name."""
     terms = dict(weights)

@@ -6,8 +6,8 @@ renormalised. A neighbourhood that holds a missing value, NULL or NaN, has the m
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -91,7 +91,7 @@ class Smoother:
             weight = weight + _pick(np.cumsum(weights[at:]) - weights[at], "_right")
         return _present(total(parts) / weight)
 
-    def arrays(self, values: np.ndarray, run: np.ndarray, powers: Sequence[int]) -> dict[int, np.ndarray]:
+    def arrays(self, values: np.ndarray, run: np.ndarray, powers: Sequence[int], places: np.ndarray) -> dict[int, np.ndarray]:
         """The passes over an array in which equal ``run`` numbers mark one series, after each of ``powers``.
 
         ``radius`` zeros between the series keep them apart, so a pass is one convolution.
@@ -109,6 +109,32 @@ class Smoother:
         return {power: results[power] for power in powers}
 
 
+@dataclass(frozen=True)
+class PositionSmoother(Smoother):
+    """A smoother whose kernel gets both positions: ``kernel(of the row, of the neighbour)``, as arrays of whole numbers.
+
+    Weights may thus change along the series. A pass adds up one shifted array per offset, each with weights of its own.
+    """
+
+    kernel: Callable[[np.ndarray, np.ndarray], np.ndarray] = field(default=None)  # type: ignore[assignment]
+
+    def arrays(self, values: np.ndarray, run: np.ndarray, powers: Sequence[int], places: np.ndarray) -> dict[int, np.ndarray]:
+        results = {0: values}
+        n = len(values)
+        for done in range(1, self.power + 1):
+            given = self.kernel if done == 1 or self.kernel_each_pass else lambda i, j: 1.0 / (np.abs(i - j) + 1)
+            weighted, weight = np.zeros((2, n))
+            for offset in range(-self.radius, (0 if self.causal else self.radius) + 1):
+                here = np.arange(max(0, -offset), max(0, min(n, n - offset)))
+                here = here[run[here] == run[here + offset]]
+                w = np.broadcast_to(np.asarray(given(places[here], places[here + offset]), float), here.shape)
+                weighted[here] += w * results[done - 1][here + offset]
+                weight[here] += w
+            with np.errstate(all="ignore"):
+                results[done] = weighted / weight
+        return {power: results[power] for power in powers}
+
+
 def _chains(smoothers: Mapping[str, Smoother]) -> list[tuple[Smoother, dict[int, list[str]]]]:
     """The strongest smoother of every chain, with the output columns of each power wanted from it."""
     strongest: dict[tuple, Smoother] = {}
@@ -147,6 +173,8 @@ def smooth_many(
     before = max(s.before for s in smoothers.values())
     after = max(s.after for s in smoothers.values())
     chains = _chains(smoothers)
+    if any(isinstance(s, PositionSmoother) for s in smoothers.values()):
+        arrays = True
     if arrays is None:
         arrays = sum(s.offsets for s, _ in chains) > COLUMN_OFFSETS
 
@@ -160,13 +188,13 @@ def smooth_many(
         # The window lays each series out in order within one partition, and marks where it starts.
         marked = frame.withColumn("_start", F.row_number().over(window) == 1)
         added = [T.StructField(output, T.DoubleType()) for output in smoothers]
-        passes = _batch_passes(chains, list(smoothers), value, before, after)
+        passes = _batch_passes(chains, list(smoothers), value, before, after, idx)
         return marked.mapInPandas(passes, T.StructType([*frame.schema.fields, *added]))
 
     return over_series(df, in_arrays if arrays else in_columns, by, idx, before, after, bits)
 
 
-def _batch_passes(chains, outputs: list[str], value: str, before: int, after: int):
+def _batch_passes(chains, outputs: list[str], value: str, before: int, after: int, idx: str = "idx"):
     """A mapInPandas function over rows sorted by series.
 
     It holds back the newest ``after`` rows and keeps the last ``before`` finished ones, so its memory does not
@@ -177,9 +205,10 @@ def _batch_passes(chains, outputs: list[str], value: str, before: int, after: in
     def finish(held: pd.DataFrame, start: int, stop: int) -> pd.DataFrame:
         run = np.cumsum(held["_start"].to_numpy(dtype=bool))
         values = held[value].to_numpy(dtype="float64")
+        places = held[idx].to_numpy() if idx in held else np.arange(len(held))
         computed = {}
         for smoother, names in chains:
-            for power, result in smoother.arrays(values, run, list(names)).items():
+            for power, result in smoother.arrays(values, run, list(names), places).items():
                 computed |= {name: result[start:stop] for name in names[power]}
         rows = held.iloc[start:stop].drop(columns="_start")
         return rows.assign(**{name: computed[name] for name in outputs})
@@ -220,6 +249,22 @@ def smooth(
     return smooth_many(df, value, {output: smoother}, by, idx)
 
 
+def smooth_by_position(
+    df: DataFrame,
+    value: str,
+    radius: int,
+    kernel: Callable[[np.ndarray, np.ndarray], np.ndarray],
+    power: int = 1,
+    causal: bool = False,
+    by: Sequence[str] = (),
+    idx: str = "idx",
+    output: str = "smoothed",
+    kernel_each_pass: bool = True,
+) -> DataFrame:
+    """``smooth`` with a kernel of both positions, see ``PositionSmoother``."""
+    return smooth_many(df, value, {output: PositionSmoother(radius, power, kernel, causal, kernel_each_pass)}, by, idx)
+
+
 def slope(value: str, window: WindowSpec, idx: str = "idx") -> Column:
     """Backward two-step difference, 0 for the first two positions. Looks 2 rows back."""
     return F.when(F.col(idx) <= 1, F.lit(0.0)).otherwise((F.col(value) - F.lag(value, 2).over(window)) / 2)

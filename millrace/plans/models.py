@@ -268,6 +268,50 @@ def elastic_net_one(spark, folder):
     return rounded(regression.coefficient_frame(spark, weights), 4, "coefficient")
 
 
+NET_TERMS = ("l_quantity", "l_discount", "l_tax", "l_linenumber", "l_ratio")
+NET_PENALTIES = (20_000.0, 5_000.0, 500.0, 5.0)
+
+
+def net_sql(rounds: int = 60) -> str:
+    """Every round updates the five weights in turn, for all penalties at once."""
+    n = len(NET_TERMS)
+    pairs = ", ".join(
+        f"covar_pop({a}, {b}) / (stddev_samp({a}) * stddev_samp({b})) AS g{i}{j}" for i, a in enumerate(NET_TERMS) for j, b in enumerate(NET_TERMS)
+    )
+    toward = ", ".join(f"covar_pop({a}, y) / (stddev_samp({a}) * stddev_samp(y)) AS c{i}" for i, a in enumerate(NET_TERMS))
+    scales = ", ".join(f"avg({a}) AS m{i}, stddev_samp({a}) AS s{i}" for i, a in enumerate(NET_TERMS))
+    inner = "SELECT * FROM path JOIN facts ON true"
+    for j in range(n):
+        pull = f"(c{j} - ({' + '.join(f'g{j}{k} * w{k}' for k in range(n) if k != j)}))"
+        new = f"sign({pull}) * greatest(abs({pull}) - 0.5::DOUBLE * penalty / sy, 0) / (g{j}{j} + 0.5::DOUBLE * penalty / sy)"
+        inner = f"SELECT * REPLACE ({new} AS w{j}) FROM ({inner})"
+    weights = ", ".join(f"w{k}" for k in range(n))
+    terms = " UNION ALL ".join(f"SELECT penalty, '{t}' AS term, w{k} * sy / s{k} AS coefficient FROM done" for k, t in enumerate(NET_TERMS))
+    constant = " - ".join(["my", *[f"m{k} * w{k} * sy / s{k}" for k in range(n)]])
+    return f"""WITH RECURSIVE rows AS (SELECT l_quantity::DOUBLE AS l_quantity, l_discount::DOUBLE AS l_discount, l_tax::DOUBLE AS l_tax,
+        l_linenumber::DOUBLE AS l_linenumber, l_quantity::DOUBLE * (1 + l_tax::DOUBLE) AS l_ratio, l_extendedprice::DOUBLE AS y FROM lineitem),
+      facts AS MATERIALIZED (SELECT {pairs}, {toward}, {scales}, avg(y) AS my, stddev_samp(y) AS sy FROM rows),
+      path AS (SELECT 0 AS round, penalty, {', '.join(f'0.0::DOUBLE AS w{k}' for k in range(n))} FROM (VALUES {', '.join(f'({p}::DOUBLE)' for p in NET_PENALTIES)}) AS p(penalty)
+        UNION ALL SELECT round + 1, penalty, {weights} FROM ({inner}) WHERE round < {rounds}),
+      done AS (SELECT * FROM path JOIN facts ON true WHERE round = {rounds})
+      SELECT penalty, term, round(coefficient, 3) AS coefficient FROM (
+        SELECT penalty, 'constant' AS term, {constant} AS coefficient FROM done UNION ALL {terms})"""
+
+
+def net_rows(spark, folder):
+    """Lines with a ratio that follows the quantity closely."""
+    rows = load(spark, folder, "lineitem", *NET_TERMS[:4], "l_extendedprice")
+    return rows.withColumn("l_ratio", F.col("l_quantity").cast("double") * (1 + F.col("l_tax").cast("double")))
+
+
+@query(net_sql(3000))
+def elastic_net_path(spark, folder):
+    """Four penalties on five features from one pass of sums."""
+    sums = regression.moments(net_rows(spark, folder), NET_TERMS, "l_extendedprice")
+    fits = regression.elastic_net_path(sums, NET_PENALTIES, share=0.5)
+    return rounded(regression.path_frame(spark, fits), 3, "coefficient")
+
+
 HOLED = f"{DESIGN.replace('design AS', 'every AS', 1)}, design AS (SELECT * FROM every WHERE o_orderkey % 7 <> 3 AND o_orderkey % 11 <> 5)"
 
 

@@ -154,6 +154,20 @@ def smooth_asymmetric(spark, folder):
     return rounded(out.select("user_id", "idx", "smoothed"), 6, "smoothed")
 
 
+BY_PLACE = "(1 + b.idx % 3) / (abs(b.idx - a.idx) + 1 + a.idx % 2)::DOUBLE"
+
+
+@query(
+    f"""WITH {USERS}, {pass_sql('s_1', 'users', 4, 4, 'user_id', BY_PLACE)}, {pass_sql('s', 's_1', 4, 4, 'user_id', BY_PLACE)}
+        SELECT user_id, idx, round(v, 6) AS smoothed FROM s"""
+)
+def smooth_by_position(spark, folder):
+    """Weights that depend on both positions, in two passes."""
+    kernel = lambda i, j: (1 + j % 3) / (abs(i - j) + 1 + i % 2)
+    out = smoothing.smooth_by_position(user_series(spark, folder), "value", 4, kernel, power=2, by=USER)
+    return rounded(out.select("user_id", "idx", "smoothed"), 6, "smoothed")
+
+
 @query(f"WITH {HOLED}, {pass_sql('s', 'users', 2, 2, 'user_id')} SELECT user_id, idx, round(v, 6) AS smoothed FROM s")
 def smooth_nulls(spark, folder):
     out = smooth(holed_series(spark, folder), "value", 2, by=USER)

@@ -130,3 +130,75 @@ def gen_poly_series(spark, folder):
     columns = generated.polynomial_columns("l_quantity")
     rows = load(spark, folder, "lineitem", "l_quantity").groupBy("l_quantity").agg(F.count(F.lit(1)).alias("rows"))
     return rounded(rows.select(*columns, "rows"), 6, "y")
+
+
+def _sorted_ticks_file(spark, folder):
+    """Ticks by their price, so that the order of the file is not that of time."""
+    ticks = load(spark, folder, "events", F.unix_seconds(F.col("ts").cast("timestamp")).alias("at"), "value", "event_id")
+    return files.write_csv(ticks.orderBy("value", "event_id").drop("event_id"), scratch_path(spark, "lines"), header=False)
+
+
+FILE_ORDER = "SELECT row_number() OVER (ORDER BY value, event_id) - 1 AS line, to_timestamp(epoch_us(ts) // 1000000)::TIMESTAMP AS ts, value AS price FROM events"
+
+
+@query(f"SELECT * FROM ({FILE_ORDER}) WHERE line < 300")
+def src_ticks_first_lines(spark, folder):
+    """The first lines of a file are the feature."""
+    return files.read_tick_lines(spark, _sorted_ticks_file(spark, folder), first=300)
+
+
+@query(FILE_ORDER)
+def src_line_numbers(spark, folder):
+    return files.read_tick_lines(spark, _sorted_ticks_file(spark, folder))
+
+
+@query(
+    """SELECT key, name, price, reason, lost, rejected FROM (
+         SELECT CASE k WHEN 4 THEN p_partkey || ',"' || p_name || ',1' WHEN 1 THEN p_partkey || ',' || p_name
+             WHEN 2 THEN p_partkey || ',"' || p_name || ', x",free' WHEN 3 THEN p_partkey || ',' || p_name || ',2.5,more' END AS rejected,
+           p_partkey AS key, CASE k WHEN 4 THEN NULL WHEN 2 THEN p_name || ', x' ELSE p_name END AS name,
+           CASE k WHEN 0 THEN 0.5::DOUBLE WHEN 3 THEN 2.5::DOUBLE END AS price,
+           CASE k WHEN 1 THEN 'short' WHEN 2 THEN 'type' WHEN 3 THEN 'long' WHEN 4 THEN 'quotes' END AS reason,
+           (CASE k WHEN 0 THEN 0 WHEN 4 THEN 2 ELSE 1 END)::INT AS lost
+         FROM (SELECT *, p_size % 5 AS k FROM part))"""
+)
+def src_csv_rejects(spark, folder):
+    """Good lines, short and long ones, a price that is no number, and quotes that are never closed."""
+    key, kind = F.col("p_partkey").cast("string"), F.col("p_size") % 5
+    line = (
+        F.when(kind == 0, F.concat_ws(",", key, "p_name", F.lit("0.5")))
+        .when(kind == 1, F.concat_ws(",", key, "p_name"))
+        .when(kind == 2, F.format_string('%s,"%s, x",free', key, "p_name"))
+        .when(kind == 3, F.concat_ws(",", key, "p_name", F.lit("2.5"), F.lit("more")))
+        .otherwise(F.format_string('%s,"%s,1', key, "p_name"))
+    )
+    path = scratch_path(spark, "rejects")
+    load(spark, folder, "part").select(line.alias("value")).write.text(path)
+    return files.read_csv_rejects(spark, path, "key bigint, name string, price double")
+
+
+def uniform_sql(x: str, seed: int, stream: int = 0) -> str:
+    return f"(('0x' || substr(md5('{seed}:{stream}:' || {x}), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE)"
+
+
+@query(
+    f"""SELECT x::DOUBLE AS x, round((-(114943399.0::DOUBLE / 256466972160000) * pow(x, 5) + (175076509.0::DOUBLE / 929228160000) * pow(x, 4)
+              - (1655323100983.0::DOUBLE / 64116743040000) * pow(x, 3) + (4799080868.0::DOUBLE / 4174267125) * pow(x, 2)
+              - (4524702943.0::DOUBLE / 22898836800) * x + 1) * (1 + {uniform_sql('x', 5)} * 0.1::DOUBLE) + 1200, 6) AS y,
+          round(sqrt(-2 * ln(1 - {uniform_sql('x', 5, 2)})) * cos(2 * pi() * {uniform_sql('x', 5, 3)}), 6) AS z, rows
+        FROM (SELECT l_quantity::BIGINT * 8 + l_linenumber AS x, count(*) AS rows FROM lineitem GROUP BY 1)"""
+)
+def gen_noisy_series(spark, folder):
+    """The polynomial with noise, and normal numbers, at the places that the lines give."""
+    at = (F.col("l_quantity").cast("bigint") * 8 + F.col("l_linenumber")).alias("x")
+    places = load(spark, folder, "lineitem", at).groupBy("x").agg(F.count(F.lit(1)).alias("rows"))
+    columns = generated.polynomial_columns("x", noise=0.1, seed=5)
+    return rounded(places.select(*columns, generated.normal("x", 5, 1).alias("z"), "rows").select("x", "y", "z", "rows"), 6, "y", "z")
+
+
+@query(
+    f"""SELECT 1.0::DOUBLE AS const, p_partkey::DOUBLE AS x,
+          round(sin(p_partkey::DOUBLE) + p_partkey::DOUBLE * p_partkey / 100 + floor({uniform_sql('p_partkey', 9)} * 100) - 50, 6) AS y FROM part"""
+)
+def gen_sine_series(spark, folder):
+    return rounded(load(spark, folder, "part", "p_partkey").select(*generated.sine_columns("p_partkey", seed=9)), 6, "y")

@@ -320,3 +320,45 @@ def test_splits_do_not_depend_on_partitions(points):
     ids = [r.id for p in parts.values() for r in p.collect()]
     assert sorted(ids) == list(range(500))
     assert tables.with_split(points, "id", {"all": 1.0}).where("split <> 'all'").count() == 0
+
+
+def test_penalised_path_equals_the_iterating_solver(spark):
+    rng = random.Random(8)
+    rows = []
+    for _ in range(400):
+        a, b, c = rng.gauss(0, 1), rng.gauss(5, 3), rng.gauss(0, 0.01)
+        rows.append((a, b, c, a + 0.3 * rng.gauss(0, 1), 7.0, 3 * a - 2 * b + 50 * c + rng.gauss(0, 2)))
+    names = ["a", "b", "c", "d", "same", "y"]
+    df = spark.createDataFrame(rows, ", ".join(f"{n} double" for n in names)).repartition(5)
+    sums = regression.moments(df, names[:-1], "y")
+    for share in (0.0, 0.5, 1.0):
+        penalties = [0.0, 0.05, 0.5, 3.0, 40.0]
+        fits = regression.elastic_net_path(sums, penalties, share)
+        assert all(f.converged for f in fits.values())
+        for penalty in penalties:
+            _, want = regression.fit_linear(df, names[:-1], "y", reg=penalty, elastic_net=share, max_iter=5000, solver="l-bfgs" if penalty else None)
+            got = dict(fits[penalty].weights)
+            if penalty:
+                assert got.pop("same") == 0.0
+                assert got == pytest.approx({k: v for k, v in want.items() if k != "same"}, rel=1e-4, abs=1e-4)
+            # The exact conditions of the least value, which the other solver meets only nearly.
+            spread = {n: math.sqrt(sums.centred[i, i] / (sums.n - 1)) for i, n in enumerate(names)}
+            w = np.array([fits[penalty].weights[n] for n in names[:-1]])
+            left = (sums.centred[:-1, -1] - sums.centred[:-1, :-1] @ w) / sums.n
+            for i, n in enumerate(names[:-1]):
+                if spread[n] < 1e-12:
+                    continue
+                slope, size = left[i] / spread[n] / spread["y"], penalty / spread["y"]
+                held = w[i] * spread[n] / spread["y"]
+                rest = slope - (1 - share) * size * held
+                assert abs(rest) <= share * size + 1e-9 if held == 0 else rest == pytest.approx(math.copysign(share * size, held), abs=1e-9)
+
+
+def test_penalised_path_reads_the_rows_once(spark):
+    df = spark.range(100).selectExpr("cast(id as double) a", "cast(id % 7 as double) b", "cast(id * 2 + id % 3 as double) y")
+    tracker, group = spark.sparkContext.statusTracker(), "one-pass"
+    spark.sparkContext.setJobGroup(group, "")
+    fits = regression.elastic_net_path(regression.moments(df, ["a", "b"], "y"), [k / 10 for k in range(30)])
+    jobs = tracker.getJobIdsForGroup(group)
+    spark.sparkContext._jsc.sc().clearJobGroup()
+    assert len(fits) == 30 and len(jobs) <= 2  # AQE runs the shuffle of the one aggregation as a job of its own

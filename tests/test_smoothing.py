@@ -1,13 +1,16 @@
 import math
+import random
 import subprocess
 import sys
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from millrace.functions.kernels import gaussian, inverse_distance
 from millrace.operators import smoothing
+from millrace.operators.series import with_position
 from millrace.operators.smoothing import (
     Smoother,
     _batch_passes,
@@ -192,3 +195,29 @@ def test_geometric_means_of_odd_windows(spark):
     got = column(smoothing.rolling_geometric_mean(frame_of(spark, values), "v", 2, ["k"]), "geometric_mean")
     assert got[:2] == pytest.approx([4.0, 0.0]) and got[2] == 0.0 and got[3] is None and got[4] is None
     assert got[5:] == pytest.approx([1e300, 1e300])
+
+
+@pytest.mark.parametrize("mode", ["short", "cut"])
+@pytest.mark.parametrize("power,causal,each", [(1, False, True), (3, False, True), (2, True, True), (2, False, False)])
+def test_kernel_of_both_positions(spark, mode, power, causal, each, request):
+    if mode == "cut":
+        request.getfixturevalue("cut")
+    rng = random.Random(power)
+    series = {"a": [rng.uniform(0, 9) for _ in range(90)], "b": [rng.uniform(0, 9) for _ in range(7)], "c": [1.0]}
+    kernel = lambda i, j: (1 + j % 4) / (abs(i - j) + 1 + i % 3)
+    df = spark.createDataFrame([(k, t, v) for k, vs in series.items() for t, v in enumerate(vs)], "k string, t int, v double").repartition(4)
+    out = smoothing.smooth_by_position(with_position(df, ["t"], ["k"]), "v", 5, kernel, power, causal, ["k"], kernel_each_pass=each)
+    for k, values in series.items():
+        for done in range(power):
+            weigh = kernel if each or done == 0 else lambda i, j: 1 / (abs(i - j) + 1)
+            near = [range(max(0, i - 5), min(len(values), i + 1 if causal else i + 6)) for i in range(len(values))]
+            values = [sum(weigh(i, j) * values[j] for j in js) / sum(weigh(i, j) for j in js) for i, js in enumerate(near)]
+        got = [r.smoothed for r in out.where(F.col("k") == k).orderBy("idx").collect()]
+        assert got == pytest.approx(values, rel=1e-9)
+
+
+def test_missing_values_under_a_kernel_of_positions(spark):
+    values = [1.0, None, 3.0, 4.0, float("nan"), 6.0, 7.0, 8.0]
+    df = spark.createDataFrame(list(enumerate(values)), "t int, v double")
+    out = smoothing.smooth_by_position(with_position(df, ["t"]), "v", 1, lambda i, j: 1.0 + 0 * j).orderBy("idx").collect()
+    assert [r.smoothed is None or math.isnan(r.smoothed) for r in out] == [True, True, True, True, True, True, False, False]

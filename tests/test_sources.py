@@ -1,4 +1,6 @@
 import datetime
+import math
+import random
 from pathlib import Path
 
 import pytest
@@ -7,6 +9,7 @@ from pyspark.sql import functions as F
 from millrace import session
 from millrace.functions import scalars
 from millrace.operators import stats, tables
+from millrace.operators.smoothing import with_changes
 from millrace.sources import files, generated
 
 # A ragged quoted CSV file and its three rows.
@@ -164,3 +167,84 @@ def test_few_days_are_broadcast_and_many_are_not(spark, monkeypatch):
     assert "broadcast" in plan()
     monkeypatch.setattr(series, "BROADCAST_ROWS", 3)
     assert "broadcast" not in plan()
+
+
+@pytest.fixture
+def splits(spark):
+    """Set the size of splits; the setting is taken back afterwards."""
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    yield lambda size: spark.conf.set(name, size)
+    spark.conf.set(name, before)
+
+
+@pytest.mark.parametrize("size", ["64", "1k", "128m"])
+def test_lines_are_numbered_as_they_stand_however_files_are_cut(spark, tmp_path, splits, size):
+    rng = random.Random(6)
+    texts = {"b.csv": 700, "a.csv": 1, "c.csv": 333, "d.csv": 0}
+    lines = {f: [f"{rng.randrange(10**6)},{k}.5" for k in range(n)] for f, n in texts.items()}
+    for f, rows in lines.items():
+        (tmp_path / f).write_text("".join(r + "\n" for r in rows))
+    splits(size)
+    want = [tuple(r.split(",")) for f in sorted(lines) for r in lines[f]]
+    read = files.read_csv(spark, str(tmp_path), files.TICKS, header=False)
+    got = sorted((r.line, str(r.epoch_seconds), str(r.price)) for r in files.with_line_numbers(read).collect())
+    assert got == [(n, *w) for n, w in enumerate(want)]
+    first = sorted((r.line, str(r.epoch_seconds), str(r.price)) for r in files.with_line_numbers(read, first=500).collect())
+    assert first == got[:500]
+
+
+def test_first_lines_are_not_the_earliest(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("30,1.0\n10,2.0\n20,3.0\n")
+    got = [r.price for r in files.read_tick_lines(spark, str(tmp_path / "t.csv"), first=2).orderBy("line").collect()]
+    assert got == [1.0, 2.0]
+    assert [r.price for r in files.read_ticks(spark, str(tmp_path / "t.csv"), first=2).collect()] == [2.0, 3.0]
+
+
+def test_numbered_lines_are_a_series(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("30,1.0\n10,2.0\n20,4.0\n")
+    lines = files.read_tick_lines(spark, str(tmp_path / "t.csv"))
+    assert [r.change for r in with_changes(lines, "price", idx="line").orderBy("line").collect()] == [0.0, 1.0, 2.0]
+    (tmp_path / "none.csv").write_text("")
+    assert files.read_tick_lines(spark, str(tmp_path / "none.csv")).count() == 0
+
+
+def test_rejected_records_have_reasons(spark, tmp_path):
+    lines = ["1,a,2.5", "2,b", "x,c,1.0", "4,d,q", "5,e,1.0,more,and", '6,"f,1.0', '7,"g, h",3.0', "", "8,,", '"9,i,2.0', "z,j,q"]
+    (tmp_path / "r.csv").write_text("".join(x + "\n" for x in lines))
+    got = [tuple(r) for r in files.read_csv_rejects(spark, str(tmp_path / "r.csv"), "key int, name string, price double").collect()]
+    assert got == [
+        (1, "a", 2.5, None, None, 0),
+        (2, "b", None, "2,b", "short", 1),
+        (None, "c", 1.0, "x,c,1.0", "type", 1),
+        (4, "d", None, "4,d,q", "type", 1),
+        (5, "e", 1.0, "5,e,1.0,more,and", "long", 2),
+        (6, None, None, '6,"f,1.0', "quotes", 2),
+        (7, "g, h", 3.0, None, None, 0),
+        (8, None, None, None, None, 0),
+        (None, None, None, '"9,i,2.0', "quotes", 3),
+        (None, "j", None, "z,j,q", "type", 2),
+    ]
+
+
+def test_noise_does_not_depend_on_the_plan(spark):
+    columns = generated.polynomial_columns("id", noise=0.1, seed=3)
+    rows = spark.range(1, 400)
+    one = sorted(tuple(r) for r in rows.select(*columns).collect())
+    assert one == sorted(tuple(r) for r in rows.repartition(13).orderBy(F.desc("id")).select(*columns).collect())
+    assert one != sorted(tuple(r) for r in rows.select(*generated.polynomial_columns("id", noise=0.1, seed=4)).collect())
+    plain = sorted(tuple(r) for r in rows.select(*generated.polynomial_columns("id")).collect())
+    shares = [(a[-1] - generated.EXAMPLE_LEVEL) / (b[-1] - generated.EXAMPLE_LEVEL) - 1 for a, b in zip(one, plain)]
+    assert 0 <= min(shares) < 0.01 and 0.09 < max(shares) < 0.1
+
+
+def test_random_numbers_have_their_distributions(spark):
+    rows = spark.range(20_000).select(generated.uniform("id", 1).alias("u"), generated.uniform("id", 1, 7).alias("v"), generated.normal("id", 1).alias("z"), generated.whole_noise("id", -50, 100).alias("w"))
+    got = rows.selectExpr("avg(u)", "var_pop(u)", "corr(u, v)", "avg(z)", "var_pop(z)", "skewness(z)", "kurtosis(z)", "min(w)", "max(w)", "count(distinct w)").first()
+    assert [round(x, 1) for x in got[:7]] == [0.5, 0.1, 0.0, 0.0, 1.0, 0.0, 0.0] and tuple(got[7:]) == (-50, 49, 100)
+
+
+def test_sine_series(spark):
+    rows = generated.sine_series(spark, 10, 300, seed=2).collect()
+    rest = [r.y - math.sin(r.x) - r.x**2 / 100 for r in rows]
+    assert len(rows) == 291 and all(abs(x - round(x)) < 1e-6 and -50 <= round(x) < 50 for x in rest) and len({round(x) for x in rest}) > 80
