@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import partitions_for, rows_of, stage_table
+from millrace.operators.series import match_on
 
 #: Bins of a histogram, share of a leaf's bytes by which a cut may be off, rows of a slot bucket.
 BINS, OFF, SLOT_ROWS = 2048, 0.0005, 100_000
@@ -125,20 +126,23 @@ def shard(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str =
         )
     )
     ranges = narrow.agg(F.count("*").alias("rows"), *[f(F.col(f"n{k}")).alias(f"{g}{k}") for k in range(len(numbers)) for g, f in (("a", F.min), ("b", F.max))]).first()
+    # Row numbers follow the cuts of the files: they tell apart only rows that agree in id and checksum.
+    twins = narrow.groupBy("id", "text_crc32").agg(F.count("*").alias("copies")).where("copies > 1")
+    narrow = match_on(narrow, twins, ["id", "text_crc32"], "left").withColumn("twin", F.when(F.col("copies") > 1, F.col("row")).otherwise(0))
     lower = F.shiftright("text_crc32", 17)
-    mixed = F.shiftleft(lower, 16).bitwiseOR(F.pmod(F.xxhash64("id", "row"), F.lit(1 << 16)))
+    mixed = F.shiftleft(lower, 16).bitwiseOR(F.pmod(F.xxhash64("id", "text_crc32", "twin"), F.lit(1 << 16)))
     scaled = []
     for k in range(len(numbers)):
         a, b = ranges[f"a{k}"] or 0.0, ranges[f"b{k}"] or 0.0
         scaled.append(F.floor((F.col(f"n{k}") - a) * (((1 << HALF) - 1) / (b - a) if b > a else 0.0)))
     values = scaled + [F.col(f"s{k}") for k in range(len(names))]
-    keyed = narrow.select("row", "id", "size", "text_crc32", F.array(*[_coordinate(v, mixed) for v in values]).alias("at"))
-    placed = grow(keyed, len(values), shards).select("row", "id", "size", "text_crc32", F.col("part").alias("shard"))
+    keyed = narrow.select("row", "twin", "id", "size", "text_crc32", F.array(*[_coordinate(v, mixed) for v in values]).alias("at"))
+    placed = grow(keyed, len(values), shards).select("row", "twin", "id", "size", "text_crc32", F.col("part").alias("shard"))
     buckets = partitions_for(docs, ranges["rows"], SLOT_ROWS)
-    bucketed = placed.withColumn("bucket", F.pmod(F.xxhash64("id", "row"), F.lit(buckets)).cast("int"))
+    bucketed = placed.withColumn("bucket", F.pmod(F.xxhash64("id", "text_crc32", "twin"), F.lit(buckets)).cast("int"))
     counts = bucketed.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("shard").orderBy("bucket")) - F.col("n")
     offsets = counts.select("shard", "bucket", before.alias("offset"))
-    own = F.row_number().over(Window.partitionBy("shard", "bucket").orderBy("id", "row")) - 1
+    own = F.row_number().over(Window.partitionBy("shard", "bucket").orderBy("id", "text_crc32", "twin")) - 1
     numbered = bucketed.withColumn("own", own).join(offsets, ["shard", "bucket"])
     return numbered.select("row", "id", "size", "text_crc32", "shard", (F.col("offset") + F.col("own")).cast("bigint").alias("slot"))

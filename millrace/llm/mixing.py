@@ -61,7 +61,7 @@ def mix(docs: DataFrame, weights: list[int], share: float, epochs: float, seed:
 
 def _mix_rows(rows: DataFrame, weights: list[int], share: float, epochs: float, seed: int, id_col: str, source_col: str) -> DataFrame:
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(f"doc.{id_col}").cast("string"), F.lit(""))))
-    sized = stage_table(rows.select("row", F.col(f"doc.{id_col}").alias("id"), F.col(f"doc.{source_col}").cast("string").alias("source"), word_count("text").alias("size"), key.alias("key")))
+    sized = stage_table(rows.select("row", F.col(f"doc.{id_col}").alias("id"), F.col(f"doc.{source_col}").cast("string").alias("source"), word_count("text").alias("size"), F.xxhash64("text").alias("digest"), key.alias("key")))
     bucket = F.substring("key", 1, BUCKET_DIGITS)
     buckets = sized.groupBy("source", bucket.alias("bucket")).agg(F.sum("size").alias("filled"))
     buckets = stage_table(buckets)
@@ -79,7 +79,7 @@ def _mix_rows(rows: DataFrame, weights: list[int], share: float, epochs: float,
     joined = sized.withColumn("b0", bucket).join(marks, F.col("source").eqNullSafe(F.col("s")) & (F.col("b0") == F.col("b")))
     common = ["row", "id", "source", "size", "source_size", "target"]
     away = joined.where("not mark").select(*common, (F.col("size") * (F.col("whole") + (F.col("before") < F.col("part")).cast("int"))).alias("taken"))
-    within = Window.partitionBy("source", "b").orderBy("key", "id", "row")
+    within = Window.partitionBy("source", "b").orderBy("key", "id", "digest", "row")
     before = F.col("before") + F.sum("size").over(within) - F.col("size")
     extra = F.greatest(F.lit(0), F.least(F.col("size"), F.col("part") - before))
     near = joined.where("mark").select(*common, (F.col("size") * F.col("whole") + extra).alias("taken"))

@@ -7,8 +7,9 @@ Small transducers rewrite the symbols of a clause one after the other, and are c
 * reported speech: behind a reporting word or inside quotation marks it is a reported one;
 * target: an insult or threat within a few words of a target word, on either side, is a directed one.
 
-What comes out of the machine is a list of matches of patterns, each with a weight. A text's score is the logistic of the
-weighted sum of its matches (by the logarithm of their number), so isolated target or reporting words count for nothing.
+Arcs that complete a pattern carry its weight, and an arc that turns a plain match into a directed one takes the plain one's
+weight back. A clause scores the weight of its way through the machine, a text the logistic of a constant and the scores of
+its clauses, so isolated target or reporting words count for nothing. Long texts are read clause by clause.
 
 Lexicon and weights are learned on the driver from a bounded sample of labelled rows. Insults are words or beginnings of
 words found by greedy cover: again and again the term that explains most toxic texts not yet explained and hardly any
@@ -38,6 +39,8 @@ from millrace.llm.common import crc_bucket, slices, stage, stage_table, told_lab
 
 #: Most labelled rows of label 1 and of label 0 to learn from; terms that a text is searched for; words that a scope reaches.
 TOXIC_SAMPLE, CLEAN_SAMPLE, MOST_TERMS, SCOPE = 4_000, 8_000, 20_000, 3
+#: Characters of a text that are turned into words at once.
+PIECE = 1_000_000
 PREFIXES = (4, 5, 6)
 INSULT, THREAT, TARGET, NEGATION, REPORT, QUOTE, OTHER = "i", "t", "y", "n", "r", "q", "o"
 #: Pattern symbols: plain, directed, negated and reported insults, and threats alike.
@@ -51,6 +54,7 @@ GENERAL = {
     NEGATION: "not no never neither nor isn't aren't wasn't nicht kein keine nie niemals pas jamais aucun nunca jamás ningún tampoco",
     REPORT: "said says claimed claims wrote writes quoted reported sagte schrieb behauptet dit écrit affirme dijo escribió afirma",
 }
+CLAUSE_END = re.compile(r"[.!?;\n]")
 WORDS = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?|[.!?;\n]|[\"“”«»„]")
 
 
@@ -169,14 +173,15 @@ class Lexicon:
 
 
 class Matcher:
-    """Counts the matches of the patterns in a text."""
+    """Counts the matches of the patterns in a text, and adds up the weights of its clauses."""
 
-    def __init__(self, lexicon: Lexicon):
+    def __init__(self, lexicon: Lexicon, weights: dict[str, float] | None = None):
         self.lexicon = lexicon
-        self.machine = grammar(dict.fromkeys(PATTERNS, 0.0))
+        self.machine = grammar(weights or dict.fromkeys(PATTERNS, 0.0))
         self.hits = {w for w, s in lexicon.words.items() if s in (INSULT, THREAT)}
         self.known = lru_cache(1 << 16)(lexicon.insult)
         self.clause = lru_cache(1 << 16)(self._clause)
+        self.weigh = lru_cache(1 << 16)(lambda symbols: self.machine.run(symbols)[2])
 
     def _clause(self, symbols: str) -> tuple[int, ...]:
         """Matches of each pattern in a clause."""
@@ -193,28 +198,55 @@ class Matcher:
                 at += 1
         return tuple(counts)
 
+    def clauses(self, text: str) -> Iterator[str]:
+        """The symbols of each clause that holds an insult or threat."""
+        for piece in pieces(text.lower()):
+            words = WORDS.findall(piece)
+            hits, known = self.hits, self.known
+            found = [i for i, w in enumerate(words) if w in hits or len(w) > 4 and known(w)]
+            done = -1
+            for i in found:
+                if i <= done:
+                    continue
+                start = i
+                while start > 0 and words[start - 1] not in ".!?;\n":
+                    start -= 1
+                end = i
+                while end + 1 < len(words) and words[end + 1] not in ".!?;\n":
+                    end += 1
+                done = end
+                symbols = "".join(self.lexicon.words.get(w) or (QUOTE if w in '"“”«»„' else INSULT if len(w) > 4 and known(w) else OTHER) for w in words[start : end + 1])
+                # Symbols that change nothing: a run of other words longer than every scope is as good as one just longer.
+                yield re.sub(f"{OTHER}{{{SCOPE + 2},}}", OTHER * (SCOPE + 1), symbols)
+
     def __call__(self, text: str) -> list[int]:
-        words = WORDS.findall(text.lower())
-        hits, known = self.hits, self.known
-        found = [i for i, w in enumerate(words) if w in hits or len(w) > 4 and known(w)]
         total = [0] * len(PATTERNS)
-        done = -1
-        for i in found:
-            if i <= done:
-                continue
-            start = i
-            while start > 0 and words[start - 1] not in ".!?;\n":
-                start -= 1
-            end = i
-            while end + 1 < len(words) and words[end + 1] not in ".!?;\n":
-                end += 1
-            done = end
-            symbols = "".join(self.lexicon.words.get(w) or (QUOTE if w in '"“”«»„' else INSULT if len(w) > 4 and known(w) else OTHER) for w in words[start : end + 1])
-            # Symbols that change nothing: a run of other words longer than every scope is as good as one just longer.
-            for k, n in enumerate(self.clause(re.sub(f"{OTHER}{{{SCOPE + 2},}}", OTHER * (SCOPE + 1), symbols))):
+        for symbols in self.clauses(text):
+            for k, n in enumerate(self.clause(symbols)):
                 total[k] += n
         return total
 
+    def score(self, text: str) -> tuple[list[int], float]:
+        """Matches of each pattern, and the weight of the ways that the clauses take."""
+        total, weight = [0] * len(PATTERNS), 0.0
+        for symbols in self.clauses(text):
+            weight += self.weigh(symbols)
+            for k, n in enumerate(self.clause(symbols)):
+                total[k] += n
+        return total, weight
+
+
+def pieces(text: str) -> Iterator[str]:
+    """A long text in pieces that end with a clause, others as they are."""
+    at = 0
+    while len(text) - at > PIECE:
+        end = CLAUSE_END.search(text, at + PIECE)
+        if not end:
+            break
+        yield text[at : end.end()]
+        at = end.end()
+    yield text[at:]
+
 
 def terms_of(text: str) -> set[str]:
     """Words and beginnings of words of a text that may enter the lexicon."""
@@ -245,8 +277,8 @@ def cover(toxic: list[set[int]], clean: np.ndarray, least: int) -> list[int]:
 
 
 def fit_weights(counts: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple[float, dict[str, float]]:
-    """Constant and pattern weights by logistic regression on log(1 + matches) with a small penalty."""
-    x = np.column_stack((np.ones(len(counts)), np.log1p(np.maximum(counts, 0))))
+    """Constant and pattern weights by logistic regression on the numbers of matches with a small penalty."""
+    x = np.column_stack((np.ones(len(counts)), counts))
     prior = np.array([-4.0, *([6.0, 6.5, 3.0, 3.0] * 2)])  # where a pattern has not been seen
     beta = prior.copy()
     for _ in range(50):
@@ -271,9 +303,9 @@ class Model:
     constant: float
     weights: dict[str, float]
 
-    def score(self, counts: np.ndarray) -> np.ndarray:
-        margin = self.constant + np.log1p(np.maximum(counts, 0)) @ np.array([self.weights[p] for p in PATTERNS])
-        return 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
+    def score(self, weight: np.ndarray) -> np.ndarray:
+        """Of texts whose clauses weigh so much."""
+        return 1 / (1 + np.exp(-np.clip(self.constant + weight, -30, 30)))
 
 
 def _sample(docs: DataFrame, told: DataFrame, label: int, most: int) -> DataFrame:
@@ -341,12 +373,13 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     rows = docs.select(doc.alias("doc"), F.col(text_col).cast("string").alias("text"), (crc_bucket(id_col, 3) == 1).alias("held_out"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(Lexicon.of(model.terms))  # goes with the function, by value like it
+        matcher = Matcher(Lexicon.of(model.terms), model.weights)  # goes with the function, by value like it
         for batch in batches:
             for part in slices(batch):
-                counts = np.array([matcher(t or "") for t in part.column("text").to_pylist()], float)
-                lists = pa.array(counts.astype(int).tolist(), pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(model.score(counts)), lists], [*part.schema.names, "score", "matches"])
+                found = [matcher.score(t or "") for t in part.column("text").to_pylist()]
+                scores = pa.array(model.score(np.array([w for _, w in found])))
+                lists = pa.array([c for c, _ in found], pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([*part.columns, scores, lists], [*part.schema.names, "score", "matches"])
 
     kinds = f"doc {rows.schema['doc'].dataType.simpleString()}, text string, held_out boolean, score double, matches array<int>"
     return rows.mapInArrow(run, kinds).withColumn("predicted", (F.col("score") >= cut).cast("int"))

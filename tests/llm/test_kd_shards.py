@@ -48,3 +48,20 @@ def test_odd_rows(spark, odd, empty):
     check(kd_shards.shard(odd, 24).collect(), [(r.doc_id, r.text) for r in odd.collect()], 24)
     assert kd_shards.shard(empty, 24).count() == 0
     check(kd_shards.shard(odd, 1).collect(), [(r.doc_id, r.text) for r in odd.collect()], 1)
+
+
+def test_places_do_not_follow_the_cuts_of_files(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    want = {r.id: (r.shard, r.slot) for r in kd_shards.shard(docs, 24).collect()}
+    for frame in (docs.repartition(7), docs.orderBy("n_chars"), docs.dropDuplicates(["doc_id"])):
+        assert {r.id: (r.shard, r.slot) for r in kd_shards.shard(frame, 24).collect()} == want
+
+
+def test_leaves_equal_sorted_lists(spark):
+    """Two documents to a leaf along the widest dimension, and rows that agree in everything."""
+    frame = spark.range(64).select(F.col("id").alias("doc_id"), F.lit("same").alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source"), F.lit(4).alias("n_chars"))
+    got = {r.id: r.shard for r in kd_shards.shard(frame, 8, numbers=("doc_id",), names=()).collect()}
+    assert got == {i: i // 8 for i in range(64)}
+    copies = spark.range(64).select(F.lit(1).alias("doc_id"), F.lit("same").alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source"), F.lit(4).alias("n_chars"))
+    counts = [r["count"] for r in kd_shards.shard(copies, 4).groupBy("shard").count().collect()]
+    assert sum(counts) == 64 and max(counts) <= 24

@@ -80,3 +80,20 @@ def test_odd_rows(spark, odd, empty):
         got = g.toxicity(frame, tags).collect()
         assert sorted(str(r.doc.doc_id) for r in got) == sorted(str(r.doc_id) for r in frame.collect())
         assert all(0 <= r.score <= 1 for r in got)
+
+
+def test_arcs_carry_the_weights():
+    weights = {p: 0.5 + k for k, p in enumerate(g.PATTERNS)}
+    m = g.Matcher(g.Lexicon.of(["=fool"]), weights)
+    assert any(w for _, _, w in m.machine.arcs.values())
+    for text in ("you fool. a fool came! they said the fool came", "not a fool; I will kill you", "kind words only", "what a fool you are, fool"):
+        counts, weight = m.score(text)
+        assert counts == m(text) and weight == pytest.approx(sum(weights[p] * n for p, n in zip(g.PATTERNS, counts)))
+
+
+def test_long_texts_are_read_clause_by_clause(monkeypatch):
+    text = "You fool. They said the fool came; a \"fool\" is not a fool! " * 50 + "no end " * 30 + "fool"
+    m = g.Matcher(g.Lexicon.of(["=fool"]), {p: 1.0 for p in g.PATTERNS})
+    whole = m.score(text)
+    monkeypatch.setattr(g, "PIECE", 40)
+    assert m.score(text) == whole and len(list(g.pieces(text))) > 40 and "".join(g.pieces(text)) == text
