@@ -33,9 +33,9 @@ from pyspark.sql import functions as F
 from millrace.llm.common import stage_table
 
 #: Least and most vectors of a page, pages that a table is cut into at least and at most (before the bounds of a page).
-SMALL, LARGE, FEW, MANY = 256, 65_536, 64, 65_536
+SMALL, LARGE, FEW, MANY = 2_048, 65_536, 8, 65_536
 #: Entries of a leaf, children of an inner node, vectors in a group of pages, queries in a block, rounds of cutting cells.
-LEAF, FAN, GROUP, BLOCK, ROUNDS = 32, 16, 65_536, 8_192, 6
+LEAF, FAN, GROUP, BLOCK, ROUNDS = 128, 16, 65_536, 8_192, 6
 NO_ID = np.iinfo(np.int64).max
 
 
@@ -182,13 +182,17 @@ def search(pages: list[Page], roots: np.ndarray, query: np.ndarray, norm: float,
             continue
         start, stop = page.entries[n]
         known = page.to_routing[start:stop]
-        a, b = start + int(known.searchsorted(d - limit, "left")), start + int(known.searchsorted(d + limit, "right"))
+        a, b = (start + known.searchsorted((d - limit, d + limit))).tolist()  # the limit has a margin, so ends do not matter
         if a >= b:
             continue
         done += b - a
         scores = page.vectors[a:b] @ query
         worst = best[0][0] if len(best) == top else -np.inf
-        for k in np.flatnonzero(scores >= worst).tolist():
+        worst = worst if floor is None or floor < worst else floor
+        good = (scores >= worst).nonzero()[0]
+        if not len(good):
+            continue
+        for k in good.tolist():
             row = int(page.rows[a + k])
             if row == own:
                 continue
@@ -338,7 +342,7 @@ def top_k(
     first = stage_table(trees.groupBy("page", "block").cogroup(mine.groupBy("page", "block")).applyInArrow(answer, kind))
     least = first.groupBy(F.col("query_row").alias("row")).agg(F.when(F.count("score") >= k, F.min("score")).alias("floor"))
     # Then all others that its k-th best so far allows.
-    blocks = max(1, -(-facts.asks // BLOCK))
+    blocks = max(1, -(-facts.asks // BLOCK), min(facts.asks // 64, -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // groups)))
     routed = asked.join(least, "row").mapInArrow(route, "row bigint, id bigint, v array<bigint>, page bigint, floor bigint, groups array<int>")
     routed = routed.select("row", "id", "v", "page", F.lit(1).alias("again"), "floor", F.explode("groups").alias("group"), F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int").alias("block"))
     held = spark.createDataFrame(list(group_of.items()), "page bigint, group int")

@@ -68,14 +68,14 @@ def nodes(page):
 
 def test_pages_have_inner_nodes_that_cover_their_vectors():
     rng = np.random.default_rng(5)
-    v = np.floor(rng.normal(0, 60, (900, 6))).astype(np.int64)
+    v = np.floor(rng.normal(0, 60, (2_000, 6))).astype(np.int64)
     longest = float((v * v).sum(1).max())
     lift = np.sqrt(longest - (v * v).sum(1))
-    page = mtree.Page.unpack(mtree.Page(v, lift, np.arange(900), np.arange(900)).pack())
+    page = mtree.Page.unpack(mtree.Page(v, lift, np.arange(2_000), np.arange(2_000)).pack())
     every, inner = nodes(page)
-    assert inner >= 1 and every > 900 // mtree.LEAF
+    assert inner >= 1 and every > 2_000 // mtree.LEAF
     place = {int(r): n for n, r in enumerate(page.rows)}
-    assert sorted(place) == list(range(900))
+    assert sorted(place) == list(range(2_000))
 
     def under(n):
         if page.children[n] is None:
