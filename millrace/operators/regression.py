@@ -517,22 +517,32 @@ def _unit(x: Column, low: Column, high: Column) -> Column:
     return (x * 2 - (low + high)) / F.when(high > low, high - low).otherwise(1.0)
 
 
-def _angle(unit: Column) -> Column:
-    """Its cosine is ``unit``, which only rounding puts outside of [-1, 1] here; NULL stays NULL."""
-    return F.when(unit.isNotNull(), F.acos(F.greatest(F.least(unit, F.lit(1.0)), F.lit(-1.0))))
+def _with_chebyshev(df: DataFrame, unit: Column, most: int) -> DataFrame:
+    """Append ``_t1`` to ``_t<most>``, the Chebyshev polynomials of a column in [-1, 1]; NULL stays NULL.
+
+    T(m+n) = 2 T(m) T(n) - T(m-n) makes all of a doubling from those before it: a projection per doubling, and one
+    multiplication and one subtraction a polynomial, inside generated code.
+    """
+    df = df.withColumn("_t1", unit)
+    have = 1
+    while have < most:
+        more = range(1, min(have, most - have) + 1)
+        df = df.withColumns({f"_t{have + k}": 2 * F.col(f"_t{have}") * F.col(f"_t{k}") - (F.lit(1.0) if k == have else F.col(f"_t{have - k}")) for k in more})
+        have += len(more)
+    return df
 
 
 def _chebyshev_sums(max_degree: int) -> list[Column]:
-    """Sums over ``_angle`` and ``_y`` that hold the equations of all degrees.
+    """Sums over ``_t1`` to ``_t<2 * max_degree>`` and ``_y`` that hold the equations of all degrees.
 
     A product of two Chebyshev polynomials is the mean of two others, so that ``2 * max_degree + 1`` sums hold the matrix.
     """
-    angle, y = F.col("_angle"), F.col("_y")
+    y, n = F.col("_y"), F.count(F.lit(1))
     return [
-        F.array(*[F.sum(F.cos(angle * k)) for k in range(2 * max_degree + 1)]).alias("_t"),
-        F.array(*[F.sum(y * F.cos(angle * k)) for k in range(max_degree + 1)]).alias("_ty"),
+        F.array(n.cast("double"), *[F.sum(f"_t{k}") for k in range(1, 2 * max_degree + 1)]).alias("_t"),
+        F.array(F.sum(y), *[F.sum(y * F.col(f"_t{k}")) for k in range(1, max_degree + 1)]).alias("_ty"),
         F.sum(y * y).alias("_yy"),
-        F.count(F.lit(1)).alias("_n"),
+        n.alias("_n"),
     ]
 
 
@@ -553,8 +563,8 @@ def fit_degrees(
     low, high, middle = df.agg(F.min("_x"), F.max("_x"), F.avg("_y")).first()
     if low is None:
         raise ValueError("no rows to fit")
-    angle = _angle(_unit(F.col("_x"), F.lit(low), F.lit(high)))
-    prepared = df.select(part, angle.alias("_angle"), (F.col("_y") - middle).alias("_y"))
+    unit = _unit(F.col("_x"), F.lit(low), F.lit(high))
+    prepared = _with_chebyshev(df.select(part, "_x", (F.col("_y") - middle).alias("_y")), unit, 2 * max_degree)
     rows = prepared.groupBy(part).agg(*_chebyshev_sums(max_degree)).collect()  # one row per part of the split
     sums = {row[part]: (_chebyshev_system(np.array(row["_t"]), max_degree + 1), np.array(row["_ty"]), row["_yy"]) for row in rows}
     fits = []
@@ -589,8 +599,8 @@ def fit_polynomial_groups(df: DataFrame, x: str, y: str, degrees: Sequence[int],
     rows = df.where(_complete([x, y])).select(*by, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
     ranges = rows.groupBy(*by).agg(F.min("_x").alias("_low"), F.max("_x").alias("_high"), F.avg("_y").alias("_middle"))
     placed = match_on(rows, if_small(stage(ranges)), by)
-    angle = _angle(_unit(F.col("_x"), F.col("_low"), F.col("_high")))
-    prepared = placed.select(*by, "_low", "_high", "_middle", angle.alias("_angle"), (F.col("_y") - F.col("_middle")).alias("_y"))
+    unit = _unit(F.col("_x"), F.col("_low"), F.col("_high"))
+    prepared = _with_chebyshev(placed.select(*by, "_x", "_low", "_high", "_middle", (F.col("_y") - F.col("_middle")).alias("_y")), unit, 2 * most)
     sums = prepared.groupBy(*by, "_low", "_high", "_middle").agg(*_chebyshev_sums(most))
     fields = [f"{f.name} {f.dataType.simpleString()}" for f in df.select(*by).schema.fields]
     powers = [f"power_{k}" for k in range(most + 1)]
