@@ -10,6 +10,7 @@ from millrace.operators import classify, mining
 from millrace.operators.stats import accuracy
 from millrace.operators.tables import split_frames, with_vectors
 from millrace.plans.registry import load, query, rounded
+from millrace.session import stage_table
 
 SUPPORT = 0.02
 CONFIDENCE = 0.1
@@ -179,7 +180,7 @@ def decision_tree(spark, folder):
     """Labels that two thresholds make, which a tree of two levels must return for every row."""
     label = (F.col("l_quantity") > 20).cast("int") * 2 + (F.col("l_discount") > 0.045).cast("int")
     rows = load(spark, folder, "lineitem", "l_quantity", "l_discount", "l_tax", label.alias("label"))
-    vectors = with_vectors(rows, {"features": ["l_quantity", "l_discount", "l_tax"]})
+    vectors = stage_table(with_vectors(rows, {"features": ["l_quantity", "l_discount", "l_tax"]}).select("label", "features"))
     predicted = classify.fit_decision_tree(vectors, "label", maxDepth=2, maxBins=64).transform(vectors)
     return predicted.groupBy("label", "predicted_label").agg(F.count(F.lit(1)).alias("n"))
 
