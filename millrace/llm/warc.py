@@ -2,9 +2,12 @@
 
 ``write_archives`` makes one text row per page that holds its three records and lets Spark's text writer put them into
 compressed part files with the end of a WARC record as line separator, so the usual commit rules guard against lost tasks.
+Pages are written by classes of size, and a file of a class has as many pages as keep it near FILE_BYTES before compression;
+only a page larger than that makes a larger file, its own.
 Of pages with equal payloads the one with the smallest id is a response, the others are revisits that refer to its record.
 
-``read_records`` cuts archives into records by their Content-Length; ``assemble`` joins the records of one capture through
+``read_records`` reads archives as streams and cuts them into records by their Content-Length, so that a task holds one packed
+file, and as many unpacked records as fit BATCH_BYTES, or one; ``assemble`` joins the records of one capture through
 WARC-Concurrent-To in either direction, also through a second record (metadata that names the request), and gives one
 nested row per capture.
 
@@ -16,7 +19,10 @@ percent-encoded; records that lead to no response or revisit belong to no captur
 from __future__ import annotations
 
 import gzip
+import io
 from collections.abc import Iterator
+from functools import reduce
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,7 +33,9 @@ from millrace.session import scratch_path
 
 END = "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-RECORDS_PER_FILE = 2_000
+#: Bytes of a file before compression, the least class of size (a class has pages of up to eight times the one before), and
+#: bytes of unpacked records sent on at once.
+FILE_BYTES, LEAST_CLASS, BATCH_BYTES = 64_000_000, 32_000, 8_000_000
 RECORD = (
     "record_id string, kind string, target string, concurrent_to array<string>, refers_to string, digest string, "
     "payload_bytes bigint, page string, payload binary"
@@ -88,28 +96,41 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
         [("WARC-Type", "metadata"), ("WARC-Record-ID", _record_id("metadata", F.col("row"))), ("WARC-Concurrent-To", own), *about, ("Content-Type", "application/warc-fields")],
         F.concat_ws("\r\n", F.concat(F.lit("page: "), F.col("page")), F.lit("")),
     )
-    lines = told.select(F.concat_ws(END, request, capture, metadata).alias("value"))
-    lines.write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
-
-
-def cut_records(data: bytes) -> Iterator[dict]:
-    """The records of an archive as rows of the schema RECORD."""
-    at = 0
-    while at < len(data):
-        end = data.index(b"\r\n\r\n", at)
-        lines = data[at:end].decode().split("\r\n")
-        if not lines[0].startswith("WARC/"):
-            raise ValueError(f"no record begins at byte {at}: {lines[0][:40]!r}")
+    # What is written of a page: its payload unless it is a revisit, and heads that hold the target up to five times.
+    heads = 5 * F.coalesce(F.octet_length("url"), F.lit(0)) + 2_000
+    bounds = [LEAST_CLASS]
+    while bounds[-1] < FILE_BYTES:
+        bounds.append(bounds[-1] * 8)
+
+    def size_class(written: Column) -> Column:
+        return reduce(lambda so_far, k: F.when(written <= bounds[k], k).otherwise(so_far), reversed(range(len(bounds))), F.lit(len(bounds)))
+
+    told = told.withColumn("size", size_class(F.when(revisit, heads).otherwise(heads + F.col("n"))))
+    possible = F.explode(F.array(size_class(heads), size_class(heads + F.col("n"))))
+    present = sorted(r[0] for r in rows.select(possible.alias("size")).distinct().collect())  # one of few classes each
+    for k in present or [0]:
+        lines = told.where(F.col("size") == k).select(F.concat_ws(END, request, capture, metadata).alias("value"))
+        pages_per_file = max(1, FILE_BYTES // bounds[k]) if k < len(bounds) else 1
+        lines.write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", pages_per_file).text(f"{path}/{k}")
+
+
+def cut_records(source: bytes | BinaryIO) -> Iterator[dict]:
+    """The records of an archive as rows of the schema RECORD; a stream is read record by record."""
+    source = io.BytesIO(source) if isinstance(source, bytes) else source
+    while first := source.readline():
+        if not first.startswith(b"WARC/"):
+            raise ValueError(f"no record begins with {first[:40]!r}")
         fields: dict[str, list[str]] = {}
-        for line in lines[1:]:
-            name, _, value = line.partition(":")
+        while (line := source.readline()) != b"\r\n":
+            if not line:
+                raise ValueError("an archive ends amid the head of a record")
+            name, _, value = line.decode().partition(":")
             fields.setdefault(name.strip().lower(), []).append(value.strip())
         one = {k: v[0] for k, v in fields.items()}
-        at = end + 4 + int(one["content-length"])
-        block = data[end + 4 : at]
-        if data[at : at + 4] != b"\r\n\r\n":
-            raise ValueError(f"record {one.get('warc-record-id')} is longer than its Content-Length")
-        at += 4
+        length = int(one["content-length"])
+        block = source.read(length)
+        if len(block) < length or source.read(4) != b"\r\n\r\n":
+            raise ValueError(f"record {one.get('warc-record-id')} does not have its Content-Length")
         kind = one["warc-type"]
         row = {
             "record_id": one["warc-record-id"], "kind": kind, "target": one.get("warc-target-uri"), "concurrent_to": fields.get("warc-concurrent-to", []),
@@ -140,19 +161,22 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
         )
         for batch in batches:
             for content in batch.column("content"):
-                data = content.as_py()
-                rows = []
-                for r in cut_records(gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data):
+                source = pa.BufferReader(content.as_buffer())
+                packed = content.as_buffer()[:2].to_pybytes() == b"\x1f\x8b"
+                rows, held = [], 0
+                for r in cut_records(io.BufferedReader(gzip.GzipFile(fileobj=source) if packed else source, 1 << 20)):
                     if r["kind"] == "response" and r["digest"] not in (None, base64.b32encode(hashlib.sha1(r["payload"]).digest()).decode()):
                         raise ValueError(f"the payload of {r['record_id']} is not what its digest says")
-                    rows.append(r)
-                    if len(rows) == 500:
+                    size = len(r["payload"] or b"")
+                    if rows and (len(rows) == 500 or held + size > BATCH_BYTES):
                         yield pa.RecordBatch.from_pylist(rows, schema)
-                        rows = []
+                        rows, held = [], 0
+                    rows.append(r)
+                    held += size
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true").load(path)
     return files.select("content").mapInArrow(parse, RECORD)
 
 

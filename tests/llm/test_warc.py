@@ -58,11 +58,42 @@ def test_no_pages(spark, pages):
 def test_archives_are_plain_records(spark, pages):
     path = scratch_path(spark, "warc")
     warc.write_archives(pages, path)
-    data = b"".join(gzip.decompress(bytes(r.content)) for r in spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).collect())
+    data = b"".join(gzip.decompress(bytes(r.content)) for r in spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true").load(path).collect())
     kinds = [r["kind"] for r in warc.cut_records(data)]
     assert kinds.count("request") == kinds.count("metadata") == len(ODD_PAGES) == kinds.count("response") + kinds.count("revisit")
 
 
+def test_files_are_bounded_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES", 600_000)
+    rows = [(k, "u", chr(97 + k % 26) * (200 if k % 3 else 70_000 + 1_000 * k)) for k in range(60)] + [(99, "u", "z" * 900_000)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    path = scratch_path(spark, "warc")
+    warc.write_archives(pages.coalesce(1), path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true").load(path).collect()
+    sizes = sorted(len(gzip.decompress(bytes(r.content))) for r in files)
+    assert [s for s in sizes if s > 600_000] == sizes[-1:] and 900_000 < sizes[-1] < 910_000
+    assert len(files) < 40
+    monkeypatch.setattr(warc, "BATCH_BYTES", 100_000)
+    records = warc.read_records(spark, path)
+    got = {int(r.metadata.page): (r.capture.payload_bytes, r.capture.kind) for r in warc.assemble(records).collect()}
+    assert {k: n for k, (n, _) in got.items()} == {k: len(text) for k, _, text in rows}
+
+
+def test_archives_without_compression(spark, pages):
+    path, plain = scratch_path(spark, "warc"), scratch_path(spark, "plain")
+    warc.write_archives(pages, path)
+    lines = spark.read.option("lineSep", warc.END).option("recursiveFileLookup", "true").text(path)
+    lines.coalesce(1).write.option("lineSep", warc.END).text(plain)
+    assert warc.assemble(warc.read_records(spark, plain)).count() == len(ODD_PAGES)
+
+
+def test_a_long_payload(spark):
+    text = "".join(f"{k} é\r\n\r\nWARC/1.1\r\n" for k in range(300_000))
+    pages = spark.createDataFrame([(1, "u", text), (2, "u", text), (3, "u", "short")], "page_id bigint, url string, html string")
+    got = {r.metadata.page: r.capture for r in warc.round_trip(pages).collect()}
+    assert bytes(got["1"].payload).decode() == text and got["2"].refers_to == got["1"].record_id and bytes(got["3"].payload) == b"short"
+
+
 def test_records_meet_in_either_direction_and_over_two_links(spark):
     def record(i, kind, to=(), page=None):
         return (i, kind, None, list(to), None, None, None, page, None)
@@ -77,5 +108,7 @@ def test_records_meet_in_either_direction_and_over_two_links(spark):
 def test_broken_archives_raise():
     with pytest.raises(ValueError):
         list(warc.cut_records(b"WARC/1.1\r\nWARC-Type: request\r\nWARC-Record-ID: <x>\r\nContent-Length: 3\r\n\r\nabcdef\r\n\r\n"))
+    with pytest.raises(ValueError):
+        list(warc.cut_records(b"WARC/1.1\r\nWARC-Type: request\r\n"))
     with pytest.raises(ValueError):
         list(warc.cut_records(b"HTTP/1.1 200 OK\r\n\r\n"))
