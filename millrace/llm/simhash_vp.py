@@ -6,6 +6,8 @@ a point goes to the inside if its distance to the vantage point is at most the c
 *also* to the inside if it is above by at most the link distance. By the triangle inequality two linked points differ by no
 more than that in their distance to the vantage point, so they meet in at least one shard. Inside a shard the same splitting
 goes on until few points are left, which are compared. A shard returns a spanning forest of its links, not all pairs.
+Beyond MOST_SHARDS shards the large ones are split again by trees of their own, level by level, in waves whose trees and
+samples on the driver stay bounded; only points that no tree can part stay together.
 
 Defined results: a NULL or wordless text has fingerprint 0 and is linked like any other; equal fingerprints are one node,
 so copies cost one row; repeated rows each get a row; a component is named by its smallest id that is not NULL; no rows give
@@ -15,6 +17,7 @@ no rows. Extra columns are not looked at.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,9 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import components, forest, numbered, slices, stage_table, utf8
+from millrace.session import scratch_path
 
-#: Fingerprints in a shard, sample rows per shard, and the most shards that the tree on the driver has.
-SHARD, PER_SHARD, MOST_SHARDS = 16_384, 32, 4_096
+#: Fingerprints in a shard, sample rows per shard, the most shards that trees on the driver make at once, and how many times
+#: SHARD a shard may grow by what overlaps before it is split again.
+SHARD, PER_SHARD, MOST_SHARDS, OVERLAP = 16_384, 32, 4_096, 32
 #: Points compared directly at the end of a tree, and rows of a comparison held at once.
 FEW, BLOCK = 192, 1_024
 SHINGLES_AT_ONCE = 65_536
@@ -149,12 +154,70 @@ def linked(points: np.ndarray, bits: int) -> np.ndarray:
     return label
 
 
+def _waves(sizes: Iterator, shard: int) -> Iterator[list[tuple[int, int, int]]]:
+    """Lists of (shard, fingerprints, leaves of its tree) with at most MOST_SHARDS leaves each."""
+    wave, total = [], 0
+    for at, size in sizes:
+        leaves = min(MOST_SHARDS, max(2, -(-size // shard)))
+        if wave and total + leaves > MOST_SHARDS:
+            yield wave
+            wave, total = [], 0
+        wave.append((at, size, leaves))
+        total += leaves
+    if wave:
+        yield wave
+
+
+def _deal_again(dealt: DataFrame, wave: list[tuple[int, int, int]], bits: int, level: int, base: int) -> tuple[DataFrame, int]:
+    """(shard, fp, whole) of the shards of a wave, dealt by a tree each, and the next free number; whole: no tree parts it."""
+    spark = dealt.sparkSession
+    mine = dealt.where(F.col("shard").between(wave[0][0], wave[-1][0])).where(F.col("shard").isin([at for at, _, _ in wave]))
+    part = PER_SHARD * sum(leaves for _, _, leaves in wave) / sum(size for _, size, _ in wave)
+    picked = mine.where(F.pmod(F.xxhash64("fp", F.lit(level)), F.lit(1 << 30)) < int(part * (1 << 30)) + 1).toPandas()
+    samples = {at: np.sort(rows["fp"].to_numpy(np.int64).view(np.uint64)) for at, rows in picked.groupby("shard")}
+    trees = {}
+    for at, _, leaves in wave:
+        tree = grow_tree(samples.get(at, np.empty(0, np.uint64)), leaves, bits)
+        trees[at] = tree, base
+        base += leaves
+    sent = spark.sparkContext.broadcast(trees)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shards, fp = batch.column("shard").to_numpy(), batch.column("fp").to_numpy()
+            for at in np.unique(shards):
+                tree, first = sent.value[at]
+                points = fp[shards == at]
+                which, to = shards_of(tree, points.view(np.uint64), bits)
+                yield pa.RecordBatch.from_arrays([pa.array(to + first), pa.array(points[which]), pa.array(np.full(len(to), not isinstance(tree, list)))], ["shard", "fp", "whole"])
+
+    return mine.select("shard", "fp").mapInArrow(deal, "shard bigint, fp bigint, whole boolean"), base
+
+
+def _split_large(dealt: DataFrame, bits: int, shard: int) -> list[DataFrame]:
+    """Tables (shard, fp): shards of more than OVERLAP times ``shard`` points are split until none that a tree can part is left."""
+    spark, done, level = dealt.sparkSession, [], 0
+    dealt = stage_table(dealt.select("shard", "fp", F.lit(False).alias("whole")).sortWithinPartitions("shard"))
+    while True:
+        level += 1
+        many = stage_table(dealt.where("not whole").groupBy("shard").count().where(F.col("count") > OVERLAP * shard))
+        done.append(dealt.join(many, "shard", "left_anti").select("shard", "fp"))
+        path, base = scratch_path(spark, "shards"), 0
+        for wave in _waves(many.orderBy("shard").toLocalIterator(), shard):
+            finer, base = _deal_again(dealt, wave, bits, level, base)
+            finer.sortWithinPartitions("shard").write.mode("append").parquet(path)
+        if not base:
+            return done
+        dealt = spark.read.schema("shard bigint, fp bigint, whole boolean").parquet(path)
+
+
 def link(points: DataFrame, bits: int = 3, column: str = "fp", shard: int = SHARD) -> DataFrame:
     """(node, root) for the distinct fingerprints that have a link; roots name components."""
     spark = points.sparkSession
     distinct = points.select(F.col(column).alias("fp")).distinct()
     total = distinct.count()
-    leaves = min(MOST_SHARDS, max(1, -(-total // shard)))
+    wanted = max(1, -(-total // shard))
+    leaves = min(MOST_SHARDS, wanted)
     if leaves > 1:
         picked = distinct.orderBy(F.xxhash64("fp"), "fp").limit(PER_SHARD * leaves).toPandas()["fp"].to_numpy(np.int64)
         tree = grow_tree(picked.view(np.uint64), leaves, bits)
@@ -166,7 +229,7 @@ def link(points: DataFrame, bits: int = 3, column: str = "fp", shard: int = SHAR
         for batch in batches:
             fp = batch.column("fp").to_numpy()
             at, to = shards_of(sent.value, fp.view(np.uint64), bits)
-            yield pa.RecordBatch.from_arrays([pa.array(to.astype(np.int32)), pa.array(fp[at])], ["shard", "fp"])
+            yield pa.RecordBatch.from_arrays([pa.array(to.astype(np.int64)), pa.array(fp[at])], ["shard", "fp"])
 
     def search(table: pa.Table) -> pa.Table:
         fp = np.sort(table.column("fp").to_numpy())
@@ -174,8 +237,10 @@ def link(points: DataFrame, bits: int = 3, column: str = "fp", shard: int = SHAR
         apart = label != np.arange(len(fp))
         return pa.table({"a": fp[apart], "b": fp[label[apart]]})
 
-    dealt = distinct.mapInArrow(deal, "shard int, fp bigint")
-    return components(dealt.groupBy("shard").applyInArrow(search, "a bigint, b bigint"))
+    dealt = distinct.mapInArrow(deal, "shard bigint, fp bigint")
+    tables = [dealt] if wanted == leaves else _split_large(dealt, bits, shard)
+    forests = [t.groupBy("shard").applyInArrow(search, "a bigint, b bigint") for t in tables]
+    return components(reduce(DataFrame.union, forests))
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, bits: int = 3) -> DataFrame:

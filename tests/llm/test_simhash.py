@@ -67,6 +67,25 @@ def test_many_shards_find_every_link(spark):
                 assert label[i] == label[j]
 
 
+def test_shards_beyond_the_first_tree(spark, monkeypatch):
+    """Large shards are split again, level by level; a ball of points that no tree can part stays whole; no link is lost."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 2**63, 150, dtype=np.uint64)
+    near = [int(b) ^ sum(1 << int(x) for x in rng.choice(63, 3, replace=False)) for b in np.repeat(base, 8)]
+    ball = [sum(1 << int(x) for x in rng.choice(8, 4, replace=False)) for _ in range(400)]
+    points = sorted({*map(int, base), *near, *ball})
+    monkeypatch.setattr(simhash_vp, "MOST_SHARDS", 4)
+    monkeypatch.setattr(simhash_vp, "OVERLAP", 4)
+    levels = []
+    again = simhash_vp._deal_again
+    monkeypatch.setattr(simhash_vp, "_deal_again", lambda *args: levels.append(args[3]) or again(*args))
+    got = {r.node: r.root for r in simhash_vp.link(spark.createDataFrame([(p,) for p in points], "fp bigint"), 3, shard=16).collect()}
+    label = simhash_vp.linked(np.array(points, np.uint64), 3)
+    size = np.bincount(label, minlength=len(points))
+    assert got == {p: points[k] for p, k in zip(points, label) if size[k] > 1}
+    assert max(levels) > 1 and len(levels) > len(set(levels))
+
+
 def test_odd_rows(spark, odd, empty):
     rows = [(r.doc_id, r.text) for r in odd.collect()]
     assert shown(simhash_vp.near_copies(odd)) == brute(rows)
