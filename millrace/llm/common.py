@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from millrace.session import stage, stage_table
 
 #: Bytes of text that a task function holds as Python objects at once.
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 2_000_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
