@@ -146,7 +146,7 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     described = stage_table(text_rules.count_rows(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))).select("id", "shares"))
     told = described.join(told_labels(labels, id_col, label_col), "id")
     found = {r[0]: r[1] for r in told.groupBy("label").count().collect() if r[0] in (0, 1)}
-    parts = [told.where(F.col("label") == k).orderBy(F.xxhash64("id", F.lit(6)), "id", "shares").limit(SAMPLE).select("shares", "label").collect() for k in found]
+    parts = [told.where(F.col("label") == k).orderBy(F.xxhash64("id", F.lit(6)), "id", "shares").limit(SAMPLE).select("shares", "label").collect() for k in sorted(found)]
     rows = [r for p in parts for r in p]
     model = None
     if rows:

@@ -40,8 +40,9 @@ FOLLOW = _table(bytes(range(128, 192)))  # bytes inside a character
 
 
 def _sums(flags: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    total = np.concatenate(([0], np.cumsum(flags, dtype=np.int64)))
-    return total[end] - total[begin]
+    total = np.zeros(len(flags) + 1, np.int32 if len(flags) < 1 << 31 else np.int64)
+    np.cumsum(flags, out=total[1:])
+    return total[end].astype(np.int64) - total[begin]
 
 
 def _earlier(owner: np.ndarray, code: np.ndarray) -> np.ndarray:
@@ -86,16 +87,17 @@ def counts(texts: pa.Array) -> dict[str, np.ndarray]:
     end = np.cumsum(sizes)
     begin = end - sizes
     blank = BLANK[data]
-    edge = np.zeros(len(data) + 1, bool)
-    edge[begin] = edge[end] = True
-    start = ~blank & (edge[:-1] | np.concatenate(([True], blank[:-1])))
-    stop = ~blank & (edge[1:] | np.concatenate((blank[1:], [True])))
-    first, last = np.flatnonzero(start), np.flatnonzero(stop)
-    doc = np.repeat(np.arange(n), sizes)
-    owner = doc[first]
+    opens, closes = np.ones(len(data), bool), np.ones(len(data), bool)
+    opens[1:], closes[:-1] = blank[:-1], blank[1:]
+    some = sizes > 0
+    opens[begin[some]] = closes[end[some] - 1] = True
+    first, last = np.flatnonzero(opens & ~blank), np.flatnonzero(closes & ~blank)
+    del opens, closes
+    owner = np.searchsorted(end, first, side="right")  # the first text that ends behind the word's start
     ends = np.concatenate(([0], np.cumsum(last + 1 - first)))
     words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(ends), pa.py_buffer(data[~blank])])
     code = words.dictionary_encode().indices.to_numpy().astype(np.int64)
+    del words, ends
     out = {"n_words": np.bincount(owner, minlength=n)}
     follow = FOLLOW[data]
     out["word_chars"] = _sums(~blank & ~follow, begin, end)
@@ -107,8 +109,7 @@ def counts(texts: pa.Array) -> dict[str, np.ndarray]:
     line_doc = np.repeat(np.arange(n), many)
     line_code = lines.flatten().dictionary_encode().indices.to_numpy().astype(np.int64)
     # A line has a word if a word starts in it: lines are told apart by the newlines before a place.
-    newline = np.concatenate(([0], np.cumsum(data == 10)))
-    line_of_word = newline[first] + owner  # n-th line over all texts: each text adds one line to its newlines
+    line_of_word = np.searchsorted(np.flatnonzero(data == 10), first) + owner  # n-th line over all texts: each text adds one line to its newlines
     with_word = np.bincount(line_of_word, minlength=len(line_doc)).astype(bool)
     out["n_lines"] = np.bincount(line_doc[with_word], minlength=n)
     out["n_dup_lines"] = np.bincount(line_doc[with_word & _earlier(line_doc, line_code)], minlength=n)

@@ -1,18 +1,22 @@
 """Rule statistics, the forest on them, and the additive model."""
 
+import math
 import re
+import subprocess
+import sys
 from collections import Counter
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from millrace.llm import additive_quality, queries, rule_forest, text_rules
 
-FOLDER = "/root/testdata/sf0.1"
+FOLDER, SMALL = "/root/testdata/sf0.1", "/root/testdata/sf0.01"
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -29,6 +33,66 @@ def brute(text):
     return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), again, len(inside)
 
 
+def brute_all(text):
+    """All COUNTS of a text, in their order."""
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [re.findall(r"[^\x20\x09-\x0D]+", line) for line in text.split("\n")]
+    letters = [sum(c.isascii() and c.isalpha() or c > "\x7f" for c in w) for w in words]
+    marked = [bool(re.search(r"[#*$%&|<>]", w)) for w in words]
+    return brute(text) + (
+        sum(map(bool, lines)),
+        len(set(words)),
+        sum(a == b for a, b in zip(words, words[1:])),
+        len(re.findall("[A-Z]", text)),
+        len(re.findall("[0-9]", text)),
+        len(re.findall("[.!?,;:]", text)),
+        len(re.findall(r"[^A-Za-z0-9.!?,;:#*$%&|<>\x20\x09-\x0D\x80-\U0010ffff]", text)),
+        len(re.findall(r"[\x80-\U0010ffff]", text)),
+        sum(n > 20 for n in letters),
+        sum(n == 0 for n in letters),
+        sum(marked),
+        sum(any(re.search(r"[#*$%&|<>]", w) for w in line) for line in lines),
+    )
+
+
+def brute_shares(text):
+    c = dict(zip(text_rules.COUNTS, brute_all(text)))
+    words, chars, lines = (max(c[k], 1) for k in ("n_words", "word_chars", "n_lines"))
+    over = {
+        "word_length": (c["word_chars"], words), "symbols": (c["n_symbols"], words), "dup_lines": (c["n_dup_lines"], lines), "repeated": (c["n_repeat_words"], words),
+        "distinct": (c["n_distinct"], words), "same": (c["n_same"], words), "upper": (c["n_upper"], chars), "digits": (c["n_digits"], chars), "stops": (c["n_stops"], words),
+        "marks": (c["n_marks"], chars), "other": (c["n_other"], chars), "long": (c["n_long"], words), "bare": (c["n_bare"], words), "line_words": (c["n_words"], lines),
+        "symbol_chars": (c["n_symbols"], chars), "marked": (c["n_marked"], words), "marked_lines": (c["n_marked_lines"], lines),
+    }
+    return [math.log1p(c["n_words"]) if s == "log_words" else over[s][0] / over[s][1] for s in text_rules.SHARES]
+
+
+def by_hash(ids, salt):
+    """Ids in the order of Spark's xxhash64(id, salt)."""
+
+    def place(i):
+        first = xxhash.xxh64_intdigest(i.to_bytes(8, "little", signed=True), 42)
+        second = xxhash.xxh64_intdigest(salt.to_bytes(4, "little"), first)
+        return second - (1 << 64) if second >> 63 else second
+
+    return sorted(ids, key=place)
+
+
+def small_tables(spark):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SMALL}/labels.parquet").collect()}
+    return docs, {i: v for i, v in labels.items() if i in docs and v is not None and crc32(str(i).encode()) % 3 != 1}
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(st.sampled_from("ab #|\n\r\x0b\x85 é漢Z7.,@")), st.text(max_size=40)), min_size=1, max_size=6))
+def test_all_counts_and_shares_equal_brute_force(texts):
+    got = text_rules.counts(pa.array(texts, pa.string()))
+    assert [tuple(int(got[k][i]) for k in text_rules.COUNTS) for i in range(len(texts))] == [brute_all(t) for t in texts]
+    assert np.allclose(text_rules.shares(got), [brute_shares(t) for t in texts], rtol=1e-12, atol=0)
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.one_of(st.none(), st.text(st.sampled_from("ab #|\n\r\x0b\x85 é漢")), st.text(max_size=20)), min_size=1, max_size=6))
 def test_counts_equal_brute_force(texts):
@@ -55,6 +119,74 @@ def test_rule_query_equals_brute_force(spark):
         assert not (r.base_failed and r.kept)
 
 
+def test_forest_equals_plain_walk(spark):
+    """Scores, threshold and verdicts of the whole table by a walk down each tree, text by text."""
+    docs, told = small_tables(spark)
+    shares = {i: brute_shares(t) for i, t in docs.items()}
+    failed = {i: c[0] < 50 or 100 * c[4] > 50 * c[0] for i, c in ((i, brute(t)) for i, t in docs.items())}
+    sample = by_hash([i for i in docs if not failed[i]], 5)[: rule_forest.SAMPLE]
+    forest = rule_forest.grow_forest(rule_forest.looks(np.array([shares[i] for i in sample])))
+    at = [text_rules.SHARES.index(s) for s in rule_forest.LOOKS]
+
+    def score(x):
+        x, total = [math.log(x[k] + 0.01) for k in at], 0.0
+        for t in range(len(forest["path"])):
+            node = 0
+            while forest["feature"][t, node] >= 0:
+                node = 2 * node + (2 if x[forest["feature"][t, node]] > forest["cut"][t, node] else 1)
+            total += forest["path"][t, node]
+        return 2 ** (-total / len(forest["path"]) / float(forest["usual"]))
+
+    want = {i: score(x) for i, x in shares.items()}
+    rows = [(want[i], told[i]) for i in told if not failed[i]]
+    good, bad = ([s for s, label in rows if label == k] for k in (1, 0))
+    worth = {}
+    for b in range(rule_forest.BINS):
+        cut = b / rule_forest.BINS
+        lost, caught = (np.mean([math.floor(s * rule_forest.BINS) >= b for s in part]) for part in (good, bad))
+        if lost <= rule_forest.COST and caught > 10 * lost:
+            worth[cut] = caught - 10 * lost
+    best = [c for c, w in worth.items() if w >= max(worth.values()) - 1e-12]
+    threshold = math.floor((best[0] + best[-1]) * rule_forest.BINS / 2 + 1e-6) / rule_forest.BINS if best else 1.0
+    judged = rule_forest.judge(spark.read.parquet(f"{SMALL}/documents.parquet"), spark.read.parquet(f"{SMALL}/labels.parquet")).collect()
+    assert len(judged) == len(docs)
+    for r in judged:
+        assert r.score == pytest.approx(want[r.id], abs=1e-9) and r.threshold == pytest.approx(threshold)
+        assert r.kept == (not failed[r.id] and want[r.id] < threshold)
+    assert len({r.kept for r in judged if not r.base_failed}) == 2
+
+
+def test_additive_scores_equal_plain_sums(spark):
+    """Scores of the whole table from the tables of a model, one entry per feature and pair, text by text."""
+    docs, told = small_tables(spark)
+    shares = {i: brute_shares(t) for i, t in docs.items()}
+    picked = [i for k in (0, 1) for i in by_hash([i for i in told if told[i] == k], 6)]
+    model = additive_quality.fit(np.array([shares[i] for i in picked]), np.array([told[i] for i in picked], float), np.ones(len(picked)))
+    got = queries.op6_gam_quality(spark, SMALL).collect()
+    assert len(got) == len(docs)
+    for r in got:
+        x = shares[r.doc_id]
+        total = model.base + sum(t[sum(v <= x[f] for v in e)] for f, (t, e) in enumerate(zip(model.tables, model.edges)))
+        total += sum(t[sum(v <= x[a] for v in model.pair_edges[a])][sum(v <= x[b] for v in model.pair_edges[b])] for a, b, t in model.pairs)
+        assert r.score == pytest.approx(1 / (1 + math.exp(-total)), abs=1e-6)
+
+
+def test_memory_of_a_very_long_text():
+    """Less than 30 bytes a byte of text, in a process of its own."""
+    code = """
+import random, resource, pyarrow as pa
+from millrace.llm import text_rules
+r = random.Random(3)
+words = ["".join(r.choices("abcdefghij", k=r.randint(2, 9))) for _ in range(20000)]
+texts = pa.array([" ".join(r.choices(words, k=3_000_000))])
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+text_rules.counts(texts)
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) * 1024 / texts.nbytes)
+"""
+    told = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, timeout=120)
+    assert float(told.stdout) < 30
+
+
 def held_out(spark, verdicts, label):
     labels = {r.doc_id: r[label] for r in spark.read.parquet(f"{FOLDER}/labels.parquet").collect()}
     rows = [(labels[i], v) for i, v in verdicts if i in labels and crc32(str(i).encode()) % 3 == 1]
