@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Callable, Mapping, Sequence
 
 import numpy as np
@@ -152,12 +153,23 @@ def with_trades(
     return previous.withColumn(output, changes).drop("_previous")
 
 
+def _log(x: Column) -> Column:
+    """The logarithm of doubles: -infinity of 0 and NaN below, where Spark's own is NULL, which a sum leaves out."""
+    return F.when(x > 0, F.log(x)).when(x == 0, F.lit(-math.inf)).when(x < 0, F.lit(math.nan))
+
+
 def strategy_returns(
     trades: DataFrame, value: str, fee: float = FEE, by: Sequence[str] = (), signal: str = "signal", traded: str = "traded"
 ) -> DataFrame:
-    """Trades and compounded log return per series: each side of a trade costs ``fee``."""
-    bought = F.log(F.lit(1 - fee) / F.col(value))
-    sold = F.log(F.lit(1 - fee) * F.col(value))
+    """Trades and compounded log return per series: each side of a trade costs ``fee``.
+
+    Buying at a price of 0 returns infinity, selling at 0 loses all (-infinity); a series that does both, or trades at a
+    negative price, has the return NaN. Trades without a price count, but return nothing.
+    """
+    price = F.col(value).cast("double")
+    # A power, unlike a division, does not fail at 0.
+    bought = _log(F.when(price != 0, F.lit(1 - fee) / price).otherwise(F.pow(price, F.lit(-1.0))))
+    sold = _log(F.lit(1 - fee) * price)
     gain = F.when(F.col(traded), F.when(F.col(signal) == "buy", bought).otherwise(sold)).otherwise(0.0)
     return trades.groupBy(*by).agg(
         F.count_if(F.col(traded)).alias("trades"), F.coalesce(F.sum(gain), F.lit(0.0)).alias("log_return")

@@ -86,6 +86,31 @@ def test_a_series_without_trades_keeps_its_amount(spark):
     assert signals.strategy_returns(marked, "v", by=["k"]).collect() == [("a", 0, 0.0)]
 
 
+@pytest.mark.parametrize("kind", ["double", "float", "int"])
+def test_returns_at_prices_without_a_finite_logarithm(spark, kind):
+    """Buying at 0 returns infinity, selling at 0 loses all, both or a negative price leave no number."""
+    trades = {
+        "bought at 0": [("buy", 0), ("sell", 5)],
+        "sold at 0": [("buy", 5), ("sell", 0)],
+        "both": [("buy", 0), ("sell", 0)],
+        "bought below 0": [("buy", -5), ("sell", 5)],
+        "sold below 0": [("buy", 5), ("sell", -5)],
+        "no price": [("buy", None), ("sell", 5)],
+        "usual": [("buy", 5), ("sell", 10)],
+    }
+    rows = [(k, signal, True, price) for k, sides in trades.items() for signal, price in sides]
+    rows += [("usual", signal, False, 0) for signal in ("buy", "sell")]
+    df = spark.createDataFrame(rows, "k string, signal string, traded boolean, v int").withColumn("v", F.col("v").cast(kind))
+    got = {r.k: r for r in signals.strategy_returns(df, "v", by=["k"]).collect()}
+    assert {k: r.trades for k, r in got.items()} == dict.fromkeys(trades, 2)
+    returns = {k: r.log_return for k, r in got.items()}
+    assert (returns["bought at 0"], returns["sold at 0"]) == (math.inf, -math.inf)
+    assert all(math.isnan(returns[k]) for k in ("both", "bought below 0", "sold below 0"))
+    kept = math.log(1 - signals.FEE)
+    assert returns["no price"] == pytest.approx(kept + math.log(5))
+    assert returns["usual"] == pytest.approx(2 * kept + math.log(2))
+
+
 def test_turning_points_need_a_strict_change_of_sign(spark):
     rows = [("a", i, 10.0 * i, d) for i, d in enumerate([1.0, -1.0, 0.0, 1.0, -2.0, -3.0, 4.0])]
     df = spark.createDataFrame(rows, "k string, idx bigint, v double, d double")
